@@ -144,7 +144,7 @@ def copy_files(pairs: DataFrame, *, partitions: int = 256) -> DataFrame:
         from pyarrow import fs
 
         def open_path(path: str):
-            return fs.FileSystem.from_uri(path) if ":" in path.split("/", 1)[0] else (fs.LocalFileSystem(), path)
+            return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
 
         def one(src: str, dst: str, size) -> tuple[str, str | None]:
             try:
@@ -219,15 +219,14 @@ def file_hashes(spark: SparkSession, root: str, *, fraction: float = 1.0, whole_
 
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import hashlib
-        from urllib.parse import unquote
 
         from pyarrow import fs
 
+        def open_path(path: str):
+            return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
+
         def digest(path: str) -> str:
-            filesystem, inner = fs.FileSystem.from_uri(path) if ":///" in path or "://" in path else (
-                fs.LocalFileSystem(),
-                unquote(path.removeprefix("file:")),
-            )
+            filesystem, inner = open_path(path)
             total = hashlib.md5()
             with filesystem.open_input_stream(inner) as reader:
                 while chunk := reader.read(block):

@@ -231,6 +231,35 @@ WHERE l_orderkey % 4 <> 0 AND (l_orderkey % 4 <> 1 OR l_linenumber > 2)
 UNION ALL SELECT concat('s3://newacct/t', l_orderkey, '/_delta_log') AS root, l_linenumber AS entry FROM {lineitem} WHERE l_orderkey % 3 <> 0"""
 
 
+# Where the objects of validated log rows are described to be after the move.
+TEXTS["after"] = """
+SELECT catalog, schema, name, object_type, k,
+  CASE WHEN k % 11 = 0 THEN NULL WHEN k % 7 = 0 THEN concat('s3://oldacct/t', k) ELSE concat('s3://newacct/t', k, '/') END AS location
+FROM {objects} WHERE k % 13 <> 5"""
+
+# Distinct files each object's rows were read from.
+TEXTS["read_paths"] = """
+SELECT o.catalog, o.schema, o.name, o.object_type, CASE WHEN l_linenumber = 7 AND o.k % 5 = 2 THEN 'file:///tmp/x'
+  WHEN l_linenumber = 6 AND o.k % 3 = 0 THEN concat('s3a://oldacct/t', o.k) ELSE concat('s3a://NewAcct/t', o.k, '/part', l_linenumber) END AS path
+FROM {lineitem} JOIN {objects} o ON o.k = l_orderkey"""
+
+# Rows of every object's shadow and live copy.
+TEXTS["shadow_rows"] = """
+SELECT o.catalog, o.schema, o.name, o.object_type, o.k, l_linenumber, l_quantity, l_returnflag, l_shipdate FROM {lineitem} JOIN {objects} o ON o.k = l_orderkey"""
+TEXTS["live_rows"] = """
+SELECT catalog, schema, name, object_type, k, l_linenumber, CASE WHEN k % 13 = 1 AND l_linenumber = 1 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity, l_returnflag, l_shipdate
+FROM {shadow_rows} WHERE k % 17 <> 2"""
+
+# Files of the volumes: one document per file, spread over the objects that are volumes.
+TEXTS["volume_files"] = """
+SELECT o.catalog, o.schema, o.name, o.object_type, o.k, d.relpath, d.content_hash, d.doc_id
+FROM (SELECT concat(lang, '/', doc_id) AS relpath, md5(text) AS content_hash, doc_id, 10 * (doc_id % 120) + 8 AS object_no FROM {documents}) d
+JOIN {objects} o ON o.k = d.object_no"""
+TEXTS["copied_volume_files"] = """
+SELECT catalog, schema, name, object_type, k, relpath, CASE WHEN doc_id % 50 = 3 THEN md5(relpath) ELSE content_hash END AS content_hash, doc_id
+FROM {volume_files} WHERE doc_id % 50 <> 0 AND k % 70 <> 8"""
+
+
 def _inputs(name: str) -> list[str]:
     return sorted(set(re.findall(r"\{(\w+)\}", TEXTS[name])))
 

@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from checks import urls  # noqa: F401
+from checks import access, files, governance, inventory, lineage, migration, report, rollback, urls, verify  # noqa: F401

@@ -128,39 +128,36 @@ def _with_path(root: Column, path: Column) -> Column:
     return F.when(path == "", root).otherwise(F.concat(root, F.lit("/"), path))
 
 
-def rewrite_account(url: Column, *, new: str, old: str | None = None) -> Column:
-    """Struct ``(url, error)``: the URL moved to ``new``, or why it could not be moved.
+def moved_url(parsed: Column, *, new: str, old: str | None = None) -> Column:
+    """Struct ``(url, error)``: a parsed URL moved to ``new``, or why it could not be moved.
 
-    S3 schemes become ``s3://``. With a prefix as ``new``, ``old`` must be a prefix too and is
+    ``parsed`` is best a column of an earlier projection, so that its URL is parsed once. S3
+    schemes become ``s3://``. With a prefix as ``new``, ``old`` must be a prefix too; it is
     stripped from the front, ignoring case, while the rest keeps its case.
     """
-    no_url = F.lit(None).cast("string")
-    abfss_ok, s3_ok = abfss_account(url).isNotNull(), s3_bucket(url).isNotNull()
-    not_url = F.lit("not a storage url")
+    in_abfss, path = parsed["scheme"] == "abfss", parsed["path"]
     if "/" not in new:
-        in_abfss = F.concat(F.lit("abfss://"), _group(url, ABFSS, 1), F.lit(f"@{new}.dfs.core.windows.net"))
-        moved = F.when(abfss_ok, _with_path(in_abfss, _group(url, ABFSS, 3))).when(
-            s3_ok, _with_path(F.lit(f"s3://{new}"), _group(url, S3, 2))
-        )
-        error = F.when(~(abfss_ok | s3_ok), not_url)
-        return F.struct(moved.alias("url"), error.alias("error"))
-    if old is None or "/" not in old:
-        error = F.when(s3_ok, F.lit("prefix rewrite needs an old prefix"))
-        moved = no_url
+        abfss = F.concat(F.lit("abfss://"), parsed["container"], F.lit(f"@{new}.dfs.core.windows.net"))
+        url = _with_path(F.when(in_abfss, abfss).otherwise(F.lit(f"s3://{new}")), path)
+        fault = F.lit(None).cast("string")
+    elif old is None or "/" not in old:
+        url, fault = F.lit(None).cast("string"), F.lit("prefix rewrite needs an old prefix")
     else:
-        text = location_text(url)
         root, target = old.lower().rstrip("/"), new.rstrip("/")
-        tail = F.substring(text, F.lit(len(root) + 2), F.length(text))
-        moved = F.when(s3_ok & (F.lower(text) == root), F.lit(f"s3://{target}")).when(
-            s3_ok & F.lower(text).startswith(root + "/"), F.concat(F.lit(f"s3://{target}/"), tail)
-        )
-        error = F.when(s3_ok & ~F.coalesce(_under(F.lower(text), old), F.lit(False)), F.lit("not under the old prefix"))
-    error = (
-        F.when(abfss_ok, F.lit("abfss urls have no prefix rewrite"))
-        .when(s3_ok, error)
-        .otherwise(not_url)
+        text = _strip_slashes(F.concat_ws("/", parsed["account"], path))
+        tail = F.substring(text, F.lit(len(root) + 1), F.length(text))
+        fits = ~in_abfss & _under(F.lower(text), old)
+        url = F.when(fits, F.concat(F.lit(f"s3://{target}"), tail))
+        fault = F.when(in_abfss, "abfss urls have no prefix rewrite").when(~fits, "not under the old prefix")
+    known = parsed.isNotNull()
+    return F.struct(
+        F.when(known, url).alias("url"), F.when(known, fault).otherwise(F.lit("not a storage url")).alias("error")
     )
-    return F.struct(moved.alias("url"), error.alias("error"))
+
+
+def rewrite_account(url: Column, *, new: str, old: str | None = None) -> Column:
+    """``moved_url`` of an unparsed URL."""
+    return moved_url(parse_storage_url(url), new=new, old=old)
 
 
 def first_url_cell(*cells: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from estate.functions.text import quote_name
-from estate.functions.urls import rewrite_account
+from estate.functions.urls import moved_url, parse_storage_url
 from estate.operators.state import shadow_name, staging_name
 from estate.operators.verify import compare_fingerprints, fingerprint
 from estate.settings import KEY
@@ -59,7 +59,8 @@ def plan_steps(routed: DataFrame, *, new: str, old: str | None = None) -> DataFr
     All steps are built inside the object's row; nothing is shuffled.
     """
     rows = routed.filter(F.col("route").isin("clone", "ctas", "external_table", "external_volume"))
-    rows = rows.withColumn("moved", rewrite_account(F.col("storage_path"), new=new, old=old))
+    parsed = rows.withColumn("_parsed", parse_storage_url(F.col("storage_path")))
+    rows = parsed.withColumn("moved", moved_url(F.col("_parsed"), new=new, old=old))
     orig, pre, staging = _name(), _name(shadow_name("name")), _name(staging_name("name"))
     swap = (("rename_orig", rename("TABLE", orig, pre)), ("rename_staging", rename("TABLE", staging, orig)))
     fmt = F.upper(F.coalesce(F.nullif("data_source_format", F.lit("")), F.lit("DELTA")))

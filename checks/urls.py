@@ -96,14 +96,14 @@ _TAIL = lambda path: f"CASE WHEN {path} = '' THEN '' ELSE '/' || {path} END"
   NOT coalesce({_S3} AND {under(f'lower({_TEXT})', 'shared/old')}, FALSE) AS failed_prefix FROM {{urls}}""",
 )
 def _(inputs):
-    plain = urls.rewrite_account(F.col("url"), new="target")
-    prefix = urls.rewrite_account(F.col("url"), new=PREFIX_NEW, old=PREFIX_OLD)
-    return inputs("urls").select(
+    rows = urls.attach_moved_url(inputs("urls"), "url", new="target", into="plain")
+    rows = urls.attach_moved_url(rows, "url", new=PREFIX_NEW, old=PREFIX_OLD, into="prefix")
+    return rows.select(
         "k",
-        plain["url"].alias("moved"),
-        plain["error"].isNotNull().alias("failed"),
-        prefix["url"].alias("moved_prefix"),
-        prefix["error"].isNotNull().alias("failed_prefix"),
+        F.col("plain.url").alias("moved"),
+        F.col("plain.error").isNotNull().alias("failed"),
+        F.col("prefix.url").alias("moved_prefix"),
+        F.col("prefix.error").isNotNull().alias("failed_prefix"),
     )
 
 

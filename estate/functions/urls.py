@@ -1,12 +1,16 @@
 """Storage-URL column expressions: parse, classify, rewrite.
 
-``old`` and ``new`` are driver-side literals. A name without ``/`` is a bare account or
-bucket; with ``/`` it is a prefix (``bucket/path`` or ``account/container/path``).
+``old`` and ``new`` are driver-side literals. A name without ``/`` is a bare account or bucket;
+with ``/`` it is a prefix (``bucket/path`` or ``account/container/path``).
+
+Catalyst copies an expression into every filter that uses its result, so each expression here
+names its URL as few times as it can: the two forms exclude each other and a pattern that does not
+match gives '', so the parts of both are concatenated instead of chosen by a condition.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The two URL formats.
 ABFSS = r"(?i)^abfss://([^@]+)@([^.]+)\.dfs\.core\.windows\.net(?:/(.*))?$"
@@ -14,68 +18,56 @@ S3 = r"(?i)^s3[an]?://([a-z0-9][a-z0-9.-]{1,61}[a-z0-9])(?:/(.*))?$"
 URL_START = r"^(?:abfss|s3|s3a|s3n)://"
 
 
-def _group(url: Column, pattern: str, index: int) -> Column:
-    return F.regexp_extract(url, pattern, index)
+def _abfss(url: Column, group: int) -> Column:
+    return F.regexp_extract(url, ABFSS, group)
 
 
-def _strip_slashes(text: Column) -> Column:
-    return F.rtrim(text, F.lit("/"))
+def _s3(url: Column, group: int) -> Column:
+    return F.regexp_extract(url, S3, group)
 
 
-def abfss_account(url: Column) -> Column:
-    """Account of an abfss URL in lower case, null for anything else."""
-    return F.lower(F.nullif(_group(url, ABFSS, 2), F.lit("")))
+def _strip_slashes(text: Column) -> Column:
+    return F.rtrim(text, F.lit("/"))
 
 
-def s3_bucket(url: Column) -> Column:
-    """Bucket of an S3 URL in lower case, null for anything else."""
-    return F.lower(F.nullif(_group(url, S3, 1), F.lit("")))
+def account_text(url: Column) -> Column:
+    """Account or bucket in lower case, '' when the URL is neither form, null for null."""
+    return F.lower(F.concat(_abfss(url, 2), _s3(url, 1)))
 
 
 def storage_account(url: Column) -> Column:
     """Account or bucket, the unit that moves; null when the URL is neither form."""
-    return F.coalesce(abfss_account(url), s3_bucket(url))
+    return F.nullif(account_text(url), F.lit(""))
+
+
+def _parts(scheme: Column, account: Column, container: Column, path: Column) -> Column:
+    parts = F.struct(scheme.alias("scheme"), account.alias("account"), container.alias("container"), path.alias("path"))
+    return F.when(account != "", parts)
 
 
 def parse_abfss_url(url: Column) -> Column:
-    account = abfss_account(url)
-    return F.when(
-        account.isNotNull(),
-        F.struct(
-            F.lit("abfss").alias("scheme"),
-            account.alias("account"),
-            _group(url, ABFSS, 1).alias("container"),
-            _group(url, ABFSS, 3).alias("path"),
-        ),
-    )
+    return _parts(F.lit("abfss"), F.lower(_abfss(url, 2)), _abfss(url, 1), _abfss(url, 3))
 
 
 def parse_s3_url(url: Column) -> Column:
-    bucket = s3_bucket(url)
-    return F.when(
-        bucket.isNotNull(),
-        F.struct(
-            F.lit("s3").alias("scheme"),
-            bucket.alias("account"),
-            F.lit("").alias("container"),
-            _group(url, S3, 2).alias("path"),
-        ),
-    )
+    return _parts(F.lit("s3"), F.lower(_s3(url, 1)), F.lit(""), _s3(url, 2))
 
 
 def parse_storage_url(url: Column) -> Column:
-    return F.coalesce(parse_abfss_url(url), parse_s3_url(url))
+    """Struct ``(scheme, account, container, path)`` of either form, else null."""
+    scheme = F.when(F.lower(F.substring(url, 1, 1)) == "a", "abfss").otherwise("s3")
+    return _parts(scheme, account_text(url), _abfss(url, 1), F.concat(_abfss(url, 3), _s3(url, 2)))
 
 
 def account_class(account: Column, *, old: str, new: str) -> Column:
-    """``old``, ``new``, ``other``, or ``unknown`` for null; ``old`` is tested first."""
-    lowered = F.lower(account)
-    return (
-        F.when(lowered.isNull(), F.lit("unknown"))
-        .when(lowered == old.lower(), F.lit("old"))
-        .when(lowered == new.lower(), F.lit("new"))
-        .otherwise(F.lit("other"))
-    )
+    """``old``, ``new``, ``other``, or ``unknown`` for null; ``old`` wins when both are the same."""
+    known = {new.lower(): "new", old.lower(): "old"}
+    return F.when(account.isNull(), "unknown").otherwise(_looked_up(F.lower(account), known, "other"))
+
+
+def _looked_up(text: Column, table: dict[str, str], default: str) -> Column:
+    pairs = F.create_map(*[F.lit(cell) for pair in table.items() for cell in pair])
+    return F.coalesce(F.try_element_at(pairs, text), F.lit(default))
 
 
 def is_prefix_mode(old: str, new: str) -> bool:
@@ -84,68 +76,51 @@ def is_prefix_mode(old: str, new: str) -> bool:
 
 def location_text(url: Column) -> Column:
     """``account/container/path`` or ``bucket/path`` without trailing slashes; the tail keeps its case."""
-    in_abfss = F.concat_ws("/", abfss_account(url), _group(url, ABFSS, 1), _group(url, ABFSS, 3))
-    in_s3 = F.concat_ws("/", s3_bucket(url), _group(url, S3, 2))
-    return _strip_slashes(
-        F.when(abfss_account(url).isNotNull(), in_abfss).when(s3_bucket(url).isNotNull(), in_s3)
-    )
+    folder = F.regexp_replace(F.concat(_abfss(url, 1), F.lit("/")), "^/$", "")
+    return _strip_slashes(F.concat(storage_account(url), F.lit("/"), folder, _abfss(url, 3), _s3(url, 2)))
 
 
 def _under(text: Column, prefix: str) -> Column:
     root = prefix.lower().rstrip("/")
-    return (text == root) | text.startswith(root + "/")
+    return F.concat(text, F.lit("/")).startswith(root + "/")
 
 
-def class_of(text: Column, *, old: str, new: str) -> Column:
-    """Class of what ``class_input`` extracted; split in two so that a plan parses each URL once."""
+def url_class(url: Column, *, old: str, new: str) -> Column:
+    """Class of a URL: by account, or by path prefix when ``old`` or ``new`` is a prefix."""
     if not is_prefix_mode(old, new):
-        return account_class(text, old=old, new=new)
+        known = {"": "unknown", new.lower(): "new", old.lower(): "old"}
+        return _looked_up(F.coalesce(account_text(url), F.lit("")), known, "other")
+    text = F.lower(location_text(url))
     return (
-        F.when(text.isNull(), F.lit("unknown"))
-        .when(_under(text, old), F.lit("old"))
-        .when(_under(text, new), F.lit("new"))
-        .otherwise(F.lit("other"))
+        F.when(_under(text, old), "old").when(_under(text, new), "new").when(text.isNull(), "unknown").otherwise("other")
     )
 
 
-def class_input(url: Column, *, old: str, new: str) -> Column:
-    return F.lower(location_text(url)) if is_prefix_mode(old, new) else storage_account(url)
-
-
-def url_class(url: Column, *, old: str, new: str) -> Column:
-    """Class of a URL: by account, or by path prefix when ``old`` or ``new`` is a prefix."""
-    return class_of(class_input(url, old=old, new=new), old=old, new=new)
-
-
 def is_on_account(url: Column, expected: str) -> Column:
     """True when the URL lies on the expected account or prefix; never null."""
-    if "/" in expected:
-        return F.coalesce(_under(F.lower(location_text(url)), expected), F.lit(False))
-    return F.coalesce(storage_account(url) == expected.lower(), F.lit(False))
-
-
-def _with_path(root: Column, path: Column) -> Column:
-    return F.when(path == "", root).otherwise(F.concat(root, F.lit("/"), path))
+    found = _under(F.lower(location_text(url)), expected) if "/" in expected else account_text(url) == expected.lower()
+    return F.coalesce(found, F.lit(False))
 
 
 def moved_url(parsed: Column, *, new: str, old: str | None = None) -> Column:
     """Struct ``(url, error)``: a parsed URL moved to ``new``, or why it could not be moved.
 
-    ``parsed`` is best a column of an earlier projection, so that its URL is parsed once. S3
-    schemes become ``s3://``. With a prefix as ``new``, ``old`` must be a prefix too; it is
+    S3 schemes become ``s3://``. With a prefix as ``new``, ``old`` must be a prefix too; it is
     stripped from the front, ignoring case, while the rest keeps its case.
     """
     in_abfss, path = parsed["scheme"] == "abfss", parsed["path"]
     if "/" not in new:
-        abfss = F.concat(F.lit("abfss://"), parsed["container"], F.lit(f"@{new}.dfs.core.windows.net"))
-        url = _with_path(F.when(in_abfss, abfss).otherwise(F.lit(f"s3://{new}")), path)
+        root = F.when(
+            in_abfss, F.concat(F.lit("abfss://"), parsed["container"], F.lit(f"@{new}.dfs.core.windows.net"))
+        ).otherwise(F.lit(f"s3://{new}"))
+        url = F.concat(root, F.when(path == "", "").otherwise(F.concat(F.lit("/"), path)))
         fault = F.lit(None).cast("string")
     elif old is None or "/" not in old:
         url, fault = F.lit(None).cast("string"), F.lit("prefix rewrite needs an old prefix")
     else:
-        root, target = old.lower().rstrip("/"), new.rstrip("/")
+        prefix, target = old.lower().rstrip("/"), new.rstrip("/")
         text = _strip_slashes(F.concat_ws("/", parsed["account"], path))
-        tail = F.substring(text, F.lit(len(root) + 1), F.length(text))
+        tail = F.substring(text, F.lit(len(prefix) + 1), F.length(text))
         fits = ~in_abfss & _under(F.lower(text), old)
         url = F.when(fits, F.concat(F.lit(f"s3://{target}"), tail))
         fault = F.when(in_abfss, "abfss urls have no prefix rewrite").when(~fits, "not under the old prefix")
@@ -155,9 +130,10 @@ def moved_url(parsed: Column, *, new: str, old: str | None = None) -> Column:
     )
 
 
-def rewrite_account(url: Column, *, new: str, old: str | None = None) -> Column:
-    """``moved_url`` of an unparsed URL."""
-    return moved_url(parse_storage_url(url), new=new, old=old)
+def attach_moved_url(rows: DataFrame, path: str, *, new: str, old: str | None = None, into: str = "moved") -> DataFrame:
+    """Adds ``moved_url`` of a URL column; the URL is parsed once, in a projection of its own."""
+    parsed = rows.withColumn("_parsed", parse_storage_url(F.col(path)))
+    return parsed.withColumn(into, moved_url(F.col("_parsed"), new=new, old=old)).drop("_parsed")
 
 
 def first_url_cell(*cells: Column) -> Column:

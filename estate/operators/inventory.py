@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from estate.functions.text import dotted_name
-from estate.functions.urls import class_input, class_of
+from estate.functions.urls import url_class
 from estate.operators.ranking import first_rows, top_rows
 from estate.settings import (
     CATALOG_LEVEL_OBJECTS,
@@ -101,31 +101,33 @@ def attach_counts(objects: DataFrame, tags: DataFrame, grants: DataFrame) -> Dat
     return objects
 
 
+# Class by kind of object, class of its own path, class of its parent's location.
+_CLASS_OF_PLACE = {
+    "managed/old/old": "consistent_old",
+    "managed/new/new": "consistent_new",
+    "managed/new/old": "consistent_new",
+    "managed/old/new": "drift_managed_on_old",
+    "external/old": "external_on_old",
+    "external/new": "external_on_new",
+}
+
+
 def classify(objects: DataFrame, *, old: str, new: str) -> DataFrame:
-    """``classification`` from the object's own path and its parent's managed location."""
-    located = objects.withColumn("_own", class_input(F.col("storage_path"), old=old, new=new)).withColumn(
-        "_parent", class_input(F.col("parent_managed_location"), old=old, new=new)
-    )
-    classed = located.withColumn("_own", class_of(F.col("_own"), old=old, new=new)).withColumn(
-        "_parent", class_of(F.col("_parent"), old=old, new=new)
-    )
-    own, parent = F.col("_own"), F.col("_parent")
+    """``classification`` from the object's own path and its parent's managed location.
+
+    Places are looked up in one table, so a filter on the class carries one copy of each URL test.
+    """
+    own = url_class(F.col("storage_path"), old=old, new=new)
+    parent = url_class(F.col("parent_managed_location"), old=old, new=new)
     managed = F.coalesce(F.col("table_type").isin(MANAGED_TABLE_TYPES), F.lit(False))
-    by_parent = (
-        F.when((own == "old") & (parent == "old"), "consistent_old")
-        .when((own == "new") & parent.isin("new", "old"), "consistent_new")
-        .when((own == "old") & (parent == "new"), "drift_managed_on_old")
-        .otherwise("unknown_account")
-    )
-    alone = F.when(own == "old", "external_on_old").when(own == "new", "external_on_new").otherwise("unknown_account")
+    place = F.concat_ws("/", F.when(managed, "managed").otherwise("external"), own, F.when(managed, parent))
+    table = F.create_map(*[F.lit(cell) for pair in _CLASS_OF_PLACE.items() for cell in pair])
     label = (
         F.when(F.col("object_type").isin(CATALOG_LEVEL_OBJECTS), EXTERNAL_HANDLING)
         .when(F.col("storage_path").isNull() | F.col("table_type").eqNullSafe("VIEW"), "path_missing")
-        .when(own == "other", "unknown_account")
-        .when(managed, by_parent)
-        .otherwise(alone)
+        .otherwise(F.coalesce(F.try_element_at(table, place), F.lit("unknown_account")))
     )
-    return classed.withColumn("classification", label).drop("_own", "_parent")
+    return objects.withColumn("classification", label)
 
 
 def flag_pipeline_handling(objects: DataFrame) -> DataFrame:

@@ -7,29 +7,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from estate.functions.text import quote_name
-from estate.functions.urls import moved_url, parse_storage_url
+from estate.functions.urls import attach_moved_url
 from estate.operators.state import shadow_name, staging_name
 from estate.operators.verify import compare_fingerprints, fingerprint
 from estate.settings import KEY
 
 
+# Playbook by class, object type and kind.
+_ROUTES = {
+    "external_on_old/TABLE/delta": "external_table",
+    "external_on_old/TABLE/other": "external_table",
+    "external_on_old/TABLE/pipeline": "external_table",
+    "external_on_old/VOLUME/managed": "external_volume",
+    "external_on_old/VOLUME/other": "external_volume",
+    "drift_managed_on_old/TABLE/delta": "clone",
+    "drift_managed_on_old/TABLE/other": "ctas",
+    "drift_managed_on_old/TABLE/pipeline": "hand_off",
+    "drift_managed_on_old/VOLUME/managed": "volume_copy",
+}
+
+
 def route(inventory: DataFrame, *, skip_managed_volumes: bool = False) -> DataFrame:
     """``route`` of each object on old storage, null for objects that stay."""
-    drift = F.col("classification") == "drift_managed_on_old"
-    external = F.col("classification") == "external_on_old"
-    table, volume = F.col("object_type") == "TABLE", F.col("object_type") == "VOLUME"
-    chosen = (
-        F.when(external & table, "external_table")
-        .when(external & volume, "external_volume")
-        .when(drift & F.col("requires_pipeline_handling"), "hand_off")
-        .when(drift & table & F.col("data_source_format").eqNullSafe("DELTA"), "clone")
-        .when(drift & table, "ctas")
-        .when(
-            drift & volume & F.col("table_type").eqNullSafe("MANAGED"),
-            "volume_skipped" if skip_managed_volumes else "volume_copy",
-        )
+    volume = F.col("object_type") == "VOLUME"
+    kind = (
+        F.when(volume & F.col("table_type").eqNullSafe("MANAGED"), "managed")
+        .when(volume, "other")
+        .when(F.col("requires_pipeline_handling"), "pipeline")
+        .when(F.col("data_source_format").eqNullSafe("DELTA"), "delta")
+        .otherwise("other")
     )
-    return inventory.withColumn("route", chosen)
+    routes = dict(_ROUTES)
+    if skip_managed_volumes:
+        routes["drift_managed_on_old/VOLUME/managed"] = "volume_skipped"
+    table = F.create_map(*[F.lit(cell) for pair in routes.items() for cell in pair])
+    return inventory.withColumn("route", F.try_element_at(table, F.concat_ws("/", "classification", "object_type", kind)))
 
 
 def _name(name: Column | str = "name") -> Column:
@@ -59,8 +71,7 @@ def plan_steps(routed: DataFrame, *, new: str, old: str | None = None) -> DataFr
     All steps are built inside the object's row; nothing is shuffled.
     """
     rows = routed.filter(F.col("route").isin("clone", "ctas", "external_table", "external_volume"))
-    parsed = rows.withColumn("_parsed", parse_storage_url(F.col("storage_path")))
-    rows = parsed.withColumn("moved", moved_url(F.col("_parsed"), new=new, old=old))
+    rows = attach_moved_url(rows, "storage_path", new=new, old=old)
     orig, pre, staging = _name(), _name(shadow_name("name")), _name(staging_name("name"))
     swap = (("rename_orig", rename("TABLE", orig, pre)), ("rename_staging", rename("TABLE", staging, orig)))
     fmt = F.upper(F.coalesce(F.nullif("data_source_format", F.lit("")), F.lit("DELTA")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from estate.functions.text import quote_name
-from estate.functions.urls import moved_url, parse_storage_url, url_class
+from estate.functions.urls import attach_moved_url, url_class
 from estate.operators.governance import own_kind
 from estate.operators.state import attach_existence, shadow_name, staging_name
 from estate.settings import KEY
@@ -112,8 +112,7 @@ def catalog_root_reverts(catalogs: DataFrame, *, old: str, new: str) -> DataFram
 
 def _reverted(rows: DataFrame, root: str, *, old: str, new: str) -> DataFrame:
     on_new = rows.filter(url_class(F.col(root), old=old, new=new) == "new")
-    parsed = on_new.withColumn("_parsed", parse_storage_url(F.col(root)))
-    return parsed.withColumn("target_root", moved_url(F.col("_parsed"), new=old, old=new)["url"]).drop("_parsed")
+    return attach_moved_url(on_new, root, new=old, old=new).withColumn("target_root", F.col("moved.url")).drop("moved")
 
 
 def rollback_check(inventory: DataFrame) -> DataFrame:

@@ -264,16 +264,14 @@ def _inputs(name: str) -> list[str]:
     return sorted(set(re.findall(r"\{(\w+)\}", TEXTS[name])))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table or a derived input as a DataFrame."""
-    if name not in TEXTS:
-        return table(spark, sf_dir, name)
-    return spark.sql(TEXTS[name], **{part: derive(spark, sf_dir, part) for part in _inputs(name)})
+def derive(spark: SparkSession, sf_dir: str, name: str, made: dict[str, DataFrame]) -> DataFrame:
+    """A driver table or a derived input as a DataFrame; ``made`` keeps what is already defined."""
+    if name not in made:
+        if name in TEXTS:
+            made[name] = spark.sql(TEXTS[name], **{part: derive(spark, sf_dir, part, made) for part in _inputs(name)})
+        else:
+            made[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return made[name]
 
 
 def with_inputs(query: str, extra: dict[str, str] | None = None) -> str:

@@ -32,9 +32,10 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._made: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        return derive(self.spark, self.sf_dir, name)
+        return derive(self.spark, self.sf_dir, name, self._made)
 
     def inventory(self) -> DataFrame:
         """The objects with parent location, class and pipeline flag."""

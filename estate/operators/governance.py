@@ -88,6 +88,10 @@ def described_owners(describe: DataFrame) -> DataFrame:
     )
 
 
+def _starts_detail(label: Column) -> Column:
+    return label.startswith("#") | label.startswith("Detailed")
+
+
 def described_comments(describe: DataFrame) -> DataFrame:
     """``column`` and ``comment`` rows; the table comment has a null column.
 
@@ -95,7 +99,7 @@ def described_comments(describe: DataFrame) -> DataFrame:
     Rows are narrowed to the few that can matter before anything is shuffled.
     """
     label = F.coalesce("col_name", F.lit(""))
-    starts = detail_starts(describe, label.startswith("#") | label.startswith("Detailed"))
+    starts = detail_starts(describe, _starts_detail(label))
     columns = (
         describe.filter((label != "") & F.col("comment").isNotNull())
         .join(starts, KEY, "left")
@@ -120,6 +124,41 @@ def property_maps(rows: DataFrame) -> DataFrame:
     )
 
 
+def _last_per_key(entries: Column) -> Column:
+    """Sorted (key, ...) structs to the last one of each key, as a map needs unique keys."""
+    return F.filter(entries, lambda e, i: ~F.coalesce(F.get(entries, i + 1)["a"] == e["a"], F.lit(False)))
+
+
+def _as_map(entries: Column) -> Column:
+    kept = F.transform(_last_per_key(entries), lambda e: F.struct(e["a"].alias("key"), e["b"].alias("value")))
+    return F.map_from_entries(kept)
+
+
+def _part_rows(rows: DataFrame, part: str, *, pos: Column | None = None, a=None, b=None, c=None) -> DataFrame:
+    text = lambda cell: (F.lit(None) if cell is None else F.col(cell) if isinstance(cell, str) else cell).cast("string")
+    place = F.lit(0) if pos is None else pos
+    return rows.select(*KEY, F.lit(part).alias("part"), place.cast("long").alias("pos"), text(a).alias("a"), text(b).alias("b"), text(c).alias("c"))
+
+
+def _describe_parts(describe: DataFrame) -> DataFrame:
+    """The describe rows that matter, each under every part it can belong to; one scan."""
+    label, nothing = F.coalesce("col_name", F.lit("")), F.lit(None).cast("string")
+
+    def when(condition: Column, part: str, a: Column = nothing, b: Column = nothing) -> Column:
+        return F.when(condition, F.struct(F.lit(part).alias("part"), a.alias("a"), b.alias("b")))
+
+    found = F.array_compact(
+        F.array(
+            when(_starts_detail(label), "detail"),
+            when(F.lower(label) == "owner", "owner", F.col("data_type")),
+            when(F.lower(label) == "comment", "comment", F.col("data_type")),
+            when((label != "") & F.col("comment").isNotNull(), "column", F.col("col_name"), F.col("comment")),
+        )
+    )
+    rows = describe.select(*KEY, F.col("pos").cast("long").alias("pos"), F.inline(found))
+    return rows.withColumn("c", F.lit(None).cast("string"))
+
+
 def capture_snapshots(
     objects: DataFrame,
     *,
@@ -131,42 +170,65 @@ def capture_snapshots(
     properties: DataFrame,
     captured_at,
 ) -> DataFrame:
-    """One snapshot JSON per object; a part without rows is empty."""
-    kept = direct_grants(grants).groupBy(*KEY).agg(
-        F.array_sort(F.collect_list(F.struct("principal", "privilege", F.col("granted_on").alias("object_type")))).alias("grants")
-    )
-    masked = column_masks(masks).groupBy(*KEY).agg(
-        F.array_sort(F.collect_list(F.struct("column", "mask_function", "using_columns"))).alias("column_masks")
-    )
-    comments = described_comments(describe)
-    per_column = (
-        comments.filter(F.col("column").isNotNull())
-        .groupBy(*KEY)
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("column", "comment")))).alias("column_comments"))
-    )
-    per_table = comments.filter(F.col("column").isNull()).select(*KEY, F.col("comment").alias("table_comment"))
-    rows = objects.select(*KEY)
-    parts = (kept, described_owners(describe), tag_lists(tags), row_filters(filters), masked, per_table, per_column, property_maps(properties))
-    for part in parts:
-        rows = rows.join(part, KEY, "left")
+    """One snapshot JSON per object; a part without rows is empty.
 
-    def filled(name: str, kind: str) -> Column:
-        empty = F.create_map().cast(kind) if kind.startswith("map") else F.array().cast(kind)
-        return F.coalesce(name, empty).alias(name)
-
-    texts = "array<string>"
+    All parts become rows of one shape and meet in a single aggregation on the object: one
+    shuffle, where joining each part's own aggregate would hold nine operators' memory per task.
+    """
+    pos = F.col("pos")
+    function = F.coalesce(*[F.nullif(F.col(n), F.lit("")) for n in ("filter_name", "function_name") if n in filters.columns])
+    parts = [
+        _part_rows(direct_grants(grants), "grant", a="principal", b="privilege", c="granted_on"),
+        _part_rows(tags, "tag", a="tag_name", b="tag_value"),
+        _part_rows(filters, "row_filter", pos=pos, a=function, b="using_columns"),
+        _part_rows(masks, "mask", a="column_name", b="function_name", c="using_columns"),
+        _part_rows(properties, "property", a="key", b="value"),
+        _describe_parts(describe),
+    ]
+    rows = _part_rows(objects, "object")
+    for part in parts:
+        rows = rows.unionByName(part)
+
+    def listed(part: str, *cells: str) -> Column:
+        return F.array_sort(F.collect_list(F.when(F.col("part") == part, F.struct(*cells)))).alias(part)
+
+    def first(part: str, cell: str) -> Column:
+        mine = F.col("part") == part
+        return F.min_by(F.when(mine, F.col(cell)), F.when(mine, pos))
+
+    gathered = (
+        rows.groupBy(*KEY)
+        .agg(
+            F.count_if(F.col("part") == "object").alias("wanted"),
+            listed("grant", "a", "b", "c"),
+            listed("tag", "a", "b"),
+            listed("mask", "a", "b", "c"),
+            listed("property", "a", "b"),
+            listed("comment", "pos", "a"),
+            F.array_sort(F.collect_list(F.when(F.col("part") == "column", F.struct("a", "pos", "b")))).alias("column"),
+            F.min(F.when(F.col("part") == "detail", pos)).alias("detail"),
+            first("owner", "a").alias("owner"),
+            first("row_filter", "a").alias("filter_name"),
+            first("row_filter", "b").alias("filter_columns"),
+        )
+        .filter(F.col("wanted") > 0)
+    )
+    before_detail = F.filter("column", lambda e: F.col("detail").isNull() | (e["pos"] < F.col("detail")))
+    after_detail = F.filter("comment", lambda e: e["pos"] > F.col("detail"))
     snapshot = F.struct(
-        filled("grants", "array<struct<principal:string,privilege:string,object_type:string>>"),
+        F.transform("grant", lambda g: F.struct(g["a"].alias("principal"), g["b"].alias("privilege"), g["c"].alias("object_type"))).alias("grants"),
         F.col("owner"),
-        filled("tags", "array<struct<name:string,value:string>>"),
-        F.col("row_filter_name"),
-        filled("row_filter_using_columns", texts),
-        filled("column_masks", "array<struct<column:string,mask_function:string,using_columns:array<string>>>"),
-        F.col("table_comment"),
-        filled("column_comments", "map<string,string>"),
-        filled("table_properties", "map<string,string>"),
+        F.transform("tag", lambda t: F.struct(t["a"].alias("name"), t["b"].alias("value"))).alias("tags"),
+        F.col("filter_name").alias("row_filter_name"),
+        list_cell(F.col("filter_columns")).alias("row_filter_using_columns"),
+        F.transform(
+            "mask", lambda m: F.struct(m["a"].alias("column"), m["b"].alias("mask_function"), list_cell(m["c"]).alias("using_columns"))
+        ).alias("column_masks"),
+        F.try_element_at(after_detail, F.lit(-1))["a"].alias("table_comment"),
+        _as_map(before_detail).alias("column_comments"),
+        _as_map(F.col("property")).alias("table_properties"),
     )
-    return rows.select(
+    return gathered.select(
         *KEY,
         F.to_json(snapshot, {"ignoreNullFields": "false"}).alias("snapshot_json"),
         F.lit(captured_at).cast("timestamp").alias("captured_at"),

@@ -20,6 +20,15 @@ OBJECT_TYPE = """CASE WHEN {k} % 10 = 8 THEN 'VOLUME' WHEN {k} % 20 = 9 THEN 'RE
 
 TEXTS: dict[str, str] = {}
 
+
+# The one difference between the engines: EACH(1, 2) repeats a row once per value.
+_EACH = re.compile(r"EACH\(([^)]*)\)")
+
+
+def _repeated(source: str, name: str, values) -> str:
+    return f"(SELECT *, EACH({', '.join(str(v) for v in values)}) AS {name} FROM {source})"
+
+
 TEXTS["catalogs"] = """
 SELECT r_name AS catalog, CASE WHEN r_regionkey = 4 THEN 'FOREIGN_CATALOG' ELSE 'MANAGED_CATALOG' END AS catalog_type,
   concat('abfss://lake@', CASE WHEN r_regionkey % 2 = 0 THEN 'newacct' ELSE 'OldAcct' END,
@@ -120,7 +129,7 @@ TEXTS["grants"] = """
 SELECT o.catalog, o.schema, o.name, o.object_type, c_custkey AS k, concat('p', (c_custkey + sh * 7) % 20) AS principal,
   CASE (c_custkey + sh) % 4 WHEN 0 THEN 'SELECT' WHEN 1 THEN 'MODIFY' WHEN 2 THEN 'ALL PRIVILEGES' ELSE 'READ VOLUME' END AS privilege,
   CASE (c_custkey + sh * 2) % 5 WHEN 0 THEN 'TABLE' WHEN 1 THEN 'VOLUME' WHEN 2 THEN 'SCHEMA' WHEN 3 THEN 'CATALOG' ELSE 'METASTORE' END AS granted_on
-FROM {customer} CROSS JOIN (SELECT 0 AS sh UNION ALL SELECT 1 AS sh) x JOIN {objects} o ON o.k = c_custkey"""
+FROM """ + _repeated("{customer}", "sh", (0, 1)) + """ c JOIN {objects} o ON o.k = c_custkey"""
 
 TEXTS["live_grants"] = """
 SELECT catalog, schema, name, object_type, k, principal, privilege,
@@ -132,7 +141,7 @@ FROM {grants} WHERE k % 7 <> 0"""
 TEXTS["securable_grants"] = """
 SELECT 'CATALOG' AS kind, concat('cat', s_suppkey) AS securable, concat('p', (s_suppkey + sh) % 4) AS principal,
   CASE WHEN s_suppkey % 9 = 1 THEN 'ALL PRIVILEGES' WHEN sh % 2 = 0 THEN 'USE CATALOG' ELSE 'CREATE SCHEMA' END AS privilege
-FROM {supplier} CROSS JOIN (SELECT 0 AS sh UNION ALL SELECT 1 AS sh UNION ALL SELECT 2 AS sh) x
+FROM """ + _repeated("{supplier}", "sh", (0, 1, 2)) + """ x
 UNION ALL
 SELECT 'SCHEMA' AS kind, concat(catalog, '.', schema) AS securable, concat('p', c_custkey % 4) AS principal,
   CASE c_custkey % 5 WHEN 0 THEN 'USE SCHEMA' WHEN 1 THEN 'CREATE TABLE' WHEN 2 THEN 'MANAGE' WHEN 3 THEN '' ELSE 'ALL PRIVILEGES' END AS privilege
@@ -142,7 +151,7 @@ FROM (SELECT c_custkey, concat('cat', c_custkey % (SELECT count(*) FROM {supplie
 UNION ALL
 SELECT 'EXTERNAL LOCATION' AS kind, concat('loc', s_suppkey) AS securable, concat('p', (s_suppkey + sh) % 4) AS principal,
   CASE sh WHEN 0 THEN 'READ FILES' WHEN 1 THEN 'WRITE FILES' ELSE 'CREATE EXTERNAL TABLE' END AS privilege
-FROM {supplier} CROSS JOIN (SELECT 0 AS sh UNION ALL SELECT 1 AS sh UNION ALL SELECT 2 AS sh) x"""
+FROM """ + _repeated("{supplier}", "sh", (0, 1, 2)) + """ x"""
 
 TEXTS["unreadable_securables"] = """
 SELECT 'SCHEMA' AS kind, concat(catalog, '.', schema) AS securable FROM {wide_schemas} WHERE length(schema) % 7 = 0
@@ -160,18 +169,16 @@ SELECT catalog, schema, name, object_type, size_bytes,
 FROM {objects} WHERE object_type = 'TABLE' AND k % 19 <> 0"""
 
 # Describe rows of the orders' tables: a column named Location on some, then the detail part.
+_DESCRIBE_LABELS = ["id", "Location", "", "# Detailed Table Information", "Comment", "Location", "Owner", "Location"]
 TEXTS["described"] = """
-SELECT o.catalog, o.schema, o.name, o.object_type, d.pos, d.col_name,
-  CASE d.pos WHEN 1 THEN 'bigint' WHEN 2 THEN 'string' WHEN 5 THEN concat('note ', o.k)
-    WHEN 6 THEN CASE WHEN o.k % 4 = 0 THEN '' ELSE concat('s3://newacct/described/t', o.k) END
-    WHEN 7 THEN concat('owner', o.k % 6) WHEN 8 THEN 'late' ELSE NULL END AS data_type,
-  CASE WHEN d.pos = 1 AND o.k % 3 = 0 THEN concat('key of ', o.k) WHEN d.pos = 2 AND o.k % 5 = 0 THEN 'text' ELSE NULL END AS comment
-FROM {objects} o JOIN (
-  SELECT 1 AS pos, 'id' AS col_name UNION ALL SELECT 2 AS pos, 'Location' AS col_name UNION ALL SELECT 3 AS pos, '' AS col_name
-  UNION ALL SELECT 4 AS pos, '# Detailed Table Information' AS col_name UNION ALL SELECT 5 AS pos, 'Comment' AS col_name
-  UNION ALL SELECT 6 AS pos, 'Location' AS col_name UNION ALL SELECT 7 AS pos, 'Owner' AS col_name
-  UNION ALL SELECT 8 AS pos, 'Location' AS col_name) d ON d.pos <> 8 OR o.k % 2 = 0
-WHERE o.object_type = 'TABLE' AND o.k % 7 <> 3 AND (d.pos <> 5 OR o.k % 4 <> 1)"""
+SELECT catalog, schema, name, object_type, pos,
+  CASE pos """ + " ".join(f"WHEN {i} THEN '{label}'" for i, label in enumerate(_DESCRIBE_LABELS, 1)) + """ END AS col_name,
+  CASE pos WHEN 1 THEN 'bigint' WHEN 2 THEN 'string' WHEN 5 THEN concat('note ', k)
+    WHEN 6 THEN CASE WHEN k % 4 = 0 THEN '' ELSE concat('s3://newacct/described/t', k) END
+    WHEN 7 THEN concat('owner', k % 6) WHEN 8 THEN 'late' ELSE NULL END AS data_type,
+  CASE WHEN pos = 1 AND k % 3 = 0 THEN concat('key of ', k) WHEN pos = 2 AND k % 5 = 0 THEN 'text' ELSE NULL END AS comment
+FROM """ + _repeated("{objects}", "pos", range(1, 9)) + """ o
+WHERE object_type = 'TABLE' AND k % 7 <> 3 AND (pos <> 5 OR k % 4 <> 1) AND (pos <> 8 OR k % 2 = 0)"""
 
 TEXTS["filters"] = """
 SELECT catalog, schema, name, object_type, k % 2 AS pos,
@@ -186,10 +193,10 @@ FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey % 4 AS l_suppkey FROM
 JOIN {objects} o ON o.k = l_orderkey WHERE o.object_type = 'TABLE'"""
 
 TEXTS["properties"] = """
-SELECT o.catalog, o.schema, o.name, o.object_type, p.key, concat(p.v, o.k % 9) AS value
-FROM {objects} o JOIN (SELECT 'delta.minReader' AS key, '1' AS v, 0 AS m UNION ALL SELECT 'quality' AS key, 'it''s ' AS v, 1 AS m
-  UNION ALL SELECT 'team' AS key, 'x' AS v, 2 AS m) p ON o.k % 3 <> p.m
-WHERE o.object_type = 'TABLE'"""
+SELECT catalog, schema, name, object_type, CASE m WHEN 0 THEN 'delta.minReader' WHEN 1 THEN 'quality' ELSE 'team' END AS key,
+  concat(CASE m WHEN 0 THEN '1' WHEN 1 THEN 'it''s ' ELSE 'x' END, k % 9) AS value
+FROM """ + _repeated("{objects}", "m", (0, 1, 2)) + """ o
+WHERE object_type = 'TABLE' AND k % 3 <> m"""
 
 # What is listed now: the live name, the shadow and the staging copy by the bits of k % 8.
 TEXTS["listing"] = """
@@ -268,7 +275,7 @@ def derive(spark: SparkSession, sf_dir: str, name: str, made: dict[str, DataFram
     """A driver table or a derived input as a DataFrame; ``made`` keeps what is already defined."""
     if name not in made:
         if name in TEXTS:
-            made[name] = spark.sql(TEXTS[name], **{part: derive(spark, sf_dir, part, made) for part in _inputs(name)})
+            made[name] = spark.sql(_EACH.sub(r"explode(array(\1))", TEXTS[name]), **{part: derive(spark, sf_dir, part, made) for part in _inputs(name)})
         else:
             made[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return made[name]
@@ -286,7 +293,7 @@ def with_inputs(query: str, extra: dict[str, str] | None = None) -> str:
                 ordered.append(part)
 
     visit(query)
-    plain = lambda text: re.sub(r"\{(\w+)\}", r"\1", text)
+    plain = lambda text: re.sub(r"\{(\w+)\}", r"\1", _EACH.sub(r"unnest([\1])", text))
     ctes = ",\n".join(f"{name} AS ({plain(texts[name])}\n)" for name in ordered)
     body = plain(query).strip()
     return (f"WITH {ctes}\n{body}" if ctes else body)

@@ -9,7 +9,10 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A local session for tests and the bench; a cluster brings its own."""
+    """A local session for tests and the bench; a cluster brings its own.
+
+    The method limit makes Spark split long generated methods that HotSpot would not compile.
+    """
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("estate")
@@ -17,6 +20,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

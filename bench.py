@@ -68,7 +68,8 @@ def copy_rate(spark, sf_dir: str) -> tuple[float, float]:
     source, target = scratch_path(spark, "tree"), scratch_path(spark, "copy")
     documents = inputs("documents").select("source", "lang", F.col("text").alias("value"))
     documents.repartition(8).write.partitionBy("source", "lang").option("maxRecordsPerFile", 1).text(source)
-    pairs = files.copy_pairs(listings.list_tree(spark, source), source_root=source, target_root=target)
+    listed = listings.list_tree(spark, source).filter(F.col("relpath").endswith(".txt"))
+    pairs = files.copy_pairs(listed, source_root=source, target_root=target)
     started = time.perf_counter()
     copied = files.copy_files(pairs, partitions=32).filter(F.col("status") == "copied").count()
     seconds = time.perf_counter() - started

@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from estate.operators.ranking import top_rows_per_group
 from estate.session import shared_folder
-from estate.sources.listings import list_tree
+from estate.sources.listings import list_tree, path_opener
 
 COPY_BLOCK = 8 * 1024 * 1024
+HASH_PARTITIONS = 256
 
 
 def pair_listings(source: DataFrame, target: DataFrame, *, keys: Sequence[str], value: str) -> DataFrame:
@@ -135,7 +136,7 @@ def copy_files(pairs: DataFrame, *, partitions: int = 256) -> DataFrame:
     leaves either the whole file or none. Files already there with their size are skipped. Paths
     may be local mounts or any URL Arrow can open.
     """
-    block = COPY_BLOCK
+    block, open_path = COPY_BLOCK, path_opener()
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import posixpath
@@ -143,9 +144,6 @@ def copy_files(pairs: DataFrame, *, partitions: int = 256) -> DataFrame:
 
         from pyarrow import fs
 
-        def open_path(path: str):
-            return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
-
         def one(src: str, dst: str, size) -> tuple[str, str | None]:
             try:
                 source, source_path = open_path(src)
@@ -182,7 +180,7 @@ def copy_and_verify(spark: SparkSession, source_root: str, target_root: str, *,
     shared_folder(spark)
     whole = lambda rows: rows.select(F.lit(target_root).alias("tree"), "relpath", "size")
     source = whole(list_tree(spark, source_root))
-    before = whole(_tree_or_empty(spark, target_root))
+    before = whole(list_tree(spark, target_root))
     todo = plan_copy(source, before, keys=["tree"]).filter(~F.col("done"))
     statuses = copy_files(copy_pairs(todo, source_root=source_root, target_root=target_root), partitions=partitions).checkpoint()
     verdict = compare_listings(source, whole(list_tree(spark, target_root)), keys=["tree"])
@@ -190,42 +188,18 @@ def copy_and_verify(spark: SparkSession, source_root: str, target_root: str, *,
     return verdict.withColumn("copied", count("copied")).withColumn("failed", count("failed"))
 
 
-def _tree_or_empty(spark: SparkSession, root: str) -> DataFrame:
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    exists = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-    return list_tree(spark, root) if exists else spark.createDataFrame([], "relpath string, size long, path string")
-
-
-def file_hashes(spark: SparkSession, root: str, *, fraction: float = 1.0, whole_file_bytes: int = 64 * 1024 * 1024) -> DataFrame:
+def file_hashes(spark: SparkSession, root: str, *, fraction: float = 1.0, partitions: int = HASH_PARTITIONS) -> DataFrame:
     """``relpath`` and the md5 of the whole content of each (sampled) file.
 
-    Small files are hashed inside Spark from the binary source, with the size filter in the scan;
-    larger ones are read in blocks on the executors, so no file is held in memory whole.
+    Files are read in blocks on the executors, so a file of any size takes one block of memory;
+    the sample is taken from the listing, before any content is read.
     """
-    block = COPY_BLOCK
-    listing = checksum_sample(list_tree(spark, root), fraction=fraction)
-    base = root.rstrip("/")
-    tail = base.split(":", 1)[-1].rstrip("/").lstrip("/") + "/"
-    content = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(base)
-        .filter(F.col("length") <= whole_file_bytes)
-    )
-    start = F.locate(tail, F.col("path")) + F.lit(len(tail))
-    inline = checksum_sample(
-        content.select(F.substring("path", start, F.length("path")).alias("relpath"), "content"), fraction=fraction
-    ).select("relpath", F.md5("content").alias("content_hash"))
+    block, open_path = COPY_BLOCK, path_opener()
 
-    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import hashlib
 
-        from pyarrow import fs
-
-        def open_path(path: str):
-            return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
-
-        def digest(path: str) -> str:
+        def one(path: str) -> str:
             filesystem, inner = open_path(path)
             total = hashlib.md5()
             with filesystem.open_input_stream(inner) as reader:
@@ -234,8 +208,8 @@ def file_hashes(spark: SparkSession, root: str, *, fraction: float = 1.0, whole_
             return total.hexdigest()
 
         for batch in batches:
-            yield pd.DataFrame({"relpath": batch["relpath"], "content_hash": [digest(p) for p in batch["path"]]})
+            yield pd.DataFrame({"relpath": batch["relpath"], "content_hash": [one(p) for p in batch["path"]]})
 
-    large = listing.filter(F.col("size") > whole_file_bytes).select("relpath", "path")
-    streamed = large.repartition("relpath").mapInPandas(stream, "relpath string, content_hash string")
-    return inline.unionByName(streamed)
+    chosen = checksum_sample(list_tree(spark, root), fraction=fraction)
+    spread = chosen.select("relpath", "path").repartition(partitions, "relpath")
+    return spread.mapInPandas(digest, "relpath string, content_hash string")

@@ -6,23 +6,82 @@ DataFrames have no row order, so ``pos`` must come with the listing.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from estate.functions.urls import first_url_cell, storage_account
+from estate.session import shared_folder
 from estate.settings import KEY
 
 
-def list_tree(spark: SparkSession, root: str) -> DataFrame:
-    """``relpath``, ``size`` and ``path`` of every file below ``root``; contents are not read."""
+def path_opener():
+    """A function that opens a path on any worker: a local path, or any URL Arrow knows.
+
+    It is made here, inside a function, so that Spark sends it by value and the workers need no
+    copy of this package. Only scheme and host are read as a URL; the rest may hold any character.
+    """
+
+    def open_path(path: str):
+        import posixpath
+
+        from pyarrow import fs
+
+        scheme, is_url, rest = path.partition("://")
+        if not is_url:
+            return fs.LocalFileSystem(), path.removeprefix("file:")
+        if scheme == "file":
+            return fs.LocalFileSystem(), rest
+        host, _, inner = rest.partition("/")
+        scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+        filesystem, base = fs.FileSystem.from_uri(f"{scheme}://{host}/")
+        return filesystem, posixpath.join(base, inner)
+
+    return open_path
+
+
+def list_tree(spark: SparkSession, root: str, *, parallelism: int = 256) -> DataFrame:
+    """``relpath``, ``size`` and ``path`` of every file below ``root``; none when there is no root.
+
+    Spark's own file sources leave out empty files and names that begin with ``_`` or ``.``, so
+    the executors list the directories instead, one level of the tree per round. Each round is
+    checkpointed to the shared folder; the driver sees only how many directories are left.
+    """
+    shared_folder(spark)
     base = root.rstrip("/")
-    tail = base.split(":", 1)[-1].rstrip("/").lstrip("/") + "/"
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
-    start = F.locate(tail, F.col("path")) + F.lit(len(tail))
-    return found.select(
-        F.substring("path", start, F.length("path")).alias("relpath"), F.col("length").alias("size"), "path"
-    )
+    open_path = path_opener()
+
+    def list_directories(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for directory in batch["path"]:
+                filesystem, inner = open_path(directory)
+                infos = filesystem.get_file_info(fs.FileSelector(inner, allow_not_found=True))
+                for start in range(0, len(infos), 10000):
+                    part = infos[start : start + 10000]
+                    yield pd.DataFrame(
+                        {
+                            "path": [f"{directory}/{i.base_name}" for i in part],
+                            "size": [i.size or 0 for i in part],
+                            "is_directory": [i.type == fs.FileType.Directory for i in part],
+                        }
+                    )
+
+    level = spark.createDataFrame([(base,)], "path string")
+    files, waiting = None, 1
+    while waiting:
+        entries = (
+            level.repartition(min(waiting, parallelism), "path")
+            .mapInPandas(list_directories, "path string, size long, is_directory boolean")
+            .checkpoint()
+        )
+        found = entries.filter(~F.col("is_directory"))
+        files = found if files is None else files.unionByName(found)
+        level = entries.filter("is_directory").select("path")
+        waiting = level.count()
+    return files.select(F.substring("path", F.lit(len(base) + 2), F.length("path")).alias("relpath"), "size", "path")
 
 
 def files_read(table: DataFrame) -> DataFrame:

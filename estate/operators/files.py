@@ -17,7 +17,14 @@ from estate.session import shared_folder
 from estate.sources.listings import list_tree, path_opener
 
 COPY_BLOCK = 8 * 1024 * 1024
-HASH_PARTITIONS = 256
+FILES_PER_TASK = 2000
+BYTES_PER_TASK = 64 * 1024**3
+
+
+def _task_count(files: DataFrame) -> int:
+    """Tasks for work on files: by their number and bytes, at least enough to keep a cluster busy."""
+    found = files.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
+    return max(min(found["n"], 256), found["n"] // FILES_PER_TASK, found["bytes"] // BYTES_PER_TASK, 1)
 
 
 def pair_listings(source: DataFrame, target: DataFrame, *, keys: Sequence[str], value: str) -> DataFrame:
@@ -129,7 +136,7 @@ def checksum_sample(listing: DataFrame, *, fraction: float) -> DataFrame:
     return listing.filter(bucket < F.lit(fraction * 0xFFFFFFFF))
 
 
-def copy_files(pairs: DataFrame, *, partitions: int = 256) -> DataFrame:
+def copy_files(pairs: DataFrame, *, partitions: int | None = None) -> DataFrame:
     """Copy ``src`` to ``dst`` on the executors: one status row per file.
 
     A file goes to a temporary name and is renamed when complete, so a retried or speculative task
@@ -167,11 +174,11 @@ def copy_files(pairs: DataFrame, *, partitions: int = 256) -> DataFrame:
             batch["error"] = [error for _, error in results]
             yield batch[["relpath", "size", "status", "error"]]
 
-    spread = pairs.select("relpath", "size", "src", "dst").repartition(partitions, "relpath")
+    spread = pairs.select("relpath", "size", "src", "dst").repartition(partitions or _task_count(pairs), "relpath")
     return spread.mapInPandas(copy, "relpath string, size long, status string, error string")
 
 
-def copy_and_verify(spark: SparkSession, source_root: str, target_root: str, *, partitions: int = 256) -> DataFrame:
+def copy_and_verify(spark: SparkSession, source_root: str, target_root: str, *, partitions: int | None = None) -> DataFrame:
     """Copy what the target lacks, list it again and compare: one row with the verdict.
 
     The statuses are checkpointed to the shared folder, so the copy runs once even when an
@@ -188,7 +195,7 @@ def copy_and_verify(spark: SparkSession, source_root: str, target_root: str, *,
     return verdict.withColumn("copied", count("copied")).withColumn("failed", count("failed"))
 
 
-def file_hashes(spark: SparkSession, root: str, *, fraction: float = 1.0, partitions: int = HASH_PARTITIONS) -> DataFrame:
+def file_hashes(spark: SparkSession, root: str, *, fraction: float = 1.0, partitions: int | None = None) -> DataFrame:
     """``relpath`` and the md5 of the whole content of each (sampled) file.
 
     Files are read in blocks on the executors, so a file of any size takes one block of memory;
@@ -211,5 +218,5 @@ def file_hashes(spark: SparkSession, root: str, *, fraction: float = 1.0, partit
             yield pd.DataFrame({"relpath": batch["relpath"], "content_hash": [one(p) for p in batch["path"]]})
 
     chosen = checksum_sample(list_tree(spark, root), fraction=fraction)
-    spread = chosen.select("relpath", "path").repartition(partitions, "relpath")
+    spread = chosen.select("relpath", "path").repartition(partitions or _task_count(chosen), "relpath")
     return spread.mapInPandas(digest, "relpath string, content_hash string")

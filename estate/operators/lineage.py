@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from estate.functions.text import dotted_name
 
@@ -16,8 +16,10 @@ def _scope(inventory: DataFrame, classes: list[str]) -> DataFrame:
     return inventory.filter(F.col("classification").isin(classes)).select(*NAME).distinct()
 
 
-def _since(days: int, as_of):
-    return F.lit(as_of).cast("timestamp") - F.make_dt_interval(days=F.lit(days))
+def _recent(rows: DataFrame, days: int, as_of) -> Column:
+    """Later than ``days`` before ``as_of``; the bound takes the column's own type, so it reaches the scan."""
+    bound = F.lit(as_of).cast(rows.schema["event_time"].dataType) - F.make_dt_interval(days=F.lit(days))
+    return F.col("event_time") > bound
 
 
 def lineage_consumers(inventory: DataFrame, lineage: DataFrame, *, days: int, as_of) -> DataFrame:
@@ -27,7 +29,7 @@ def lineage_consumers(inventory: DataFrame, lineage: DataFrame, *, days: int, as
     read once and meet the scope in one equi-join; a condition with OR would compare every pair.
     An edge between two objects in scope therefore appears twice.
     """
-    recent = lineage.filter(F.col("event_time").cast("timestamp") > _since(days, as_of))
+    recent = lineage.filter(_recent(lineage, days, as_of))
     end = lambda side: F.struct(*[F.col(f"{side}_table_{part}").alias(part) for part in NAME])
     edges = recent.select(
         F.col("source_table_full_name").alias("source"),
@@ -43,9 +45,9 @@ def lineage_consumers(inventory: DataFrame, lineage: DataFrame, *, days: int, as
 def recent_writes(inventory: DataFrame, audit: DataFrame, *, days: int, as_of) -> DataFrame:
     """Write actions on objects in scope, matched by the full name in the request parameters."""
     scope = _scope(inventory, WRITER_SCOPE).select(dotted_name(*NAME).alias("full_name"))
-    writes = audit.filter(
-        (F.col("event_time").cast("timestamp") > _since(days, as_of)) & F.col("action_name").isin(WRITE_ACTIONS)
-    ).withColumn("full_name", F.try_element_at("request_params", F.lit("full_name_arg")))
+    writes = audit.filter(_recent(audit, days, as_of) & F.col("action_name").isin(WRITE_ACTIONS)).withColumn(
+        "full_name", F.try_element_at("request_params", F.lit("full_name_arg"))
+    )
     return writes.join(scope, "full_name").select(
         "event_time", F.col("user_identity.email").alias("actor"), "action_name", "request_params"
     )

@@ -103,12 +103,15 @@ def log_directory_evidence(objects: DataFrame, entries: DataFrame) -> DataFrame:
     """
     counts = entries.groupBy("root").agg(F.count(F.lit(1)).alias("_entries"))
     applies = F.col("data_source_format").eqNullSafe("DELTA") & _is_external() & (F.coalesce("location", F.lit("")) != "")
-    root = F.concat(F.rtrim("location", F.lit("/")), F.lit("/_delta_log"))
+    folder = F.concat(F.rtrim("location", F.lit("/")), F.lit("/_delta_log"))
+    # Objects it does not apply to get a key of their own: equal or null keys would all meet in one task.
+    rows = objects.withColumn("_applies", applies)
+    rows = rows.withColumn("root", F.when(F.col("_applies"), folder).otherwise(F.concat_ws("\n", *KEY)))
+    found = F.coalesce(F.col("_entries") > 0, F.lit(False))
     return (
-        objects.withColumn("root", F.when(applies, root))
-        .join(counts, "root", "left")
-        .withColumn("delta_log_at_new_ok", F.when(F.col("root").isNotNull(), F.coalesce(F.col("_entries") > 0, F.lit(False))))
-        .drop("root", "_entries")
+        rows.join(counts, "root", "left")
+        .withColumn("delta_log_at_new_ok", F.when(F.col("_applies"), found))
+        .drop("root", "_entries", "_applies")
     )
 
 

@@ -79,8 +79,11 @@ def drop_decisions(gated: DataFrame, listing: DataFrame) -> DataFrame:
     ).groupBy("_name", "_type").agg(F.max(F.col("_state")).alias("_state"))
 
     def looked_up(rows: DataFrame, name: str, flag: str) -> DataFrame:
-        side = found.select(F.col("_name").alias(name), F.col("_type").alias("_kind"), F.col("_state").alias(flag))
-        return rows.join(side, [name, "_kind"], "left").withColumn(flag, F.coalesce(flag, F.lit("no")))
+        side = found.select(F.col("_name"), F.col("_type").alias("_kind"), F.col("_state").alias(flag))
+        # A target without this name is looked up under its raw text, which no quoted name equals:
+        # null keys would all meet in one task.
+        keyed = rows.withColumn("_name", F.coalesce(name, F.concat(F.lit("?"), F.coalesce("pre_migration_fqn", F.lit("")))))
+        return keyed.join(side, ["_name", "_kind"], "left").withColumn(flag, F.coalesce(flag, F.lit("no"))).drop("_name")
 
     rows = gated.withColumn("_kind", F.upper("object_type"))
     rows = looked_up(looked_up(rows, "fqn", "_shadow"), "live_fqn", "_live")

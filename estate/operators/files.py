@@ -51,30 +51,38 @@ def _verdicts(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("difference", difference)
 
 
-def _compare(source: DataFrame, target: DataFrame, keys: Sequence[str], value: str, evidence: int, totals: bool) -> DataFrame:
-    pairs = _verdicts(pair_listings(source, target, keys=keys, value=value))
-    kinds = ("missing", "extra", "mismatch")
+KINDS = ("missing", "extra", "mismatch")
+
+
+def _summary(pairs: DataFrame, keys: Sequence[str], totals: bool) -> DataFrame:
     duplicated = (F.col("source_rows") > 1) | (F.col("target_rows") > 1)
     counts = [
         F.count_if(F.col("source_rows") > 0).alias("source_files"),
         F.count_if(F.col("target_rows") > 0).alias("target_files"),
-        *[F.count_if(F.col("difference") == k).alias(f"{k}_files") for k in kinds],
+        *[F.count_if(F.col("difference") == k).alias(f"{k}_files") for k in KINDS],
         F.count_if(duplicated).alias("duplicate_paths"),
     ]
     if totals:
         counts += [F.coalesce(F.sum(f"{s}_value"), F.lit(0)).alias(f"{s}_bytes") for s in ("source", "target")]
     clean = F.lit(True)
-    for column in (*[f"{k}_files" for k in kinds], "duplicate_paths"):
+    for column in (*[f"{k}_files" for k in KINDS], "duplicate_paths"):
         clean = clean & (F.col(column) == 0)
-    summary = pairs.groupBy(*keys).agg(*counts).withColumn("match", clean)
+    return pairs.groupBy(*keys).agg(*counts).withColumn("match", clean)
+
+
+def _compare(source: DataFrame, target: DataFrame, keys: Sequence[str], value: str, evidence: int) -> DataFrame:
+    pairs = _verdicts(pair_listings(source, target, keys=keys, value=value))
+    summary = _summary(pairs, keys, totals=value == "size")
     shown = top_rows_per_group(
         pairs.filter(F.col("difference").isNotNull()).select(*keys, "difference", "relpath"), [*keys, "difference"], ["relpath"], evidence
     )
-    listed = shown.groupBy(*keys).agg(
-        *[F.array_sort(F.collect_list(F.when(F.col("difference") == k, F.col("relpath")))).alias(k) for k in kinds]
+    listed = shown.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+        *[F.array_sort(F.collect_list(F.when(F.col("difference") == k, F.col("relpath")))).alias(k) for k in KINDS]
     )
-    rows = summary.join(listed, list(keys), "left")
-    for kind in kinds:
+    # Null-safe keys add no filter to one side, so both sides share the shuffle of the pairs.
+    same_group = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    rows = summary.join(listed, same_group, "left").drop(*[f"_{k}" for k in keys])
+    for kind in KINDS:
         rows = rows.withColumn(kind, F.coalesce(kind, F.array().cast("array<string>")))
     return rows
 
@@ -82,12 +90,17 @@ def _compare(source: DataFrame, target: DataFrame, keys: Sequence[str], value: s
 def compare_listings(source: DataFrame, target: DataFrame, *, keys: Sequence[str], evidence: int = 50) -> DataFrame:
     """Per group: same paths and same sizes? Counts and bytes are exact; the path lists are the
     first ``evidence`` of each kind. A path listed twice on a side fails the match."""
-    return _compare(source, target, keys, "size", evidence, True)
+    return _compare(source, target, keys, "size", evidence)
 
 
 def compare_hashes(source: DataFrame, target: DataFrame, *, keys: Sequence[str], evidence: int = 50) -> DataFrame:
     """As ``compare_listings`` with ``content_hash``: finds files of equal size that differ."""
-    return _compare(source, target, keys, "content_hash", evidence, False)
+    return _compare(source, target, keys, "content_hash", evidence)
+
+
+def hash_verdicts(source: DataFrame, target: DataFrame, *, keys: Sequence[str]) -> DataFrame:
+    """Counts and ``match`` of ``compare_hashes`` without the path lists."""
+    return _summary(_verdicts(pair_listings(source, target, keys=keys, value="content_hash")), keys, totals=False)
 
 
 def partition_parity(source: DataFrame, target: DataFrame, *, keys: Sequence[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from estate.functions.text import dotted_name
 from estate.functions.urls import is_on_account, storage_account
-from estate.operators.files import compare_hashes
+from estate.operators.files import hash_verdicts
 from estate.settings import KEY
 
 LAYERS = [
@@ -146,7 +146,7 @@ def table_checksum_evidence(objects: DataFrame, source: DataFrame, target: DataF
 
 def volume_hash_evidence(objects: DataFrame, source: DataFrame, target: DataFrame) -> DataFrame:
     """Layer 6: file hashes of shadow and live volume; managed volumes with both listings only."""
-    compared = compare_hashes(source, target, keys=KEY)
+    compared = hash_verdicts(source, target, keys=KEY)
     both = (F.col("source_files") > 0) & (F.col("target_files") > 0)
     known = compared.filter(both).select(*KEY, F.col("match").alias("_match"))
     applies = ~_is_external() & _is_volume()

@@ -2,8 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks.derived import NEW, OLD
-from checks.registry import AS_OF, CLASSES, KEYS, SAME, query
+from checks.registry import AS_OF, KEYS, SAME, query
 from estate.operators import inventory as inv
 from estate.session import scratch_path
 from estate.settings import KEY

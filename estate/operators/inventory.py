@@ -18,9 +18,7 @@ from estate.settings import (
     UNLISTED_CATALOG_KINDS,
 )
 
-LISTING = ["catalog", "schema", "name", "table_type", "data_source_format", "owner", "created_at", "last_altered", "storage_path"]
-
-# Our column names first, then the prefix-free names the listings use.
+# Each listing names its columns after its kind of object.
 _PREFIXES = {"TABLE": "table", "VOLUME": "volume", "REGISTERED_MODEL": "model", "FUNCTION": "routine"}
 
 

@@ -9,7 +9,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from estate.functions.text import dotted_name
 from estate.functions.urls import is_on_account, storage_account
 from estate.operators.files import hash_verdicts
 from estate.settings import KEY

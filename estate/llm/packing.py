@@ -11,6 +11,7 @@ only the last round's leavings stay. One group's state is a table of gaps and it
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -27,11 +28,17 @@ _CACHE_WORDS = 400_000
 _tokenizers: dict[str, "WordCache"] = {}
 
 
+#: Letters of ASCII and Latin-1, then marks of ASCII: the pre-tokenizer makes two pieces of such a word,
+#: and the normaliser lower-cases its letters and changes nothing else.
+_PLAIN_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)")
+
+
 class WordCache:
     """Ids of words between ASCII white space, as little-endian 32-bit numbers.
 
     The tokenizer's pre-tokenizer never joins text over white space, and its normaliser works on each
-    side of it alone, so the ids of a text are those of its words one after another. A bounded number
+    side of it alone, so the ids of a text are those of its words one after another. Plain words go to
+    the tokenizer's model by their two pieces, all others through the whole tokenizer. A bounded number
     of words is kept; when it is reached, the words seen since the last time stay.
     """
 
@@ -41,22 +48,44 @@ class WordCache:
         self.tokenizer = Tokenizer.from_file(path)
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
+        byte_level = self.tokenizer.pre_tokenizer
+        self.mapped = {i: "".join(piece for piece, _ in byte_level.pre_tokenize_str(chr(i))) for i in range(0xDF, 0x100) if chr(i).isalpha()}
+
+    def _whole(self, words: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(c.ids, "<u4").tobytes() for c in coded]
+
+    def _plain(self, letters: str, marks: str) -> bytes:
+        letters = letters.lower()
+        first = self.letters.get(letters)
+        if first is None:
+            first = b"".join(t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(letters.translate(self.mapped)))
+            self.letters[letters] = first
+        if marks not in self.marks:
+            self.marks[marks] = self._whole([marks])[0]
+        return first + self.marks[marks]
 
     def learn(self, words: set[bytes]) -> None:
         if len(self.new) > _CACHE_WORDS:
             self.old, self.new = self.new, {}
+        if len(self.letters) > _CACHE_WORDS or len(self.marks) > _CACHE_WORDS:
+            self.letters, self.marks = {}, {"": b""}
         missing = []
         for w in words:
             if w not in self.new:
                 known = self.old.get(w)
                 if known is None:
-                    missing.append(w)
-                else:
-                    self.new[w] = known
-        if missing:
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-            for w, c in zip(missing, coded, strict=True):
-                self.new[w] = np.array(c.ids, "<u4").tobytes()
+                    word = w.decode()
+                    plain = _PLAIN_WORD.fullmatch(word)
+                    if plain is None:
+                        missing.append(word)
+                        continue
+                    known = self._plain(*plain.groups())
+                self.new[w] = known
+        for w, ids in zip(missing, self._whole(missing), strict=True):
+            self.new[w.encode()] = ids
 
     def ids(self, text: bytes) -> bytes:
         words = text.split()

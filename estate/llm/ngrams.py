@@ -80,17 +80,34 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: Column, rows: in
 
 
 class SparseRows:
-    """Rows of codes and values, with the two products that a linear fit needs."""
+    """Rows of codes, with values or ones, and the two products that a linear fit needs.
 
-    def __init__(self, sizes: np.ndarray, codes: np.ndarray, values: np.ndarray, columns: int):
-        self.rows = np.repeat(np.arange(len(sizes)), sizes)
+    Products go over a million entries at a time, so that beside the codes little memory is used.
+    """
+
+    def __init__(self, sizes: np.ndarray, codes: np.ndarray, values: np.ndarray | None, columns: int):
         self.n, self.columns, self.codes, self.values = len(sizes), columns, codes, values
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        cuts = np.unique(np.append(np.searchsorted(ends, np.arange(0, ends[-1], 1 << 20)), self.n))
+        self.parts = [(a, b, ends[a], ends[b], sizes[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def times(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.rows, weights[self.codes] * self.values, minlength=self.n)
+        out = np.zeros(self.n)
+        for a, b, first, last, sizes in self.parts:
+            each = weights[self.codes[first:last]]
+            if self.values is not None:
+                each = each * self.values[first:last]
+            out[a:b] = np.bincount(np.repeat(np.arange(b - a), sizes), each, minlength=b - a)
+        return out
 
     def transposed(self, per_row: np.ndarray) -> np.ndarray:
-        return np.bincount(self.codes, per_row[self.rows] * self.values, minlength=self.columns)
+        out = np.zeros(self.columns)
+        for a, b, first, last, sizes in self.parts:
+            each = np.repeat(per_row[a:b], sizes)
+            if self.values is not None:
+                each = each * self.values[first:last]
+            out += np.bincount(self.codes[first:last], each, minlength=self.columns)
+        return out
 
 
 def list_column(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:

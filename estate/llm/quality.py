@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from estate.llm.arrays import SPACED, WordHash, find_words, ragged, text_bytes, text_slices
 from estate.llm.ngrams import SparseRows, adam, gram_counts, labelled_sample, list_column, sigmoid
 
-#: Features beside the n-grams: share of distinct words (in ten steps).
-EXTRA = 10
+#: Features beside the n-grams, in ten steps each: share of distinct words, share of words that repeat the one before.
+STEPS = 10
+EXTRA = 2 * STEPS
 
 
 @dataclass
@@ -30,7 +31,7 @@ class QualityModel:
 
 
 def _vectors(batch: pa.RecordBatch, sizes: tuple[int, ...], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each text, codes and values: square roots of the n-grams' shares, and the distinct words' step."""
+    """For each text, codes and values: square roots of the n-grams' shares, and the steps of the two word shares."""
     data, offsets = text_bytes(batch.column("text"))
     starts, ends, counts = find_words(data, offsets, SPACED)
     words = WordHash(3)(data, starts, ends)
@@ -38,9 +39,10 @@ def _vectors(batch: pa.RecordBatch, sizes: tuple[int, ...], bits: int) -> Iterat
         codes = np.flatnonzero(total)
         own = words[counts[i] : counts[i + 1]]
         # Distinct among the words, set against a text's length by Heaps' law: the share falls with the root of it.
-        step = min(EXTRA - 1, int(EXTRA * len(np.unique(own)) / max(1.0, 4 * len(own) ** 0.75)))
+        distinct = min(STEPS - 1, int(STEPS * len(np.unique(own)) / max(1.0, 4 * len(own) ** 0.75)))
+        again = min(STEPS - 1, int(2 * STEPS * (own[1:] == own[:-1]).sum() / max(1, len(own) - 1)))
         values = np.sqrt(total[codes] / max(1, total.sum()))
-        yield np.append(codes, (1 << bits) + step), np.append(values, 0.5)
+        yield np.append(codes, [(1 << bits) + distinct, (1 << bits) + STEPS + again]), np.append(values, [0.5, 0.5])
 
 
 def _features(sizes: tuple[int, ...], bits: int):

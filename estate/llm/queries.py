@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estate.llm import decontaminate, exact, linededup, packing, sharding
+from estate.llm import decontaminate, exact, linededup, packing, quality, sharding, substrings, toxicity
+from estate.llm.ngrams import held_out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,29 @@ def word_tokenizer() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def quality_grade() -> Column:
+    """Ratings of `labels`: 0 poor, 1 good but toxic, 2 good and clean."""
+    return F.when(F.col("quality") == 0, 0).when(F.col("quality") == 1, F.when(F.col("toxic") == 1, 1).otherwise(2))
+
+
+def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows of `docs` with expected_grade and tail, by a model fitted on labelled rows of the documents."""
+    model = quality.fit_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), quality_grade(), grades=3)
+    return quality.score_quality(docs, model)
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_scores(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), sf_dir)
+    return rows.select(
+        "doc_id", held_out("doc_id").alias("held_out"), "expected_grade", F.element_at("tail", 1).alias("p_at_least_1"),
+        F.element_at("tail", 2).alias("p_at_least_2"), quality.selected(1).alias("selected"),
+    )
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), word_tokenizer(), capacity=4096, end_id=1)
 
@@ -29,6 +53,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=50, digest=True)
+    return rows.withColumnRenamed("kept", "kept_sha256")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = decontaminate.benchmark_hits(docs, table(spark, sf_dir, "benchmark"), window=10)
@@ -55,7 +84,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int"), "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op4_line_dedup, op7_decontamination, op9_exact_dedup, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_packing, op4_line_dedup, op6_substring_dedup, op7_decontamination, op9_exact_dedup, op10_sharding)}
 ORACLES = {
     "op4_line_dedup": """
 WITH l AS (SELECT doc_id, rowid AS r, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

@@ -44,8 +44,8 @@ def log_count_ratios(x: SparseRows, y: np.ndarray, smoothing: float = 1.0) -> np
 
 
 def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, rows: int = 8000, sizes: tuple[int, ...] = (3, 4, 5), bits: int = 18, penalty: float = 1e-3,
-    steps: int = 80, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+    docs: DataFrame, labels: DataFrame, rows: int = 8000, sizes: tuple[int, ...] = (3, 4, 5), bits: int = 18, penalty: float = 1e-2,
+    steps: int = 60, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
 ) -> ToxicityModel:
     """Fit on at most `rows` labelled rows that are not held out; the tasks extract the features.
 
@@ -58,14 +58,13 @@ def fit_toxicity(
         share = (y.sum() + 1) / (len(y) + 2)
         return ToxicityModel(np.zeros(1 << bits, np.float32), float(np.log(share / (1 - share))), sizes, bits)
     count, codes = list_column(data, "codes")
-    x = SparseRows(count, codes, np.ones(len(codes), np.float32), 1 << bits)
+    x = SparseRows(count, codes, None, 1 << bits)
     ratio = log_count_ratios(x, y)
-    x.values = ratio[codes].astype(np.float32)
     weigh = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
 
     def gradient(p: np.ndarray) -> np.ndarray:
-        error = weigh * (sigmoid(x.times(p[:-1]) + p[-1]) - y) / len(y)
-        return np.append(x.transposed(error) + penalty * p[:-1], error.sum())
+        error = weigh * (sigmoid(x.times(p[:-1] * ratio) + p[-1]) - y) / len(y)
+        return np.append(ratio * x.transposed(error) + penalty * p[:-1], error.sum())
 
     p = adam(gradient, np.zeros((1 << bits) + 1), steps, 0.01)
     return ToxicityModel((p[:-1] * ratio).astype(np.float32), float(p[-1]), sizes, bits)

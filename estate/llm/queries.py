@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estate.llm import decontaminate, exact, linededup, packing, quality, sharding, substrings, toxicity
+from estate.llm import decontaminate, exact, jaccard, linededup, packing, quality, sharding, substrings, toxicity
 from estate.llm.ngrams import held_out
 
 
@@ -69,6 +69,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_components(table(spark, sf_dir, "documents"), percent=80, shingle=5)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -84,7 +88,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int"), "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_packing, op4_line_dedup, op6_substring_dedup, op7_decontamination, op9_exact_dedup, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_packing, op4_line_dedup, op6_substring_dedup, op7_decontamination, op8_jaccard_join, op9_exact_dedup, op10_sharding)}
 ORACLES = {
     "op4_line_dedup": """
 WITH l AS (SELECT doc_id, rowid AS r, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

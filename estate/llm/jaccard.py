@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from estate.llm.arrays import LOWER, SPACED, WindowHash, WordHash, find_words, mix, ragged, text_bytes, text_slices, window_starts
 from estate.llm.components import components
 from estate.llm.packed import flat, groups_of, pack, text_buckets
-from estate.llm.storage import stored
+from estate.llm.storage import fresh_name, stored
 
 #: Groups of so many sets are tried pair by pair at once.
 SMALL = 8
@@ -236,8 +236,8 @@ def _send_sets(shingle: int):
             size[first] = sets.sizes[first]
             keep = np.repeat(size > 0, sets.sizes)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sets.names.view(np.int64), mask=sets.sizes == 0), pa.array(sets.sizes, pa.int64()), ragged(sets.hashes[keep].view(np.int64), size, pa.int64())],
-                names=["doc_id", "id", "n", "hashes"],
+                [batch.column("rid"), batch.column("doc_id"), pa.array(sets.names.view(np.int64), mask=sets.sizes == 0), pa.array(sets.sizes, pa.int64()), ragged(sets.hashes[keep].view(np.int64), size, pa.int64())],
+                names=["rid", "doc_id", "id", "n", "hashes"],
             )
 
     return run
@@ -264,9 +264,13 @@ def _ordered(x, y) -> list:
 
 
 def similar_sets(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 24 << 20) -> tuple[DataFrame, DataFrame]:
-    """(members, components): every row's set (doc_id, id, n), and the component of each set that has a link."""
+    """(members, components): every row's set (rid, doc_id, id, n), and the component of each set that has a link.
+
+    rid is the row's number as `monotonically_increasing_id` gives it, so `docs` has to be a stable
+    source, such as files.
+    """
     scheme = Scheme.of(percent)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     buckets = min(1 << 20, text_buckets(docs, text_col, bucket_bytes))
     sent = rows.select("text").mapInArrow(_send_signatures(scheme, shingle, buckets), SENT)
     met = stored(sent.groupBy("bucket").applyInArrow(_meet, "pair boolean, a long, b long, beside int, spare int"), "signatures")
@@ -280,6 +284,7 @@ def similar_sets(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: s
     pairs = stored(pairs.unionByName(star).distinct(), "pairs")
     wanted = stored(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).unionByName(large.select("id")).distinct(), "wanted-sets")
     # Sets of the wanted names alone are kept: first by the filter, then by the names themselves.
+    kept = ["rid", "doc_id", "id", "n"]
     sieve = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted))
 
     def sift(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,13 +299,13 @@ def similar_sets(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: s
             sizes = np.diff(np.asarray(hashes.offsets))
             keep = np.repeat(hit, sizes)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("id"), batch.column("n"), ragged(np.asarray(hashes.flatten())[keep], np.where(hit, sizes, 0), pa.int64())], names=["doc_id", "id", "n", "hashes"]
+                [*(batch.column(c) for c in kept), ragged(np.asarray(hashes.flatten())[keep], np.where(hit, sizes, 0), pa.int64())], names=[*kept, "hashes"]
             )
 
-    every = rows.mapInArrow(_send_sets(shingle), "doc_id long, id long, n long, hashes array<long>")
-    every = every.withColumns({f"s{i}": F.xxhash64(F.lit(i), "id") for i in range(3)}).mapInArrow(sift, "doc_id long, id long, n long, hashes array<long>")
-    every = stored(every, "rows-with-sets")
-    members = every.select("doc_id", "id", "n")
+    schema = "rid long, doc_id long, id long, n long, hashes array<long>"
+    every = rows.mapInArrow(_send_sets(shingle), schema).withColumns({f"s{i}": F.xxhash64(F.lit(i), "id") for i in range(3)})
+    every = stored(every.mapInArrow(sift, schema), "rows-with-sets")
+    members = every.select(*kept)
     sets = every.where("size(hashes) > 0").join(wanted, "id", "left_semi").groupBy("id").agg(F.first("hashes").alias("hashes"), F.first("n").alias("n"))
     sets = stored(sets, "sets")
     links = _linked(pairs, sets, percent)
@@ -339,3 +344,16 @@ def similarity_components(docs: DataFrame, percent: int = 80, shingle: int = 5,
     linked = rows.join(least, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = members.where("id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumnRenamed("doc_id", id_col)
+
+
+def drop_similar(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` but for all except one row of each component; the smallest id stays, a null id before others.
+
+    Rows without words all stay.
+    """
+    members, found = similar_sets(docs, percent, shingle, id_col, text_col)
+    rows = members.where("id IS NOT NULL").join(found, "id", "left").select("rid", "doc_id", F.coalesce("component", "id").alias("component"))
+    best = rows.groupBy("component").agg(F.min(F.struct("doc_id", "rid")).alias("best"))
+    rid = fresh_name(docs.columns, "rid")
+    gone = rows.join(best, "component").where("rid <> best.rid").select(F.col("rid").alias(rid))
+    return docs.withColumn(rid, F.monotonically_increasing_id()).join(gone, rid, "left_anti").drop(rid)

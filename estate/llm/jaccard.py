@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from estate.llm.arrays import LOWER, SPACED, WindowHash, WordHash, find_words, mix, ragged, text_bytes, text_slices, window_starts
 from estate.llm.components import components
 from estate.llm.packed import flat, groups_of, pack, text_buckets
-from estate.llm.storage import fresh_name, stored
+from estate.llm.storage import fresh_name, steady, stored
 
 #: Groups of so many sets are tried pair by pair at once.
 SMALL = 8
@@ -174,17 +174,23 @@ SENT = "bucket int, low array<int>, high array<tinyint>, entry array<smallint>,
 
 def _meet(table: pa.Table) -> pa.Table:
     """Pairs of sets that share a signature of few sets, and the rows of signatures of many."""
-    key = flat(table, "low").view(np.uint32).astype(np.int64) | flat(table, "high").view(np.uint8).astype(np.int64) << 32
-    entry, sign = flat(table, "entry").astype(np.int64), flat(table, "sign")
-    name = flat(table, "home").astype(np.int64) << 40 | key
+    name = flat(table, "low").view(np.uint32).astype(np.int64)
+    name |= flat(table, "high").view(np.uint8).astype(np.int64) << 32
+    name |= flat(table, "home").astype(np.int64) << 40
+    entry, sign = flat(table, "entry").astype(np.int32), flat(table, "sign")
     count = lambda c: np.concatenate([np.diff(np.asarray(x.offsets)) for x in table.column(c).chunks])
-    base = np.repeat(np.concatenate([[0], np.cumsum(count("sets"))[:-1]]), count("low"))
-    place, beside = base + entry // 2, entry % 2
+    base = np.repeat(np.concatenate([[0], np.cumsum(count("sets"))[:-1]]).astype(np.int32), count("low"))
+    place = base + entry // 2
     set_ = flat(table, "sets")[place]
-    spare = np.where(beside == 0, flat(table, "spare0")[place], flat(table, "spare1")[place])
     told = sign == 1
-    order, heads = groups_of(name[~told], set_[~told])
-    rows = np.flatnonzero(~told)[order[heads]]  # each set once per signature
+    # Most signatures are of one set and can go before the sets are compared.
+    rows = np.flatnonzero(~told)
+    rows = rows[np.argsort(name[rows])]
+    ordered = name[rows]
+    equal = ordered[1:] == ordered[:-1]
+    rows = rows[(np.append(equal, False) | np.append(False, equal))[: len(rows)] | (sign[rows] == 2)]
+    order, heads = groups_of(name[rows], set_[rows])
+    rows = rows[order[heads]]  # each set once per signature
     same = name[rows][1:] == name[rows][:-1]
     head = np.flatnonzero(np.append(True, ~same)) if len(rows) else np.zeros(0, np.int64)
     size = np.diff(np.append(head, len(rows)))
@@ -193,6 +199,8 @@ def _meet(table: pa.Table) -> pa.Table:
     per_row = np.repeat(large, size)
     many = np.concatenate([np.flatnonzero(told), rows[per_row]])
     few = rows[~per_row]
+    beside = entry[many] % 2
+    spare = np.where(beside == 0, flat(table, "spare0")[place[many]], flat(table, "spare1")[place[many]])
     a, b = [], []
     for shift in range(1, SMALL):
         if len(few) <= shift:
@@ -208,7 +216,7 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.table(
         {
             "pair": pa.array(np.arange(n + m) < n), "a": pa.array(np.concatenate([a, name[many]]), pa.int64()), "b": pa.array(np.concatenate([b, set_[many]]), pa.int64()),
-            "beside": pa.array(np.concatenate([np.zeros(n), beside[many]]), pa.int32()), "spare": pa.array(np.concatenate([np.zeros(n), spare[many]]), pa.int32()),
+            "beside": pa.array(np.concatenate([np.zeros(n), beside]), pa.int32()), "spare": pa.array(np.concatenate([np.zeros(n), spare]), pa.int32()),
         }
     )
 
@@ -263,11 +271,10 @@ def _ordered(x, y) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def similar_sets(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 24 << 20) -> tuple[DataFrame, DataFrame]:
+def similar_sets(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 8 << 20) -> tuple[DataFrame, DataFrame]:
     """(members, components): every row's set (rid, doc_id, id, n), and the component of each set that has a link.
 
-    rid is the row's number as `monotonically_increasing_id` gives it, so `docs` has to be a stable
-    source, such as files.
+    rid is the row's number as `monotonically_increasing_id` gives it; `docs` has to be steady.
     """
     scheme = Scheme.of(percent)
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -351,6 +358,7 @@ def drop_similar(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: s
 
     Rows without words all stay.
     """
+    docs = steady(docs)
     members, found = similar_sets(docs, percent, shingle, id_col, text_col)
     rows = members.where("id IS NOT NULL").join(found, "id", "left").select("rid", "doc_id", F.coalesce("component", "id").alias("component"))
     best = rows.groupBy("component").agg(F.min(F.struct("doc_id", "rid")).alias("best"))

@@ -5,8 +5,8 @@ numbered; then neighbouring numbers form pairs, the distinct pairs are sorted an
 on until one number is left of each text. Two texts end with the same number at the same level if
 and only if they are equal: numbers stand for content, not for a hash of it.
 
-A hash only routes a block to its number. Hashes that stand for two different blocks are found by
-counting, and their blocks are looked up by content.
+A hash only routes a block to its number. Before it is used, all distinct blocks are counted by it; if
+two share one, another hash is taken.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estate.llm.storage import fresh_name, stored
+from estate.llm.storage import fresh_name, steady, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -36,38 +36,34 @@ def _numbered(distinct: DataFrame, order: list[str], keep: list[str], label: str
     return stored(rows, label)
 
 
-def _name_blocks(blocks: DataFrame, hash_bits: int) -> DataFrame:
-    """(rid, pos, block) -> (rid, pos, name)."""
-    route = F.xxhash64("block")
-    if hash_bits < 64:
-        route = F.shiftrightunsigned(route, 64 - hash_bits)
-    routed = blocks.withColumn("h", route)
-    names = _numbered(routed.select("h", "block").distinct(), ["block"], ["h"], "block-names")
-    clashing = stored(names.groupBy("h").count().where("count > 1").select("h"), "block-clashes")
-    narrow = routed.select("rid", "pos", "h")
-    if clashing.isEmpty():
-        return narrow.join(names, "h").select("rid", "pos", "name")
-    sure = narrow.join(clashing, "h", "left_anti").join(names, "h").select("rid", "pos", "name")
-    told = routed.join(clashing, "h", "left_semi")
-    # Names below zero, so that they differ from those above.
-    own = stored(
-        told.select("block").distinct().sortWithinPartitions("block").select("block", (-1 - F.monotonically_increasing_id()).alias("name")),
-        "clashing-names",
-    )
-    return sure.unionByName(told.join(own, "block").select("rid", "pos", "name"))
-
+def _route(block: Column, seed: int, bits: int) -> Column:
+    route = F.xxhash64(F.lit(seed), block)
+    return F.shiftrightunsigned(route, 64 - bits) if bits < 64 else route
 
-def block_identities(texts: DataFrame, block: int = 4096, hash_bits: int = 64) -> DataFrame:
-    """(rid, text) -> (rid, level, name), equal level and name exactly where texts are equal.
 
-    A null text counts as empty. `rid` is unique. One round halves the rows, so there are as many
-    rounds as the longest text has doublings of `block`, and the work is a small multiple of the
-    first round's. `hash_bits` below 64 is for tests of clashing routes.
+def _rows_and_names(rows: DataFrame, block: int, hash_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text) -> (rid, doc_id, text_sha256, routes) and (h, name), once no two blocks share a route."""
+    seed = 0
+    while True:
+        blocks = rows.select(F.explode(_blocks(F.col("text"), block)).alias("block"))
+        routed = blocks.select(_route(F.col("block"), seed, hash_bits).alias("h"), "block")
+        # The text goes through one exchange, each distinct block of a task once.
+        names = _numbered(routed.distinct(), ["block"], ["h"], "block-names")
+        if names.groupBy("h").count().where("count > 1").isEmpty():
+            routes = F.transform(_blocks(F.col("text"), block), lambda b: _route(b, seed, hash_bits))
+            base = rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.sha2("text", 256).alias("text_sha256"), routes.alias("routes"))
+            return stored(base, "exact-rows"), names
+        seed, hash_bits = seed + 1, 64
+
+
+def _identities(base: DataFrame, names: DataFrame) -> DataFrame:
+    """(rid, level, name), equal level and name exactly where texts are equal.
+
+    One round halves the rows, so there are as many rounds as the longest text has doublings of a
+    block, and all rounds together are a small multiple of the first.
     """
-    text = F.coalesce("text", F.lit(""))
-    blocks = texts.select("rid", F.posexplode(_blocks(text, block)).alias("pos", "block"))
-    sizes = texts.select("rid", F.greatest(F.lit(1), F.ceil(F.char_length(text) / block)).cast("long").alias("n"))
-    rows = stored(_name_blocks(blocks, hash_bits).join(sizes, "rid").withColumn("pos", F.col("pos").cast("long")), "blocks-0")
+    routes = base.select("rid", F.size("routes").cast("long").alias("n"), F.posexplode("routes").alias("pos", "h"))
+    rows = stored(routes.join(names, "h").select("rid", "n", F.col("pos").cast("long").alias("pos"), "name"), "blocks-0")
     level, done = 0, None
     while True:
         ended = rows.where("n = 1").select("rid", F.lit(level).alias("level"), "name")
@@ -88,11 +84,9 @@ def block_identities(texts: DataFrame, block: int = 4096, hash_bits: int = 64) -
 
 
 def _verdicts(rows: DataFrame, block: int, hash_bits: int) -> DataFrame:
-    """(rid, doc_id, text) -> rid, doc_id, keep_id, group_size, kept, text_sha256; texts lower-cased."""
-    # The digest is taken in the pass that fixes the row numbers.
-    base = stored(rows.select("rid", "doc_id", F.sha2("text", 256).alias("text_sha256")), "exact-rows")
-    identity = stored(block_identities(rows.select("rid", "text"), block, hash_bits), "exact-identities")
-    rows = base.join(identity, "rid")
+    """(doc_id, text) -> rid, doc_id, keep_id, group_size, kept, text_sha256; texts are lower-cased."""
+    base, names = _rows_and_names(rows, block, hash_bits)
+    rows = base.drop("routes").join(stored(_identities(base, names), "exact-identities"), "rid")
     best = F.max(F.struct("doc_id", "rid")).alias("best")
     groups = rows.groupBy("level", "name").agg(best, F.count("*").alias("group_size"))
     return rows.join(groups, ["level", "name"]).select(
@@ -106,8 +100,7 @@ def _verdicts(rows: DataFrame, block: int, hash_bits: int) -> DataFrame:
 
 
 def _own_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
-    return docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), text.alias("text"))
+    return docs.select(F.col(id_col).alias("doc_id"), ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = 4096, hash_bits: int = 64) -> DataFrame:
@@ -116,13 +109,14 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Texts are equal when identical after lower-casing A-Z; a null text counts as empty. The row with
     the largest id of a group stays; a null id is smaller than any other, and of rows that repeat an
     id one stays. An empty table gives no rows. Other columns of `docs` are ignored, whatever their
-    names. `docs` is read more than once and has to be a stable source, such as files.
+    names. `hash_bits` below 64 is for tests of clashing routes.
     """
     return _verdicts(_own_rows(docs, id_col, text_col), block, hash_bits).drop("rid").withColumnRenamed("doc_id", id_col)
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = 4096) -> DataFrame:
     """The rows of `docs` that `exact_duplicates` keeps, with all their columns."""
+    docs = steady(docs)
     rid = fresh_name(docs.columns, "rid")
     gone = _verdicts(_own_rows(docs, id_col, text_col), block, 64).where("NOT kept").select(F.col("rid").alias(rid))
     return docs.withColumn(rid, F.monotonically_increasing_id()).join(gone, rid, "left_anti").drop(rid)

@@ -156,7 +156,7 @@ class OpenSequences:
             cost[held == 0] = np.iinfo(np.int64).max
             # The last of equal costs has the smallest gap.
             at = len(cost) - 1 - int(np.argmin(cost[::-1]))
-            if cost[at] <= best + 1 and held[at]:
+            if cost[at] <= best and held[at]:
                 level = at + 1
         if level:
             number = self.stacks[level].pop()
@@ -172,11 +172,28 @@ class OpenSequences:
 
 
 def place_pieces(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sequence and offset of each piece, placed from the longest to the shortest."""
+    """Sequence and offset of each piece, placed from the longest to the shortest.
+
+    The pieces of sequences that stay with room are placed again by themselves, as long as that
+    takes fewer sequences.
+    """
     sequences, offsets = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-    state = OpenSequences(capacity)
-    for i in np.argsort(-lengths, kind="stable"):
-        sequences[i], offsets[i] = state.place(int(lengths[i]))
+    rest, used, had = np.argsort(-lengths, kind="stable"), 0, np.iinfo(np.int64).max
+    while len(rest):
+        state = OpenSequences(capacity)
+        where = np.array([state.place(n) for n in lengths[rest].tolist()])
+        if state.opened >= had:
+            break
+        offsets[rest] = where[:, 1]
+        filled = np.bincount(where[:, 0], lengths[rest]).astype(np.int64)
+        # Full sequences get the first numbers and are done.
+        order = np.argsort(filled < capacity, kind="stable")
+        number = np.empty(len(order), np.int64)
+        number[order] = np.arange(len(order))
+        sequences[rest] = number[where[:, 0]] + used
+        used += int((filled == capacity).sum())
+        rest = rest[filled[where[:, 0]] < capacity]
+        had = int((filled < capacity).sum())
     return sequences, offsets
 
 

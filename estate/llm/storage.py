@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 
 from estate.session import scratch_path
@@ -19,6 +21,16 @@ def stored(frame: DataFrame, label: str, *partitions: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def steady(frame: DataFrame) -> DataFrame:
+    """A frame whose rows come in the same partitions and order each time it is read.
+
+    Reading files, choosing columns and filtering is repeatable; anything else is stored first.
+    """
+    plan = frame._sc._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "simple")
+    repeatable = "FileScan" in plan and not re.search(r"Exchange|Existing|LocalTable|Python|Arrow|Pandas|Aggregate|Join|Limit|Sample|Sort|Union|Range|InMemory|rand", plan)
+    return frame if repeatable else stored(frame, "steady")
+
+
 def fresh_name(columns: list[str], wanted: str) -> str:
     """A column name that does not clash with the given ones (case is ignored, as Spark does)."""
     taken = {c.lower() for c in columns}

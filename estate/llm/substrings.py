@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from estate.llm.arrays import SPACED, WindowHash, WordHash, find_words, mix, ragged, text_bytes, text_slices, window_starts
 from estate.llm.packed import bucket_of, by_owner, flat, groups_of, of_each, pack, text_buckets
-from estate.llm.storage import stored
+from estate.llm.storage import steady, stored
 
 #: Runs of at most so many equal words get a name; an end of a window loses as many words at most.
 LONGEST_RUN = 3
@@ -243,11 +243,12 @@ def remove_repeats(docs: DataFrame, window: int = 50, digest: bool = False, id_c
     whose sequence also starts in a row with a smaller id; windows are judged on the input. `kept` are
     the other words, joined by one space, or with `digest` their SHA-256. A null text has no words. Rows
     with a null id keep all words and take none from others; rows that repeat an id take none from each
-    other. Other columns are ignored. An empty table gives no rows. `docs` is read more than once and has
-    to be a stable source, such as files. `window` is 46 at least, so that its middle has 2 words.
+    other. Other columns are ignored. An empty table gives no rows. `docs` is read more than once; what
+    is not read from files is stored first. `window` is 46 at least, so that its middle has 2 words.
     """
     if window < 2 * LOST + 2:
         raise ValueError(f"window has to be at least {2 * LOST + 2} words")
+    docs = steady(docs.select(id_col, text_col))
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     named = rows.where("doc_id IS NOT NULL")
     buckets = text_buckets(docs, text_col, bucket_bytes)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estate.llm.arrays import ragged
+from estate.llm.arrays import mix, ragged
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -41,11 +41,26 @@ def of_each(table: pa.Table, column: str, lists: str) -> np.ndarray:
     return np.repeat(np.asarray(table.column(column)), np.concatenate([np.diff(np.asarray(c.offsets)) for c in table.column(lists).chunks]))
 
 
-def by_owner(owner: np.ndarray, values: np.ndarray, kind: pa.DataType, names: tuple[str, str]) -> pa.Table:
-    """One row per owner with its values as a list."""
-    order = np.argsort(owner, kind="stable")
-    found, first = np.unique(owner[order], return_index=True)
-    return pa.table({names[0]: pa.array(found, pa.int64()), names[1]: ragged(values[order], np.diff(np.append(first, len(order))), kind)})
+OWNED = "bucket int, owner array<long>, value array<int>"
+
+
+def send_to_owners(owner: np.ndarray, values: np.ndarray, buckets: int) -> pa.Table:
+    """Integers for owners, packed by the owners' buckets; the schema is OWNED."""
+    by = np.lexsort((values, owner))
+    owner, values = owner[by], values[by]
+    return pa.Table.from_batches([pack(bucket_of(mix(owner.astype(np.uint64)), buckets), {"owner": (owner, pa.int64()), "value": (values, pa.int32())})])
+
+
+def gather_of_owners(sent: DataFrame, names: tuple[str, str]) -> DataFrame:
+    """One row per owner with all its integers as a list."""
+
+    def gather(table: pa.Table) -> pa.Table:
+        owner, values = flat(table, "owner"), flat(table, "value")
+        order = np.argsort(owner, kind="stable")
+        found, first = np.unique(owner[order], return_index=True)
+        return pa.table({names[0]: pa.array(found, pa.int64()), names[1]: ragged(values[order], np.diff(np.append(first, len(order))), pa.int32())})
+
+    return sent.groupBy("bucket").applyInArrow(gather, f"{names[0]} long, {names[1]} array<int>")
 
 
 def groups_of(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estate.llm.arrays import SPACED, WindowHash, WordHash, find_words, mix, ragged, text_bytes, text_slices, window_starts
-from estate.llm.packed import bucket_of, by_owner, flat, groups_of, of_each, pack, text_buckets
+from estate.llm.packed import OWNED, bucket_of, flat, gather_of_owners, groups_of, of_each, pack, send_to_owners, text_buckets
 from estate.llm.storage import steady, stored
 
 #: Runs of at most so many equal words get a name; an end of a window loses as many words at most.
@@ -111,7 +111,7 @@ def _send_symbols(buckets: int):
     return run
 
 
-def _find_shared(table: pa.Table) -> pa.Table:
+def _find_shared(table: pa.Table, buckets: int) -> pa.Table:
     symbol, offset, told = flat(table, "symbol"), flat(table, "offset"), flat(table, "told").astype(bool)
     rid = of_each(table, "base", "symbol") + offset
     asked = np.flatnonzero(~told)
@@ -121,7 +121,7 @@ def _find_shared(table: pa.Table) -> pa.Table:
     shared = asked[order[np.repeat(size > 1, size)]]
     shared = shared[offset[shared] >= 0]
     all_ = np.concatenate([shared, np.flatnonzero(told)])
-    return by_owner(rid[all_], symbol[all_], pa.int32(), ("rid", "shared"))
+    return send_to_owners(rid[all_], symbol[all_], buckets)
 
 
 def _kept(text: bytes, gone: np.ndarray | None, digest: bool) -> str:
@@ -200,7 +200,7 @@ def _send_windows(window: int, buckets: int):
     return run
 
 
-def _find_repeats(table: pa.Table) -> pa.Table:
+def _find_repeats(table: pa.Table, buckets: int) -> pa.Table:
     one, two, doc, rid, start, told = (flat(table, c) for c in ("one", "two", "doc", "rid", "start", "told"))
     told = told.astype(bool)
     asked = np.flatnonzero(~told)
@@ -211,7 +211,7 @@ def _find_repeats(table: pa.Table) -> pa.Table:
         repeats = np.concatenate([order[doc[order] > least], np.flatnonzero(told)])
     else:
         repeats = np.flatnonzero(told)
-    return by_owner(rid[repeats], start[repeats], pa.int32(), ("rid", "repeats"))
+    return send_to_owners(rid[repeats], start[repeats], buckets)
 
 
 def _remove(window: int, digest: bool):
@@ -253,8 +253,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, digest: bool = False, id_c
     named = rows.where("doc_id IS NOT NULL")
     buckets = text_buckets(docs, text_col, bucket_bytes)
     sent = named.select("rid", "text").mapInArrow(_send_symbols(buckets), "bucket int, base long, symbol array<int>, offset array<int>, told array<tinyint>")
-    shared = sent.groupBy("bucket").applyInArrow(_find_shared, "rid long, shared array<int>")
-    shared = shared.groupBy("rid").agg(F.flatten(F.collect_list("shared")).alias("shared"))
+    shared = gather_of_owners(sent.groupBy("bucket").applyInArrow(lambda t: _find_shared(t, buckets), OWNED), ("rid", "shared"))
     joined = rows.join(shared, "rid", "left").withColumn("shared", F.coalesce("shared", F.array().cast("array<int>")))
     chosen = joined.select("rid", "doc_id", "text", "shared").mapInArrow(
         _choose(window, digest), "rid long, doc_id long, n_words long, n_candidates long, kept string, text string, starts array<int>"
@@ -266,8 +265,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, digest: bool = False, id_c
     windows = open_rows.select("rid", "doc_id", "text", "starts").mapInArrow(
         _send_windows(window, parts), "bucket int, one array<long>, two array<int>, doc array<long>, rid array<long>, start array<int>, told array<tinyint>"
     )
-    repeats = windows.groupBy("bucket").applyInArrow(_find_repeats, "rid long, repeats array<int>")
-    repeats = repeats.groupBy("rid").agg(F.flatten(F.collect_list("repeats")).alias("repeats"))
+    repeats = gather_of_owners(windows.groupBy("bucket").applyInArrow(lambda t: _find_repeats(t, parts), OWNED), ("rid", "repeats"))
     last = open_rows.join(repeats, "rid", "left").select("rid", "doc_id", "n_words", "text", "repeats")
     mended = last.mapInArrow(_remove(window, digest), "rid long, doc_id long, n_words long, n_removed long, kept string")
     done = chosen.where("n_candidates = 0").select("rid", "doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept")

@@ -102,7 +102,8 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     key = np.zeros(n, np.int64)
     for j in range(depth):
         key <<= bits
-        key[: n - j] += text[j:] + 1
+        if j < n:
+            key[: n - j] += text[j:] + 1
     order = np.argsort(key)
     new = np.ones(n, bool)
     sorted_key = key[order]

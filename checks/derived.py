@@ -212,6 +212,13 @@ SELECT catalog, schema, name, object_type, k,
   CASE WHEN k % 9 = 5 THEN concat(catalog, '.`', schema, '`.', name, '__pre_migration') ELSE NULL END AS pre_migration_fqn
 FROM {objects} WHERE k % 5 <> 0"""
 
+# The log as its events: what each object went through before its current row.
+TEXTS["history"] = """
+SELECT catalog, schema, name, object_type, k, status, claimed_by, claimed_at, pre_migration_fqn, TIMESTAMP '1999-01-01 00:00:00' AS updated_at FROM {log}
+UNION ALL SELECT catalog, schema, name, object_type, k, 'failed' AS status, claimed_by, claimed_at, NULL AS pre_migration_fqn, TIMESTAMP '1998-01-01 00:00:00' AS updated_at FROM {log} WHERE k % 2 = 0
+UNION ALL SELECT catalog, schema, name, object_type, k, 'validated' AS status, claimed_by, claimed_at, concat(catalog, '.', schema, '.', name, '__pre_migration') AS pre_migration_fqn,
+  TIMESTAMP '1998-06-01 00:00:00' AS updated_at FROM {log} WHERE k % 4 <> 1"""
+
 # The same log with malformed shadow names, for the fail-closed gate.
 TEXTS["bad_log"] = """
 SELECT catalog, schema, name, CASE WHEN k % 9 = 5 AND k % 7 = 0 THEN 'FUNCTION' ELSE object_type END AS object_type, k, status,

@@ -66,6 +66,20 @@ def _(inputs):
     return _texts(files.compare_hashes(inputs("files"), inputs("copied_files"), keys=["volume"], evidence=5))
 
 
+def _all_differences(value: str) -> str:
+    return f"SELECT volume, relpath, difference, s_{value} AS source_value, t_{value} AS target_value FROM ({_kinds(value)}) WHERE difference IS NOT NULL"
+
+
+@query("listing_differences", _all_differences("size"))
+def _(inputs):
+    return files.listing_differences(inputs("files"), inputs("copied_files"), keys=["volume"])
+
+
+@query("hash_differences", _all_differences("hash"))
+def _(inputs):
+    return files.hash_differences(inputs("files"), inputs("copied_files"), keys=["volume"])
+
+
 @query("copy_pairs", "SELECT doc_id, '/mnt/old/' || volume || '/' || relpath AS src, '/mnt/new/' || relpath AS dst FROM {files}")
 def _(inputs):
     pairs = files.copy_pairs(inputs("files"), source_root=F.concat(F.lit("/mnt/old/"), "volume", F.lit("//")), target_root="/mnt/new/")
@@ -77,9 +91,9 @@ def _(inputs):
     return files.plan_copy(inputs("files"), inputs("copied_files"), keys=["volume"])
 
 
-@query("copy_mode", "SELECT lang, count(*) AS files, CASE WHEN count(*) >= 50 THEN 'parallel' ELSE 'simple' END AS mode FROM {documents} GROUP BY lang")
+@query("copy_mode", "SELECT volume, count(*) AS files, CAST(sum(size) AS BIGINT) AS bytes FROM {files} GROUP BY volume")
 def _(inputs):
-    return files.copy_mode(inputs("documents"), keys=["lang"], parallel_from=50)
+    return files.copy_mode(inputs("files"), keys=["volume"])
 
 
 @query("copy_files", "SELECT 'copied' AS status, count(*) AS files, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes FROM {documents}")

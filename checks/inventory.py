@@ -94,14 +94,13 @@ def _(inputs):
 
 @query(
     "volume_sizes",
-    """SELECT volume, file_count, CASE WHEN file_count > 40 THEN 'more than 40 files' END AS skip_reason,
-  CASE WHEN file_count <= 40 THEN bytes END AS size_bytes
-FROM (SELECT volume || '/' || lang AS volume, count(*) AS file_count, CAST(sum(n_chars) AS BIGINT) AS bytes
-      FROM (SELECT source AS volume, lang, n_chars FROM {documents}) GROUP BY ALL)""",
+    """SELECT source || '/' || lang AS volume, count(*) AS file_count, max(CASE WHEN doc_id % 97 = 5 THEN 'AccessError' END) AS skip_reason,
+  CASE WHEN count(*) FILTER (WHERE doc_id % 97 = 5) = 0 THEN CAST(sum(n_chars) AS BIGINT) END AS size_bytes FROM {documents} GROUP BY source, lang""",
 )
 def _(inputs):
-    files = inputs("documents").select(F.concat_ws("/", "source", "lang").alias("volume"), F.col("n_chars").alias("size"))
-    return inv.volume_sizes(files, keys=["volume"], max_files=40)
+    failed = F.when(F.col("doc_id") % 97 == 5, "AccessError").alias("error")
+    files = inputs("documents").select(F.concat_ws("/", "source", "lang").alias("volume"), F.col("n_chars").alias("size"), failed)
+    return inv.volume_sizes(files, keys=["volume"])
 
 
 @query(

@@ -51,9 +51,10 @@ def _(inputs):
     "managed_volume_steps",
     f"""SELECT {KEYS}, step_no, action, statement FROM (
   SELECT *, 1 AS step_no, 'create_staging' AS action, 'CREATE VOLUME IF NOT EXISTS ' || {_STAGING} AS statement FROM {{inv}}
-  UNION ALL SELECT *, 2, 'rename_orig', 'ALTER VOLUME ' || {_ORIG} || ' RENAME TO ' || {_PRE} FROM {{inv}}
-  UNION ALL SELECT *, 3, 'rename_staging', 'ALTER VOLUME ' || {_STAGING} || ' RENAME TO ' || {_ORIG} FROM {{inv}}
-  UNION ALL SELECT *, 4, 'drop_shadow', 'DROP VOLUME ' || {_PRE} FROM {{inv}})
+  UNION ALL SELECT *, 2, 'copy', NULL FROM {{inv}}
+  UNION ALL SELECT *, 3, 'verify', NULL FROM {{inv}}
+  UNION ALL SELECT *, 4, 'rename_orig', 'ALTER VOLUME ' || {_ORIG} || ' RENAME TO ' || {_PRE} FROM {{inv}}
+  UNION ALL SELECT *, 5, 'rename_staging', 'ALTER VOLUME ' || {_STAGING} || ' RENAME TO ' || {_ORIG} FROM {{inv}})
 WHERE classification = 'drift_managed_on_old' AND object_type = 'VOLUME' AND table_type = 'MANAGED'""",
 )
 def _(inputs):
@@ -189,12 +190,12 @@ def _(inputs):
 
 @query("forward_worklist", f"SELECT k FROM {{objects}} o WHERE NOT EXISTS (SELECT 1 FROM {{log}} l WHERE {SAME('l', 'o')} AND l.status = 'validated')")
 def _(inputs):
-    return state.forward_worklist(inputs("objects"), inputs("log")).select("k")
+    return state.forward_worklist(inputs("objects"), inputs("history")).select("k")
 
 
 @query("retry_failed_worklist", f"SELECT o.k FROM {{objects}} o JOIN {{log}} l ON {SAME('l', 'o')} WHERE l.status = 'failed'")
 def _(inputs):
-    return state.failed_worklist(inputs("objects"), inputs("log")).select("k")
+    return state.failed_worklist(inputs("objects"), inputs("history")).select("k")
 
 
 _PLACES = """SELECT o_orderkey AS k, CASE o_orderkey % 5 WHEN 0 THEN 'abfss://lake@newacct.dfs.core.windows.net/part' || CAST(o_custkey % 30 AS VARCHAR) || '/t'

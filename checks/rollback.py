@@ -15,7 +15,7 @@ WHERE l.status IN ('snapshot_taken', 'cloned', 'swapped', 'replayed', 'validated
 
 
 def _candidates(inputs):
-    return rollback.rollback_candidates(inputs("log"), inputs.inventory())
+    return rollback.rollback_candidates(inputs("history"), inputs.inventory())
 
 
 @query("rollback_candidates", f"SELECT {KEYS}, status, table_type, storage_path, data_source_format FROM ({_CANDIDATES})")
@@ -25,7 +25,7 @@ def _(inputs):
 
 @query("unrecoverable_objects", f"SELECT {KEYS}, status FROM {{log}} WHERE status IN ('swapped', 'replayed', 'validated') AND k % 8 IN (0, 4)")
 def _(inputs):
-    return rollback.unrecoverable_objects(inputs("log"), inputs("listing").drop("readable")).select(*KEY, "status")
+    return rollback.unrecoverable_objects(inputs("history"), inputs("listing").drop("readable")).select(*KEY, "status")
 
 
 _KW = "CASE WHEN object_type = 'VOLUME' THEN 'VOLUME' ELSE 'TABLE' END"
@@ -125,7 +125,7 @@ def _(inputs):
 
 @query("cleanup_targets", "SELECT pre_migration_fqn, object_type FROM {log} WHERE status = 'validated' AND pre_migration_fqn IS NOT NULL")
 def _(inputs):
-    return cleanup.cleanup_targets(inputs("log"))
+    return cleanup.cleanup_targets(inputs("history"))
 
 
 _CHECKED = """SELECT *, CASE WHEN pre_migration_fqn = '' THEN 'empty name'
@@ -194,7 +194,7 @@ def _outcomes(inputs):
 @query(
     "cleanup_log",
     f"""SELECT TIMESTAMP '2001-01-01' AS ts, fqn AS pre_migration_fqn, object_type, CASE WHEN decision = 'drop' THEN 'dropped' ELSE decision END AS status,
-  CASE WHEN decision = 'refused_no_live' THEN left(repeat(live_fqn, 60), 500) END AS error_message FROM ({_DECIDED})""",
+  CASE WHEN decision = 'refused_no_live' THEN repeat(live_fqn, 60) END AS error_message FROM ({_DECIDED})""",
 )
 def _(inputs):
     path = scratch_path(inputs.spark, "cleanup")

@@ -72,7 +72,7 @@ FROM {{log}} l JOIN {{inv}} i ON {SAME('l', 'i')} WHERE l.status = 'validated'""
 
 
 def _candidates(inputs):
-    return verify.validation_candidates(inputs("log"), inputs.inventory())
+    return verify.validation_candidates(inputs("history"), inputs.inventory())
 
 
 @query("validation_candidates", f"SELECT {KEYS}, data_source_format, parent_managed_location, table_type FROM ({_CANDIDATES})")

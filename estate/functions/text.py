@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # The JSON keys that name a credential's type, first present key wins.
 CREDENTIAL_KEYS = [
@@ -36,12 +36,15 @@ def dotted_name(*parts: Column | str) -> Column:
 
 
 def quote_literal(text: Column) -> Column:
-    return F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("''")), F.lit("'"))
+    """A SQL string literal: backslashes are escape characters there, so they are doubled like quotes."""
+    doubled = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    return F.concat(F.lit("'"), F.replace(doubled, F.lit("'"), F.lit("''")), F.lit("'"))
 
 
-def list_cell(text: Column) -> Column:
-    """Comma text to a list: trimmed, blanks dropped, null gives an empty list."""
-    parts = F.transform(F.split(text, ","), lambda p: F.trim(p))
+def list_cell(cell: Column, kind: T.DataType | None = None) -> Column:
+    """Comma text, or a list if ``kind`` says so, to a list: trimmed, blanks dropped, null gives an empty list."""
+    given = cell.cast("array<string>") if isinstance(kind, T.ArrayType) else F.split(cell, ",")
+    parts = F.transform(given, lambda p: F.trim(p))
     return F.coalesce(F.filter(parts, lambda p: p != ""), F.array().cast("array<string>"))
 
 

@@ -87,6 +87,22 @@ def _compare(source: DataFrame, target: DataFrame, keys: Sequence[str], value: s
     return rows
 
 
+def _differences(source: DataFrame, target: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    pairs = _verdicts(pair_listings(source, target, keys=keys, value=value))
+    kind = F.coalesce("difference", F.when((F.col("source_rows") > 1) | (F.col("target_rows") > 1), "duplicate"))
+    return pairs.withColumn("difference", kind).filter(F.col("difference").isNotNull()).select(*keys, "relpath", "difference", "source_value", "target_value")
+
+
+def listing_differences(source: DataFrame, target: DataFrame, *, keys: Sequence[str]) -> DataFrame:
+    """One row per path that differs, with its kind and both sizes: the whole set, without a limit."""
+    return _differences(source, target, keys, "size")
+
+
+def hash_differences(source: DataFrame, target: DataFrame, *, keys: Sequence[str]) -> DataFrame:
+    """As ``listing_differences`` with ``content_hash``."""
+    return _differences(source, target, keys, "content_hash")
+
+
 def compare_listings(source: DataFrame, target: DataFrame, *, keys: Sequence[str], evidence: int = 50) -> DataFrame:
     """Per group: same paths and same sizes? Counts and bytes are exact; the path lists are the
     first ``evidence`` of each kind. A path listed twice on a side fails the match."""
@@ -132,10 +148,9 @@ def plan_copy(source: DataFrame, target: DataFrame, *, keys: Sequence[str]) -> D
     return pairs.filter(F.col("source_rows") > 0).select(*keys, "relpath", F.col("source_value").alias("size"), same.alias("done"))
 
 
-def copy_mode(source: DataFrame, *, keys: Sequence[str], parallel_from: int = 5000) -> DataFrame:
-    """``parallel`` for groups with many files, else ``simple``."""
-    mode = F.when(F.col("files") >= parallel_from, "parallel").otherwise("simple")
-    return source.groupBy(*keys).agg(F.count(F.lit(1)).alias("files")).withColumn("mode", mode)
+def copy_mode(source: DataFrame, *, keys: Sequence[str]) -> DataFrame:
+    """Files and bytes to copy per group. Copies are always spread over tasks, so there is no mode to choose."""
+    return source.groupBy(*keys).agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("size"), F.lit(0)).cast("long").alias("bytes"))
 
 
 def checksum_sample(listing: DataFrame, *, fraction: float) -> DataFrame:

@@ -7,7 +7,7 @@ the data. Comparisons (``revoke_plan``, ``verify.governance_diff``) work on expl
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from estate.functions.text import list_cell
 from estate.settings import INHERITED_FROM, KEY
@@ -62,15 +62,12 @@ def tag_lists(tags: DataFrame) -> DataFrame:
 
 def row_filters(rows: DataFrame) -> DataFrame:
     """The first filter row per object: its function and the columns it uses."""
-    cell = lambda *names: F.coalesce(*[F.nullif(F.col(n), F.lit("")) for n in names if n in rows.columns])
-    first = rows.groupBy(*KEY).agg(
-        F.min_by(
-            F.struct(cell("filter_name", "function_name").alias("name"), cell("using_columns", "input_columns").alias("columns")), "pos"
-        ).alias("first")
-    )
-    return first.select(
-        *KEY, F.col("first.name").alias("row_filter_name"), list_cell(F.col("first.columns")).alias("row_filter_using_columns")
-    )
+    name = F.coalesce(*[F.nullif(F.col(n), F.lit("")) for n in ("filter_name", "function_name") if n in rows.columns])
+    # A list cell is used when it has an entry, as a text cell is when it is not blank.
+    lists = [list_cell(F.col(n), rows.schema[n].dataType) for n in ("using_columns", "input_columns") if n in rows.columns]
+    columns = F.coalesce(*[F.when(F.size(c) > 0, c) for c in lists], F.array().cast("array<string>"))
+    first = rows.groupBy(*KEY).agg(F.min_by(F.struct(name.alias("name"), columns.alias("columns")), "pos").alias("first"))
+    return first.select(*KEY, F.col("first.name").alias("row_filter_name"), F.col("first.columns").alias("row_filter_using_columns"))
 
 
 def column_masks(rows: DataFrame) -> DataFrame:
@@ -78,13 +75,19 @@ def column_masks(rows: DataFrame) -> DataFrame:
         *KEY,
         F.col("column_name").alias("column"),
         F.col("function_name").alias("mask_function"),
-        list_cell(F.col("using_columns")).alias("using_columns"),
+        list_cell(F.col("using_columns"), rows.schema["using_columns"].dataType).alias("using_columns"),
     )
 
 
 def described_owners(describe: DataFrame) -> DataFrame:
+    """The first owner row after the detail separator; a column of that name does not count."""
+    starts = detail_starts(describe, _starts_detail(F.coalesce("col_name", F.lit(""))))
     return (
-        describe.filter(F.lower("col_name") == "owner").groupBy(*KEY).agg(F.min_by("data_type", "pos").alias("owner"))
+        describe.filter(F.lower("col_name") == "owner")
+        .join(starts, KEY)
+        .filter(F.col("pos") > F.col("detail_pos"))
+        .groupBy(*KEY)
+        .agg(F.min_by("data_type", "pos").alias("owner"))
     )
 
 
@@ -119,9 +122,11 @@ def described_comments(describe: DataFrame) -> DataFrame:
 
 
 def property_maps(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(*KEY).agg(
-        F.map_from_entries(F.array_sort(F.collect_set(F.struct("key", "value")))).alias("table_properties")
-    )
+    """Properties as a map; of a repeated key the last by ``pos`` (or by value) counts, null keys are left out."""
+    order = [F.col("pos")] if "pos" in rows.columns else []
+    last = rows.filter(F.col("key").isNotNull()).groupBy(*KEY, "key").agg(F.max(F.struct(*order, "value")).alias("last"))
+    entries = F.array_sort(F.collect_list(F.struct(F.col("key"), F.col("last.value").alias("value"))))
+    return last.groupBy(*KEY).agg(F.map_from_entries(entries).alias("table_properties"))
 
 
 def _last_per_key(entries: Column) -> Column:
@@ -134,6 +139,11 @@ def _as_map(entries: Column) -> Column:
     return F.map_from_entries(kept)
 
 
+def _as_text(rows: DataFrame, cell: str) -> Column:
+    """A list cell as comma text; a text cell as it is."""
+    return F.array_join(cell, ",") if isinstance(rows.schema[cell].dataType, T.ArrayType) else F.col(cell)
+
+
 def _part_rows(rows: DataFrame, part: str, *, pos: Column | None = None, a=None, b=None, c=None) -> DataFrame:
     text = lambda cell: (F.lit(None) if cell is None else F.col(cell) if isinstance(cell, str) else cell).cast("string")
     place = F.lit(0) if pos is None else pos
@@ -180,39 +190,40 @@ def capture_snapshots(
     parts = [
         _part_rows(direct_grants(grants), "grant", a="principal", b="privilege", c="granted_on"),
         _part_rows(tags, "tag", a="tag_name", b="tag_value"),
-        _part_rows(filters, "row_filter", pos=pos, a=function, b="using_columns"),
-        _part_rows(masks, "mask", a="column_name", b="function_name", c="using_columns"),
-        _part_rows(properties, "property", a="key", b="value"),
+        _part_rows(filters, "row_filter", pos=pos, a=function, b=_as_text(filters, "using_columns")),
+        _part_rows(masks, "mask", a="column_name", b="function_name", c=_as_text(masks, "using_columns")),
+        _part_rows(properties.filter(F.col("key").isNotNull()), "property", pos=pos if "pos" in properties.columns else None, a="key", b="value"),
         _describe_parts(describe),
     ]
     rows = _part_rows(objects, "object")
     for part in parts:
         rows = rows.unionByName(part)
 
-    def listed(part: str, *cells: str) -> Column:
-        return F.array_sort(F.collect_list(F.when(F.col("part") == part, F.struct(*cells)))).alias(part)
-
-    def first(part: str, cell: str) -> Column:
-        mine = F.col("part") == part
-        return F.min_by(F.when(mine, F.col(cell)), F.when(mine, pos))
-
+    # One list per object, in the order that the parts need: by part, then by these cells.
+    by_pos = F.col("part").isin("comment", "owner", "row_filter")
+    cells = F.struct("part", F.when(by_pos, pos).alias("first"), "a", F.when(F.col("part").isin("column", "property"), pos).alias("then"), "b", "c", "pos")
     gathered = (
         rows.groupBy(*KEY)
         .agg(
             F.count_if(F.col("part") == "object").alias("wanted"),
-            listed("grant", "a", "b", "c"),
-            listed("tag", "a", "b"),
-            listed("mask", "a", "b", "c"),
-            listed("property", "a", "b"),
-            listed("comment", "pos", "a"),
-            F.array_sort(F.collect_list(F.when(F.col("part") == "column", F.struct("a", "pos", "b")))).alias("column"),
             F.min(F.when(F.col("part") == "detail", pos)).alias("detail"),
-            first("owner", "a").alias("owner"),
-            first("row_filter", "a").alias("filter_name"),
-            first("row_filter", "b").alias("filter_columns"),
+            F.array_sort(F.collect_list(F.when(~F.col("part").isin("object", "detail"), cells))).alias("parts"),
         )
         .filter(F.col("wanted") > 0)
     )
+
+    def listed(part: str) -> Column:
+        return F.filter("parts", lambda e: e["part"] == part)
+
+    owners = F.filter(listed("owner"), lambda e: e["pos"] > F.col("detail"))
+    gathered = gathered.select(
+        *KEY,
+        "detail",
+        *[listed(part).alias(part) for part in ("grant", "tag", "mask", "property", "comment", "column")],
+        F.get(owners, F.lit(0))["a"].alias("owner"),
+        F.get(listed("row_filter"), F.lit(0))["a"].alias("filter_name"),
+        F.get(listed("row_filter"), F.lit(0))["b"].alias("filter_columns"),
+    )
     before_detail = F.filter("column", lambda e: F.col("detail").isNull() | (e["pos"] < F.col("detail")))
     after_detail = F.filter("comment", lambda e: e["pos"] > F.col("detail"))
     snapshot = F.struct(

@@ -91,9 +91,14 @@ def attach_parent_location(objects: DataFrame, catalogs: DataFrame, schemas: Dat
 
 
 def attach_counts(objects: DataFrame, tags: DataFrame, grants: DataFrame) -> DataFrame:
-    """``tag_count`` and ``grant_count`` of TABLE rows; no rows stays null, not 0."""
+    """``tag_count`` and ``grant_count`` of TABLE rows; no rows stays null, not 0.
+
+    Rows with an ``object_type`` count for the table of their name only if they are a table's.
+    """
     names = ["catalog", "schema", "name"]
     for rows, column in ((tags, "tag_count"), (grants, "grant_count")):
+        if "object_type" in rows.columns:
+            rows = rows.filter(F.upper("object_type") == "TABLE")
         counts = rows.groupBy(*names).agg(F.count(F.lit(1)).alias(column)).withColumn("object_type", F.lit("TABLE"))
         objects = objects.join(counts, KEY, "left")
     return objects
@@ -160,25 +165,23 @@ def attach_table_sizes(objects: DataFrame, sizes: DataFrame, *, collect_sizes: b
     )
 
 
-def volume_sizes(files: DataFrame, *, keys: Sequence[str] = ("catalog", "schema", "name"), max_files: int | None = 10000) -> DataFrame:
-    """Bytes per volume from a file listing; null with a reason above ``max_files`` or on an error row."""
+def volume_sizes(files: DataFrame, *, keys: Sequence[str] = ("catalog", "schema", "name")) -> DataFrame:
+    """Bytes per volume from a file listing; null with the reason where the listing has an error row."""
     failed = F.max("error") if "error" in files.columns else F.lit(None).cast("string")
     rolled = files.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("file_count"),
         F.coalesce(F.sum("size"), F.lit(0)).cast("long").alias("_bytes"),
         failed.alias("_error"),
     )
-    too_many = F.lit(False) if max_files is None else F.col("file_count") > max_files
-    reason = F.when(F.col("_error").isNotNull(), F.col("_error")).when(too_many, f"more than {max_files} files")
     return (
-        rolled.withColumn("skip_reason", reason)
+        rolled.withColumn("skip_reason", F.col("_error"))
         .withColumn("size_bytes", F.when(F.col("skip_reason").isNull(), F.col("_bytes")))
         .drop("_bytes", "_error")
     )
 
 
-def skip_reason_summary(sized: DataFrame, *, top: int = 5) -> DataFrame:
-    """The most frequent reasons (text before the first colon), with sized and total counts."""
+def skip_reason_summary(sized: DataFrame, *, top: int | None = 5) -> DataFrame:
+    """The most frequent reasons (text before the first colon), with sized and total counts; all of them without ``top``."""
     totals = sized.agg(F.count("size_bytes").alias("sized"), F.count(F.lit(1)).alias("total"))
     counts = (
         sized.filter(F.col("skip_reason").isNotNull())
@@ -193,7 +196,7 @@ def skip_reason_summary(sized: DataFrame, *, top: int = 5) -> DataFrame:
     )
 
 
-def skipped_examples(sized: DataFrame, *, limit: int = 5) -> DataFrame:
+def skipped_examples(sized: DataFrame, *, limit: int | None = 5) -> DataFrame:
     """The first skipped objects in key order, with their full reason."""
     skipped = sized.filter(F.col("skip_reason").isNotNull())
     return first_rows(skipped, KEY, limit).select(

@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def top_rows(rows: DataFrame, order: Sequence[Column | str], limit: int) -> DataFrame:
-    """The first rows overall: each task keeps ``limit`` rows before they meet."""
-    return rows.orderBy(*order).limit(limit)
+def top_rows(rows: DataFrame, order: Sequence[Column | str], limit: int | None) -> DataFrame:
+    """The first rows overall: each task keeps ``limit`` rows before they meet. Without a limit, all rows in order."""
+    ordered = rows.orderBy(*order)
+    return ordered if limit is None else ordered.limit(limit)
 
 
-def first_rows(rows: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+def first_rows(rows: DataFrame, keys: Sequence[str], limit: int | None) -> DataFrame:
     return top_rows(rows, list(keys), limit)
 
 

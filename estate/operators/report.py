@@ -32,24 +32,24 @@ def class_counts_by_catalog(inventory: DataFrame, *, classes: Sequence[str] = tu
     return inventory.groupBy("catalog").agg(*[F.count_if(_is(c)).alias(c) for c in classes]).orderBy("catalog")
 
 
-def top_drift_catalogs(inventory: DataFrame, *, limit: int = 10) -> DataFrame:
+def top_drift_catalogs(inventory: DataFrame, *, limit: int | None = 10) -> DataFrame:
     counts = inventory.filter(_is("drift_managed_on_old")).groupBy("catalog").agg(F.count(F.lit(1)).alias("drift"))
     return top_rows(counts, [F.desc("drift"), F.asc("catalog")], limit)
 
 
-def _listed(rows: DataFrame, columns: Sequence[Column | str], limit: int) -> DataFrame:
+def _listed(rows: DataFrame, columns: Sequence[Column | str], limit: int | None) -> DataFrame:
     total = rows.agg(F.count(F.lit(1)).alias("total")).scalar()
     return top_rows(rows, KEY, limit).select(
         dotted_name("catalog", "schema", "name").alias("full_name"), *columns, total.alias("total")
     )
 
 
-def pipeline_objects(inventory: DataFrame, *, limit: int = 50) -> DataFrame:
+def pipeline_objects(inventory: DataFrame, *, limit: int | None = 50) -> DataFrame:
     """The first objects kept by a pipeline, each with the total."""
     return _listed(inventory.filter("requires_pipeline_handling"), ["table_type", "classification"], limit)
 
 
-def unknown_account_objects(inventory: DataFrame, *, limit: int = 50) -> DataFrame:
+def unknown_account_objects(inventory: DataFrame, *, limit: int | None = 50) -> DataFrame:
     """The first objects on a third account, each with the total."""
     return _listed(inventory.filter(_is("unknown_account")), ["storage_path"], limit)
 

@@ -133,14 +133,19 @@ def flag_resumable(stated: DataFrame) -> DataFrame:
     return stated.withColumn("resumable", F.col("state").isin(list(PHASES)))
 
 
+def current_log(log: DataFrame) -> DataFrame:
+    """The current row per object; a log without ``updated_at`` is taken to be that already."""
+    return latest_log(log) if "updated_at" in log.columns else log
+
+
 def forward_worklist(objects: DataFrame, log: DataFrame) -> DataFrame:
-    """Objects not validated yet, dropped before anything is done for them."""
-    return objects.join(log.filter(F.col("status") == "validated").select(*KEY).distinct(), KEY, "left_anti")
+    """Objects that are not validated now, dropped before anything is done for them."""
+    return objects.join(current_log(log).filter(F.col("status") == "validated").select(*KEY).distinct(), KEY, "left_anti")
 
 
 def failed_worklist(objects: DataFrame, log: DataFrame) -> DataFrame:
     """Only objects whose last status is failed."""
-    return objects.join(log.filter(F.col("status") == "failed").select(*KEY).distinct(), KEY, "left_semi")
+    return objects.join(current_log(log).filter(F.col("status") == "failed").select(*KEY).distinct(), KEY, "left_semi")
 
 
 def latest_log(events: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from estate.functions.urls import is_on_account, storage_account
 from estate.operators.files import hash_verdicts
+from estate.operators.state import current_log
 from estate.settings import KEY
 
 LAYERS = [
@@ -25,14 +26,20 @@ GOVERNANCE_FLAGS = ["grants_ok", "owner_ok", "tags_ok", "row_filter_ok", "column
 
 
 def _hashable(column: Column, kind: T.DataType) -> Column:
-    """A value xxhash64 accepts: maps become sorted entries, variants become text."""
-    if isinstance(kind, T.MapType):
-        return F.to_json(F.array_sort(F.map_entries(column)), {"ignoreNullFields": "false"})
+    """A value xxhash64 accepts, equal for equal values: maps at any depth become entries in order, variants text."""
+    text = kind.simpleString()
+    if "map<" not in text and "variant" not in text:
+        return column
     if isinstance(kind, T.VariantType):
         return F.to_json(column)
-    if isinstance(kind, (T.ArrayType, T.StructType)) and ("map<" in kind.simpleString() or "variant" in kind.simpleString()):
-        return F.to_json(column, {"ignoreNullFields": "false"})
-    return column
+    if isinstance(kind, T.StructType):
+        fields = F.struct(*[_hashable(column[f.name], f.dataType).alias(f.name) for f in kind.fields])
+        return F.when(column.isNotNull(), fields)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(column, lambda e: _hashable(e, kind.elementType))
+    # Entries as JSON text can be sorted whatever their values are.
+    entry = lambda e: F.struct(_hashable(e["key"], kind.keyType).alias("key"), _hashable(e["value"], kind.valueType).alias("value"))
+    return F.array_sort(F.transform(F.map_entries(column), lambda e: F.to_json(entry(e), {"ignoreNullFields": "false"})))
 
 
 def row_hash(table: DataFrame, *, columns: Sequence[str] | None = None) -> Column:
@@ -75,9 +82,9 @@ def compare_fingerprints(source: DataFrame, target: DataFrame, *, by: Sequence[s
 
 
 def validation_candidates(log: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Validated log rows with format, parent location and table type from the inventory."""
+    """Objects that are validated now, with format, parent location and table type from the inventory."""
     known = inventory.select(*KEY, "data_source_format", "parent_managed_location", "table_type")
-    return log.filter(F.col("status") == "validated").select(*KEY, "pre_migration_fqn").join(known, KEY)
+    return current_log(log).filter(F.col("status") == "validated").select(*KEY, "pre_migration_fqn").join(known, KEY)
 
 
 def _is_external() -> Column:

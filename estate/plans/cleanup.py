@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from estate.functions.text import quote_name
 from estate.operators.governance import own_kind
+from estate.operators.state import current_log
 from estate.settings import SHADOW_SUFFIX
 
 
 def cleanup_targets(log: DataFrame) -> DataFrame:
-    """Validated log rows that name a shadow."""
-    return log.filter((F.col("status") == "validated") & F.col("pre_migration_fqn").isNotNull()).select("pre_migration_fqn", "object_type")
+    """Objects whose current state is validated and names a shadow."""
+    return current_log(log).filter((F.col("status") == "validated") & F.col("pre_migration_fqn").isNotNull()).select("pre_migration_fqn", "object_type")
 
 
 def _parts(name: Column) -> Column:
@@ -117,14 +118,14 @@ def undrop_statements(cleanup_log: DataFrame) -> DataFrame:
 
 
 def cleanup_log_rows(outcomes: DataFrame, *, logged_at) -> DataFrame:
-    """The stored shape of the cleanup log; messages are cut to 500 characters."""
+    """The stored shape of the cleanup log, with whole messages."""
     message = F.col("error_message") if "error_message" in outcomes.columns else F.lit(None).cast("string")
     return outcomes.select(
         F.lit(logged_at).cast("timestamp").alias("ts"),
         F.col("fqn").alias("pre_migration_fqn"),
         "object_type",
         "status",
-        F.substring(message, 1, 500).alias("error_message"),
+        message.cast("string").alias("error_message"),
     )
 
 

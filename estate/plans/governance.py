@@ -46,7 +46,7 @@ def replay_statements(snapshots: DataFrame) -> DataFrame:
     )
     owner = F.col("snapshot.owner")
     tags = F.array_join(
-        F.transform("snapshot.tags", lambda t: F.concat(quote_literal(t["name"]), F.lit(" = "), quote_literal(t["value"]))), ", "
+        F.transform("snapshot.tags", lambda t: F.concat(quote_literal(t["name"]), F.coalesce(F.concat(F.lit(" = "), quote_literal(t["value"])), F.lit("")))), ", "
     )
     comment = F.col("snapshot.table_comment")
     entries = F.map_entries(F.coalesce("snapshot.table_properties", F.create_map().cast("map<string,string>")))

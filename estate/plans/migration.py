@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from estate.functions.text import quote_name
+from estate.functions.text import quote_literal, quote_name
 from estate.functions.urls import attach_moved_url
 from estate.operators.state import shadow_name, staging_name
 from estate.operators.verify import compare_fingerprints, fingerprint
@@ -75,7 +75,7 @@ def plan_steps(routed: DataFrame, *, new: str, old: str | None = None) -> DataFr
     orig, pre, staging = _name(), _name(shadow_name("name")), _name(staging_name("name"))
     swap = (("rename_orig", rename("TABLE", orig, pre)), ("rename_staging", rename("TABLE", staging, orig)))
     fmt = F.upper(F.coalesce(F.nullif("data_source_format", F.lit("")), F.lit("DELTA")))
-    at = F.concat(F.lit(" LOCATION '"), F.col("moved.url"), F.lit("'"))
+    at = F.concat(F.lit(" LOCATION "), quote_literal(F.col("moved.url")))
     stays = F.nullif("storage_path", F.lit("")).isNull()
     fault = F.when(stays, "no storage path").otherwise(F.col("moved.error"))
     external = F.col("route").isin("external_table", "external_volume")
@@ -103,13 +103,18 @@ def plan_steps(routed: DataFrame, *, new: str, old: str | None = None) -> DataFr
 
 
 def managed_volume_steps(routed: DataFrame) -> DataFrame:
-    """Statements around the file copy of a managed volume; the copy runs after step 1."""
+    """Statements around the file copy of a managed volume, and the copy and its verification between them.
+
+    The original stays as the shadow: only the cleanup may drop it.
+    """
     orig, pre, staging = _name(), _name(shadow_name("name")), _name(staging_name("name"))
+    nothing = F.lit(None).cast("string")
     steps = _steps(
         ("create_staging", create_volume(staging, if_not_exists=True)),
+        ("copy", nothing),
+        ("verify", nothing),
         ("rename_orig", rename("VOLUME", orig, pre)),
         ("rename_staging", rename("VOLUME", staging, orig)),
-        ("drop_shadow", drop_volume(pre)),
     )
     return (
         routed.filter(F.col("route") == "volume_copy")
@@ -125,7 +130,9 @@ def location_cover(targets: DataFrame, locations: DataFrame, *, keys: Sequence[s
     no target is compared with every location. ``locations`` has ``pos``, ``name``, ``url``.
     """
     parts = F.split(F.col(path), "/")
-    ancestors = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    # Without a scheme and host a text names no place, so the shortest ancestor is scheme://host.
+    depth = F.size(parts)
+    ancestors = F.transform(F.sequence(F.least(F.lit(3), depth), depth), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
     listed = (
         locations.select(F.rtrim("url", F.lit("/")).alias("ancestor"), F.struct("pos", "name").alias("location"))
         .groupBy("ancestor")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from estate.functions.text import quote_name
+from estate.functions.text import quote_literal, quote_name
 from estate.functions.urls import attach_moved_url, url_class
 from estate.operators.governance import own_kind
-from estate.operators.state import attach_existence, shadow_name, staging_name
+from estate.operators.state import attach_existence, current_log, shadow_name, staging_name
 from estate.settings import KEY
 
 # Log statuses a roll-back starts from, and those after the swap.
@@ -19,14 +19,14 @@ INVENTORY_COLUMNS = ["table_type", "storage_path", "data_source_format", "parent
 
 
 def rollback_candidates(log: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Log rows that can be rolled back, with what the inventory knew of the object."""
+    """Current log rows that can be rolled back, with what the inventory knew of the object."""
     known = inventory.select(*KEY, *[c for c in INVENTORY_COLUMNS if c in inventory.columns])
-    return log.filter(F.col("status").isin(ROLLBACK_STATUSES)).join(known, KEY, "left")
+    return current_log(log).filter(F.col("status").isin(ROLLBACK_STATUSES)).join(known, KEY, "left")
 
 
 def unrecoverable_objects(log: DataFrame, listing: DataFrame) -> DataFrame:
     """Swapped objects with neither the original nor its shadow left; unknown is not missing."""
-    swapped = log.filter(F.col("status").isin(SWAPPED_STATUSES))
+    swapped = current_log(log).filter(F.col("status").isin(SWAPPED_STATUSES))
     return attach_existence(swapped, listing).filter(~F.col("orig_exists") & ~F.col("pre_exists"))
 
 
@@ -49,7 +49,7 @@ def plan_rollback(rows: DataFrame) -> DataFrame:
     kind = own_kind(F.col("object_type"))
     drop = lambda name: F.concat(F.lit("DROP "), kind, F.lit(" IF EXISTS "), name)
     fmt = F.upper(F.coalesce(F.nullif("data_source_format", F.lit("")), F.lit("DELTA")))
-    at = F.concat(F.lit(" LOCATION '"), F.col("storage_path"), F.lit("'"))
+    at = F.concat(F.lit(" LOCATION "), quote_literal(F.col("storage_path")))
     recreate = F.when(kind == "VOLUME", F.concat(F.lit("CREATE EXTERNAL VOLUME "), orig, at)).otherwise(
         F.concat(F.lit("CREATE EXTERNAL TABLE "), orig, F.lit(" USING "), fmt, at)
     )

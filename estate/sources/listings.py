@@ -41,7 +41,11 @@ def path_opener():
     return open_path
 
 
-def list_tree(spark: SparkSession, root: str, *, parallelism: int = 256) -> DataFrame:
+#: Directories that one task lists: few, as each is a round trip to the storage.
+DIRECTORIES_PER_TASK = 8
+
+
+def list_tree(spark: SparkSession, root: str) -> DataFrame:
     """``relpath``, ``size`` and ``path`` of every file below ``root``; none when there is no root.
 
     Spark's own file sources leave out empty files and names that begin with ``_`` or ``.``, so
@@ -73,7 +77,7 @@ def list_tree(spark: SparkSession, root: str, *, parallelism: int = 256) -> Data
     files, waiting = None, 1
     while waiting:
         entries = (
-            level.repartition(min(waiting, parallelism), "path")
+            level.repartition(-(-waiting // DIRECTORIES_PER_TASK), "path")
             .mapInPandas(list_directories, "path string, size long, is_directory boolean")
             .checkpoint()
         )

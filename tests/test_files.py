@@ -67,8 +67,16 @@ def test_sample(spark):
 
 
 def test_copy_mode(spark):
-    rows = spark.createDataFrame([("big",)] * 3 + [("small",)], "volume string")
-    assert {r.volume: r.mode for r in files.copy_mode(rows, keys=["volume"], parallel_from=3).collect()} == {"big": "parallel", "small": "simple"}
+    rows = spark.createDataFrame([("big", 2)] * 3 + [("small", None)], "volume string, size long")
+    assert {r.volume: (r.files, r.bytes) for r in files.copy_mode(rows, keys=["volume"]).collect()} == {"big": (3, 6), "small": (1, 0)}
+
+
+def test_differences_are_whole(spark):
+    schema = "volume string, relpath string, size long"
+    source = spark.createDataFrame([("v", f"f{i:03}", 1) for i in range(200)] + [("v", "twice", 1)] * 2, schema)
+    target = spark.createDataFrame([("v", "f000", 2), ("v", "new", 1), ("v", "twice", 1)], schema)
+    got = [(r.relpath, r.difference) for r in files.listing_differences(source, target, keys=["volume"]).collect()]
+    assert len(got) == 202 and {d for p, d in got if p == "f000"} == {"mismatch"} and ("new", "extra") in got and ("twice", "duplicate") in got
 
 
 def test_copy_pairs(spark):

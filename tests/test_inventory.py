@@ -82,11 +82,22 @@ def test_size_reasons(spark):
     assert off.filter("size_bytes is not null or skip_reason is not null").count() == 0
 
 
-def test_volume_cap(spark):
-    files = spark.createDataFrame([("v", 1)] * 4 + [("w", 2)] * 2, "volume string, size long")
-    got = {r.volume: r.size_bytes for r in inv.volume_sizes(files, keys=["volume"], max_files=3).collect()}
-    assert got == {"v": None, "w": 4}
-    assert {r.volume: r.size_bytes for r in inv.volume_sizes(files, keys=["volume"], max_files=None).collect()} == {"v": 4, "w": 4}
+def test_volume_sizes_whole_or_failed(spark):
+    files = spark.createDataFrame([("v", 1, None)] * 12000 + [("w", 2, None), ("w", 2, "denied")], "volume string, size long, error string")
+    got = {r.volume: (r.size_bytes, r.skip_reason) for r in inv.volume_sizes(files, keys=["volume"]).collect()}
+    assert got == {"v": (12000, None), "w": (None, "denied")}
+
+
+def test_counts_of_a_table_and_a_volume_of_one_name(spark):
+    rows = spark.createDataFrame([("c", "s", "n", "TABLE"), ("c", "s", "n", "VOLUME")], "catalog string, schema string, name string, object_type string")
+    tags = spark.createDataFrame([("c", "s", "n", "TABLE"), ("c", "s", "n", "VOLUME")], rows.schema)
+    got = {r.object_type: r.tag_count for r in inv.attach_counts(rows, tags, tags.drop("object_type")).collect()}
+    assert got == {"TABLE": 1, "VOLUME": None}
+
+
+def test_reports_without_a_limit(spark):
+    rows = spark.createDataFrame([("c%d" % i, "drift_managed_on_old") for i in range(30)], "catalog string, classification string")
+    assert report.top_drift_catalogs(rows).count() == 10 and report.top_drift_catalogs(rows, limit=None).count() == 30
 
 
 def on_new(spark, count, days_old, owner="u", size=None):

@@ -11,7 +11,8 @@ n is a fifth more than needed. So a set can do without a few of its signatures:
 sets share, such as the parts that a common passage fills, are used only by sets of which they could
 be all that is left of an agreement (n - k parts or more). Empty parts are treated alike.
 
-Signatures only propose pairs; links are decided on whole sets. In signatures with many sets not all
+Signatures only propose pairs: those that share as many of them as they must go on, and links are
+decided on whole sets. In signatures with many sets not all
 pairs are tried at once: first each set against one of them, then, wherever sets of one signature are
 not yet in one component, against their neighbours, and at last all pairs between components.
 """
@@ -201,22 +202,27 @@ def _meet(table: pa.Table) -> pa.Table:
     few = rows[~per_row]
     beside = entry[many] % 2
     spare = np.where(beside == 0, flat(table, "spare0")[place[many]], flat(table, "spare1")[place[many]])
-    a, b = [], []
+    few_beside = entry[few] % 2
+    few_spare = np.where(few_beside == 0, flat(table, "spare0")[place[few]], flat(table, "spare1")[place[few]])
+    a, b, by, need = [], [], [], []
     for shift in range(1, SMALL):
         if len(few) <= shift:
             break
         pair = np.flatnonzero(name[few][shift:] == name[few][:-shift])
         a.append(set_[few[pair]])
         b.append(set_[few[pair + shift]])
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-    if len(a):
-        order, heads = groups_of(a, b)
-        a, b = a[order[heads]], b[order[heads]]
+        by.append(few_beside[pair])
+        need.append(few_spare[pair])
+    a, b, by, need = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b, by, need))
+    order, heads = groups_of(a, b, by)
+    count = np.diff(np.append(heads, len(order)))
+    a, b, by, need = (x[order[heads]] for x in (a, b, by, need))
     n, m = len(a), len(many)
     return pa.table(
         {
             "pair": pa.array(np.arange(n + m) < n), "a": pa.array(np.concatenate([a, name[many]]), pa.int64()), "b": pa.array(np.concatenate([b, set_[many]]), pa.int64()),
-            "beside": pa.array(np.concatenate([np.zeros(n), beside]), pa.int32()), "spare": pa.array(np.concatenate([np.zeros(n), spare]), pa.int32()),
+            "beside": pa.array(np.concatenate([by, beside]), pa.int32()), "spare": pa.array(np.concatenate([need, spare]), pa.int32()),
+            "shared": pa.array(np.concatenate([count, np.ones(m, np.int64)]), pa.int32()),
         }
     )
 
@@ -280,15 +286,19 @@ def similar_sets(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: s
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     buckets = min(1 << 20, text_buckets(docs, text_col, bucket_bytes))
     sent = rows.select("text").mapInArrow(_send_signatures(scheme, shingle, buckets), SENT)
-    met = stored(sent.groupBy("bucket").applyInArrow(_meet, "pair boolean, a long, b long, beside int, spare int"), "signatures")
-    pairs = met.where("pair").select(*_ordered("a", "b"))
+    met = stored(sent.groupBy("bucket").applyInArrow(_meet, "pair boolean, a long, b long, beside int, spare int, shared int"), "signatures")
     many = met.where("NOT pair").select(F.col("a").alias("signature"), F.col("b").alias("id"), "beside", "spare")
     # A set stays in large signatures only if they could be all that it agrees on with another.
-    needs = many.groupBy("id", "beside").agg(F.count("*").alias("have"), F.max("spare").alias("spare")).where("have >= spare").select("id", "beside")
+    held = stored(many.groupBy("id", "beside").agg(F.count("*").alias("have"), F.max("spare").alias("spare")), "held-signatures")
+    needs = held.where("have >= spare").select("id", "beside")
     large = stored(many.join(needs, ["id", "beside"], "left_semi").select("signature", "id"), "large-signatures")
     hub = large.groupBy("signature").agg(F.min("id").alias("hub"))
     star = large.join(hub, "signature").where("id <> hub").select(*_ordered("id", "hub"))
-    pairs = stored(pairs.unionByName(star).distinct(), "pairs")
+    # A pair has to agree on as many parts as its sets can spare; parts in large signatures may all agree.
+    seen = met.where("pair").groupBy("a", "b", "beside").agg(F.sum("shared").alias("shared"), F.max("spare").alias("spare"))
+    most = F.col("shared") + F.coalesce("have", F.lit(0))
+    seen = seen.join(held.select(F.col("id").alias("a"), "beside", "have"), ["a", "beside"], "left").where(most >= F.col("spare"))
+    pairs = stored(seen.select(*_ordered("a", "b")).unionByName(star).distinct(), "pairs")
     wanted = stored(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).unionByName(large.select("id")).distinct(), "wanted-sets")
     # Sets of the wanted names alone are kept: first by the filter, then by the names themselves.
     kept = ["rid", "doc_id", "id", "n"]

@@ -16,8 +16,8 @@ def stored(frame: DataFrame, label: str, *partitions: str) -> DataFrame:
     ends here.
     """
     path = scratch_path(frame.sparkSession, label)
-    writer = frame.write.partitionBy(*partitions) if partitions else frame.write
-    writer.parquet(path)
+    writer = frame.write.option("compression", "zstd")
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

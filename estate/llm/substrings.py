@@ -8,7 +8,8 @@ sequence of words repeats, all symbols are the same but for those near its ends.
 loses one symbol at most, and lengths are limited per round, so 22 words at each end are always
 enough: the symbols over the middle 6 of a repeated window of 50 words are shared by both documents.
 
-Spark then finds which symbols occur in more than one row. Only windows whose middle is covered by
+Rows whose whole text a row with a smaller id has are copies: all their windows repeat, so they need
+no comparison. Of all other rows Spark finds which symbols occur in more than one of them. Only windows whose middle is covered by
 shared symbols are compared, by 96 bits of hash, with those of all other documents.
 """
 
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from estate.llm.arrays import SPACED, WindowHash, WordHash, find_words, mix, ragged, text_bytes, text_slices, window_starts
 from estate.llm.packed import OWNED, bucket_of, flat, gather_of_owners, groups_of, of_each, pack, send_to_owners, text_buckets
 from estate.llm.storage import steady, stored
+from estate.session import scratch_path
 
 #: Runs of at most so many equal words get a name; an end of a window loses as many words at most.
 LONGEST_RUN = 3
@@ -148,20 +150,29 @@ def _choose(window: int, digest: bool):
             owner, lists = np.repeat(np.arange(batch.num_rows), sizes), np.asarray(column.flatten())
             key = lambda r, s: r.astype(np.int64) << 32 | s.view(np.uint32).astype(np.int64)
             shared = np.isin(key(row, low), key(owner, lists.astype(np.int32)))
+            copy = np.asarray(batch.column("copy"))
+            gone = np.where(copy & (np.diff(texts.counts) >= window), np.diff(texts.counts), 0)
             covered = np.zeros(len(texts.words) + 1, np.int64)
             np.cumsum(np.repeat(shared, np.diff(np.append(first, len(texts.words)))), out=covered[1:])
             starts, text = window_starts(texts.counts, window)
-            wanted = covered[starts + middle[1]] - covered[starts + middle[0]] == middle[1] - middle[0]
+            wanted = (covered[starts + middle[1]] - covered[starts + middle[0]] == middle[1] - middle[0]) & ~copy[text]
             starts, text = starts[wanted], text[wanted]
             n = np.bincount(text, minlength=batch.num_rows)
+            # Neighbouring starts are held as the first and the one after the last.
+            edge = np.ones(len(starts) + 1, bool)
+            edge[1:-1] = (np.diff(starts) > 1) | (np.diff(text) > 0)
+            cut = np.flatnonzero(edge)
+            cuts, owners = cut[:-1], text[cut[:-1]]
+            run_from, run_to = starts[cuts] - texts.counts[owners], starts[cut[1:] - 1] + 1 - texts.counts[owners]
+            runs = np.bincount(owners, minlength=batch.num_rows)
             whole = batch.column("text").cast(pa.binary())
-            kept = [None if n[i] else _kept(whole[i].as_py(), None, digest) for i in range(batch.num_rows)]
+            kept = [None if n[i] else _kept(b"" if gone[i] else whole[i].as_py(), None, digest) for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("rid"), batch.column("doc_id"), pa.array(np.diff(texts.counts), pa.int64()), pa.array(n, pa.int64()), pa.array(kept, pa.string()),
-                    pa.array([whole[i].as_py().decode() if n[i] else None for i in range(batch.num_rows)], pa.string()), ragged(starts - texts.counts[text], n, pa.int32()),
+                    batch.column("rid"), batch.column("doc_id"), pa.array(np.diff(texts.counts), pa.int64()), pa.array(gone, pa.int64()), pa.array(n, pa.int64()), pa.array(kept, pa.string()),
+                    pa.array([whole[i].as_py().decode() if n[i] else None for i in range(batch.num_rows)], pa.string()), ragged(run_from, runs, pa.int32()), ragged(run_to, runs, pa.int32()),
                 ],
-                names=["rid", "doc_id", "n_words", "n_candidates", "kept", "text", "starts"],
+                names=["rid", "doc_id", "n_words", "n_removed", "n_candidates", "kept", "text", "run_from", "run_to"],
             )
 
     return run
@@ -172,10 +183,11 @@ def _send_windows(window: int, buckets: int):
         texts, hashes = _Texts(), (WindowHash(window, 21), WindowHash(window, 22))
         for batch in text_slices(batches, "text"):
             texts.read(batch, both=True)
-            column = batch.column("starts")
-            size = np.diff(np.asarray(column.offsets))
-            start = np.asarray(column.flatten()).astype(np.int64)
-            row = np.repeat(np.arange(batch.num_rows), size)
+            low, high = (np.asarray(batch.column(c).flatten()).astype(np.int64) for c in ("run_from", "run_to"))
+            size = np.diff(np.asarray(batch.column("run_from").offsets))
+            run = np.repeat(np.arange(len(low)), high - low)
+            start = low[run] + np.arange(len(run)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)
+            row = np.repeat(np.arange(batch.num_rows), size)[run]
             at = texts.counts[row] + start
             one, two = hashes[0](texts.words)[at], hashes[1](texts.second)[at]
             doc = np.asarray(batch.column("doc_id"))[row]
@@ -236,6 +248,20 @@ def _remove(window: int, digest: bool):
     return run
 
 
+def _bucketed(frame: DataFrame, key: str) -> DataFrame:
+    """A stored frame whose files are bucketed by a key, so that a later join on it moves the other side alone.
+
+    The frame comes from a join on the key, so each of its tasks writes few buckets. The table has a name
+    of its own in the session's catalog and its files in the shared folder.
+    """
+    spark = frame.sparkSession
+    path = scratch_path(spark, "bucketed")
+    name = "bucketed_" + path.rsplit("-", 1)[1]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    frame.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    return spark.table(name)
+
+
 def remove_repeats(docs: DataFrame, window: int = 50, digest: bool = False, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 16 << 20) -> DataFrame:
     """(id, n_words, n_removed, kept) of every row of `docs`.
 
@@ -250,23 +276,32 @@ def remove_repeats(docs: DataFrame, window: int = 50, digest: bool = False, id_c
         raise ValueError(f"window has to be at least {2 * LOST + 2} words")
     docs = steady(docs.select(id_col, text_col))
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # Copies are found by a 128-bit hash of the text; the narrow table is grouped, not the texts.
+    texts = rows.where("doc_id IS NOT NULL").select("rid", "doc_id", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"))
+    texts = stored(texts, "substring-texts")
+    least = texts.groupBy("t1", "t2").agg(F.min("doc_id").alias("least"))
+    copies = stored(texts.join(least, ["t1", "t2"]).where("doc_id > least").select("rid"), "substring-copies")
     named = rows.where("doc_id IS NOT NULL")
     buckets = text_buckets(docs, text_col, bucket_bytes)
     sent = named.select("rid", "text").mapInArrow(_send_symbols(buckets), "bucket int, base long, symbol array<int>, offset array<int>, told array<tinyint>")
     shared = gather_of_owners(sent.groupBy("bucket").applyInArrow(lambda t: _find_shared(t, buckets), OWNED), ("rid", "shared"))
-    joined = rows.join(shared, "rid", "left").withColumn("shared", F.coalesce("shared", F.array().cast("array<int>")))
-    chosen = joined.select("rid", "doc_id", "text", "shared").mapInArrow(
-        _choose(window, digest), "rid long, doc_id long, n_words long, n_candidates long, kept string, text string, starts array<int>"
+    none = F.array().cast("array<int>")
+    known = shared.withColumn("copy", F.lit(False)).unionByName(copies.select("rid", none.alias("shared"), F.lit(True).alias("copy")))
+    known = known.groupBy("rid").agg(F.flatten(F.collect_list("shared")).alias("shared"), F.bool_or("copy").alias("copy"))
+    joined = rows.join(known, "rid", "left").withColumns({"shared": F.coalesce("shared", none), "copy": F.coalesce("copy", F.lit(False))})
+    chosen = joined.select("rid", "doc_id", "text", "shared", "copy").mapInArrow(
+        _choose(window, digest),
+        "rid long, doc_id long, n_words long, n_removed long, n_candidates long, kept string, text string, run_from array<int>, run_to array<int>",
     )
-    chosen = stored(chosen, "substring-rows")
+    chosen = _bucketed(chosen, "rid")
     open_rows = chosen.where("n_candidates > 0")
     candidates = int(open_rows.agg(F.sum("n_candidates").alias("n")).first().n or 0)
     parts = max(1, candidates // 500_000)
-    windows = open_rows.select("rid", "doc_id", "text", "starts").mapInArrow(
+    windows = open_rows.select("rid", "doc_id", "text", "run_from", "run_to").mapInArrow(
         _send_windows(window, parts), "bucket int, one array<long>, two array<int>, doc array<long>, rid array<long>, start array<int>, told array<tinyint>"
     )
     repeats = gather_of_owners(windows.groupBy("bucket").applyInArrow(lambda t: _find_repeats(t, parts), OWNED), ("rid", "repeats"))
     last = open_rows.join(repeats, "rid", "left").select("rid", "doc_id", "n_words", "text", "repeats")
     mended = last.mapInArrow(_remove(window, digest), "rid long, doc_id long, n_words long, n_removed long, kept string")
-    done = chosen.where("n_candidates = 0").select("rid", "doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept")
+    done = chosen.where("n_candidates = 0").select("rid", "doc_id", "n_words", "n_removed", "kept")
     return done.unionByName(mended).drop("rid").withColumnRenamed("doc_id", id_col)

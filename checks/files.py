@@ -114,6 +114,44 @@ def _(inputs):
     )
 
 
+# Every source is a tree of its own; two more trees are absent and empty.
+def _trees(inputs, *columns):
+    import os
+
+    base, target = _tree(inputs), scratch_path(inputs.spark, "copies")
+    os.makedirs(f"{base}/empty")
+    names = inputs("documents").select(F.concat(F.lit("source="), "source").alias("tree")).distinct()
+    names = names.unionByName(inputs.spark.createDataFrame([("absent",), ("empty",)], "tree string"))
+    roots = {"root": base, "source_root": base, "target_root": target}
+    return names.select("tree", *[F.concat(F.lit(roots[c] + "/"), "tree").alias(c) for c in columns])
+
+
+_TREES = "SELECT 'source=' || source AS tree, count(*) AS files, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes FROM {documents} GROUP BY source"
+
+
+@query("list_trees", f"SELECT tree, 'present' AS state, files, bytes FROM ({_TREES}) UNION ALL SELECT 'absent', 'absent', 0, NULL UNION ALL SELECT 'empty', 'present', 0, NULL")
+def _(inputs):
+    listed = listings.list_trees(_trees(inputs, "root"), keys=["tree"])
+    data = F.col("relpath").endswith(".txt")
+    state = F.max(F.when(F.col("state") != "file", F.col("state"))).alias("state")
+    return listed.groupBy("tree").agg(state, F.count_if(data).alias("files"), F.sum(F.when(data, F.col("size"))).alias("bytes"))
+
+
+@query(
+    "copy_and_verify_trees",
+    f"SELECT tree, 'present' AS source_state, files > 0 AS copied_all, TRUE AS match FROM ({_TREES}) UNION ALL SELECT 'absent', 'absent', TRUE, FALSE UNION ALL SELECT 'empty', 'present', TRUE, TRUE",
+)
+def _(inputs):
+    verdict = files.copy_and_verify_trees(_trees(inputs, "source_root", "target_root"), keys=["tree"], partitions=16)
+    return verdict.select("tree", "source_state", (F.col("copied") == F.col("source_files")).alias("copied_all"), "match")
+
+
+@query("tree_hashes", "SELECT 'source=' || source AS tree, md5(text || chr(10)) AS content_hash, count(*) AS files FROM {documents} GROUP BY ALL")
+def _(inputs):
+    hashes = files.tree_hashes(_trees(inputs, "root"), keys=["tree"], partitions=16).filter(F.col("relpath").endswith(".txt"))
+    return hashes.groupBy("tree", "content_hash").agg(F.count(F.lit(1)).alias("files"))
+
+
 @query(
     "checksum_sample",
     "SELECT doc_id, relpath FROM {files} WHERE CAST(('0x' || substr(md5(relpath), 1, 8)) AS BIGINT) < 0.25 * 4294967295",

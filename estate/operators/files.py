@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from estate.operators.ranking import top_rows_per_group
 from estate.session import shared_folder
-from estate.sources.listings import list_tree, path_opener
+from estate.sources.listings import is_local, list_trees, path_opener
 
 COPY_BLOCK = 8 * 1024 * 1024
 FILES_PER_TASK = 2000
@@ -164,21 +164,34 @@ def checksum_sample(listing: DataFrame, *, fraction: float) -> DataFrame:
     return listing.filter(bucket < F.lit(fraction * 0xFFFFFFFF))
 
 
-def copy_files(pairs: DataFrame, *, partitions: int | None = None) -> DataFrame:
-    """Copy ``src`` to ``dst`` on the executors: one status row per file.
+def _key_types(rows: DataFrame, keys: Sequence[str]) -> str:
+    return "".join(f"{k} {rows.schema[k].dataType.simpleString()}, " for k in keys)
 
-    A file goes to a temporary name and is renamed when complete, so a retried or speculative task
-    leaves either the whole file or none. Files already there with their size are skipped. Paths
-    may be local mounts or any URL Arrow can open.
+
+def copy_files(pairs: DataFrame, *, keys: Sequence[str] = (), partitions: int | None = None, threads: int = 8) -> DataFrame:
+    """Copy ``src`` to ``dst`` on the executors: one status row per file, with the ``keys``.
+
+    On a mount a file goes to a temporary name and is renamed when complete, and a failed one's
+    temporary file is deleted; an object store publishes a file when its stream is closed. So a
+    retried or speculative task leaves either the whole file or none. Files already there with
+    their size are skipped. Copying waits for the storage, so a task copies ``threads`` files at a
+    time. The result is lazy: checkpoint it before it is used twice.
     """
-    block, open_path = COPY_BLOCK, path_opener()
+    block, open_path, keys = COPY_BLOCK, path_opener(is_local(pairs.sparkSession)), list(keys)
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import contextlib
         import posixpath
         import uuid
+        from concurrent.futures import ThreadPoolExecutor
 
         from pyarrow import fs
 
+        def write(source, source_path: str, target, path: str) -> None:
+            with source.open_input_stream(source_path) as reader, target.open_output_stream(path) as writer:
+                while chunk := reader.read(block):
+                    writer.write(chunk)
+
         def one(src: str, dst: str, size) -> tuple[str, str | None]:
             try:
                 source, source_path = open_path(src)
@@ -186,53 +199,78 @@ def copy_files(pairs: DataFrame, *, partitions: int | None = None) -> DataFrame:
                 there = target.get_file_info(target_path)
                 if there.type == fs.FileType.File and pd.notna(size) and there.size == int(size):
                     return "skipped", None
+                if not isinstance(target, fs.LocalFileSystem):
+                    write(source, source_path, target, target_path)
+                    return "copied", None
                 target.create_dir(posixpath.dirname(target_path), recursive=True)
                 partial = f"{target_path}.{uuid.uuid4().hex}.partial"
-                with source.open_input_stream(source_path) as reader, target.open_output_stream(partial) as writer:
-                    while chunk := reader.read(block):
-                        writer.write(chunk)
-                target.move(partial, target_path)
+                try:
+                    write(source, source_path, target, partial)
+                    target.move(partial, target_path)
+                except BaseException:
+                    with contextlib.suppress(OSError):
+                        target.delete_file(partial)
+                    raise
                 return "copied", None
             except Exception as fault:  # reported per file; the other files go on
                 return "failed", f"{type(fault).__name__}: {fault}"
 
-        for batch in batches:
-            results = [one(*row) for row in zip(batch["src"], batch["dst"], batch["size"])]
-            batch["status"] = [status for status, _ in results]
-            batch["error"] = [error for _, error in results]
-            yield batch[["relpath", "size", "status", "error"]]
+        with ThreadPoolExecutor(threads) as pool:
+            for batch in batches:
+                results = list(pool.map(one, batch["src"], batch["dst"], batch["size"]))
+                batch["status"] = [status for status, _ in results]
+                batch["error"] = [error for _, error in results]
+                yield batch[[*keys, "relpath", "size", "status", "error"]]
 
-    spread = pairs.select("relpath", "size", "src", "dst").repartition(partitions or _task_count(pairs), "relpath")
-    return spread.mapInPandas(copy, "relpath string, size long, status string, error string")
+    spread = pairs.select(*keys, "relpath", "size", "src", "dst").repartition(partitions or _task_count(pairs), *keys, "relpath")
+    return spread.mapInPandas(copy, f"{_key_types(pairs, keys)}relpath string, size long, status string, error string")
 
 
-def copy_and_verify(spark: SparkSession, source_root: str, target_root: str, *, partitions: int | None = None) -> DataFrame:
-    """Copy what the target lacks, list it again and compare: one row with the verdict.
+def copy_and_verify_trees(trees: DataFrame, *, keys: Sequence[str], partitions: int | None = None, threads: int = 8) -> DataFrame:
+    """Copy what each target lacks, list the targets again and compare: one row per tree, always.
 
-    The statuses are checkpointed to the shared folder, so the copy runs once even when an
-    executor is lost, before the target is listed again.
+    ``trees`` has the keys, ``source_root`` and ``target_root``. A source that does not exist does
+    not match and says so in ``source_state``. Files that a killed task left under a temporary name
+    are no part of a target. The statuses are checkpointed to the shared folder, so the copy runs
+    once even when an executor is lost.
     """
-    shared_folder(spark)
-    whole = lambda rows: rows.select(F.lit(target_root).alias("tree"), "relpath", "size")
-    source = whole(list_tree(spark, source_root))
-    before = whole(list_tree(spark, target_root))
-    todo = plan_copy(source, before, keys=["tree"]).filter(~F.col("done"))
-    statuses = copy_files(copy_pairs(todo, source_root=source_root, target_root=target_root), partitions=partitions).checkpoint()
-    verdict = compare_listings(source, whole(list_tree(spark, target_root)), keys=["tree"])
-    count = lambda status: statuses.agg(F.count_if(F.col("status") == status).alias("n")).scalar()
-    return verdict.withColumn("copied", count("copied")).withColumn("failed", count("failed"))
+    shared_folder(trees.sparkSession)
+    listed = lambda side: list_trees(trees.select(*keys, F.col(f"{side}_root").alias("root")), keys=keys)
+    whole = lambda rows: rows.filter((F.col("state") == "file") & ~F.col("relpath").rlike(r"\.[0-9a-f]{32}\.partial$")).select(*keys, "relpath", "size")
+    found = listed("source")
+    source, before = whole(found), whole(listed("target"))
+    todo = plan_copy(source, before, keys=keys).filter(~F.col("done")).join(trees, list(keys))
+    pairs = copy_pairs(todo, source_root=F.col("source_root"), target_root=F.col("target_root"))
+    statuses = copy_files(pairs, keys=keys, partitions=partitions, threads=threads).checkpoint()
+    count = lambda status: F.count_if(F.col("status") == status).alias(status)
+    counts = statuses.groupBy(*keys).agg(count("copied"), count("failed"))
+    states = found.filter(F.col("relpath").isNull()).select(*keys, F.col("state").alias("source_state"))
+    verdict = compare_listings(source, whole(listed("target")), keys=keys)
+    rows = trees.join(states, list(keys), "left").join(verdict, list(keys), "left").join(counts, list(keys), "left")
+    numbers = [c for c in verdict.columns if c.endswith(("_files", "_bytes")) or c == "duplicate_paths"] + ["copied", "failed"]
+    # An existing source without files matches a target without files, of which no verdict row speaks.
+    match = F.coalesce("match", F.lit(True)) & F.coalesce(F.col("source_state") == "present", F.lit(False)) & (F.col("failed") == 0)
+    return rows.withColumns({n: F.coalesce(n, F.lit(0)) for n in numbers}).withColumn("match", match)
 
 
-def file_hashes(spark: SparkSession, root: str, *, fraction: float = 1.0, partitions: int | None = None) -> DataFrame:
-    """``relpath`` and the md5 of the whole content of each (sampled) file.
+def copy_and_verify(spark: SparkSession, source_root: str, target_root: str, *, partitions: int | None = None) -> DataFrame:
+    """``copy_and_verify_trees`` for one tree."""
+    one = spark.createDataFrame([(target_root, source_root, target_root)], "tree string, source_root string, target_root string")
+    return copy_and_verify_trees(one, keys=["tree"], partitions=partitions).drop("source_root", "target_root")
+
+
+def tree_hashes(roots: DataFrame, *, keys: Sequence[str], fraction: float = 1.0, partitions: int | None = None, threads: int = 8) -> DataFrame:
+    """``keys``, ``relpath`` and the md5 of the whole content of each (sampled) file below many roots.
 
-    Files are read in blocks on the executors, so a file of any size takes one block of memory;
-    the sample is taken from the listing, before any content is read.
+    Files are read in blocks on the executors, ``threads`` at a time in a task, so a file of any
+    size takes one block of memory; the sample is taken from the listing, before any content is
+    read. An absent or empty root has no rows: see ``list_trees`` for the difference.
     """
-    block, open_path = COPY_BLOCK, path_opener()
+    block, open_path, keys = COPY_BLOCK, path_opener(is_local(roots.sparkSession)), list(keys)
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import hashlib
+        from concurrent.futures import ThreadPoolExecutor
 
         def one(path: str) -> str:
             filesystem, inner = open_path(path)
@@ -242,9 +280,16 @@ def file_hashes(spark: SparkSession, root: str, *, fraction: float = 1.0, partit
                     total.update(chunk)
             return total.hexdigest()
 
-        for batch in batches:
-            yield pd.DataFrame({"relpath": batch["relpath"], "content_hash": [one(p) for p in batch["path"]]})
+        with ThreadPoolExecutor(threads) as pool:
+            for batch in batches:
+                yield batch[[*keys, "relpath"]].assign(content_hash=list(pool.map(one, batch["path"])))
 
-    chosen = checksum_sample(list_tree(spark, root), fraction=fraction)
-    spread = chosen.select("relpath", "path").repartition(partitions or _task_count(chosen), "relpath")
-    return spread.mapInPandas(digest, "relpath string, content_hash string")
+    chosen = checksum_sample(list_trees(roots, keys=keys).filter("state = 'file'"), fraction=fraction)
+    spread = chosen.select(*keys, "relpath", "path").repartition(partitions or _task_count(chosen), *keys, "relpath")
+    return spread.mapInPandas(digest, f"{_key_types(roots, keys)}relpath string, content_hash string")
+
+
+def file_hashes(spark: SparkSession, root: str, *, fraction: float = 1.0, partitions: int | None = None) -> DataFrame:
+    """``tree_hashes`` of one tree."""
+    one = spark.createDataFrame([(0, root)], "tree int, root string")
+    return tree_hashes(one, keys=["tree"], fraction=fraction, partitions=partitions).drop("tree")

@@ -16,12 +16,15 @@ from estate.session import shared_folder
 from estate.settings import KEY
 
 
-def path_opener():
+def path_opener(local_paths: bool = True):
     """A function that opens a path on any worker: a local path, or any URL Arrow knows.
 
     It is made here, inside a function, so that Spark sends it by value and the workers need no
     copy of this package. Only scheme and host are read as a URL; the rest may hold any character.
+    One file system per scheme and host is made in a task. A path without a scheme would be each
+    worker's own disk on a cluster, so it is refused unless ``local_paths``.
     """
+    made: dict = {}
 
     def open_path(path: str):
         import posixpath
@@ -29,63 +32,105 @@ def path_opener():
         from pyarrow import fs
 
         scheme, is_url, rest = path.partition("://")
-        if not is_url:
-            return fs.LocalFileSystem(), path.removeprefix("file:")
-        if scheme == "file":
-            return fs.LocalFileSystem(), rest
+        if not is_url and not path.startswith("file:") and not local_paths:
+            raise ValueError(f"a path without a scheme is another place on each worker: {path}")
+        if not is_url or scheme == "file":
+            if "file" not in made:
+                made["file"] = fs.LocalFileSystem()
+            return made["file"], rest if is_url else path.removeprefix("file:")
         host, _, inner = rest.partition("/")
         scheme = "s3" if scheme in ("s3a", "s3n") else scheme
-        filesystem, base = fs.FileSystem.from_uri(f"{scheme}://{host}/")
+        if (scheme, host) not in made:
+            made[scheme, host] = fs.FileSystem.from_uri(f"{scheme}://{host}/")
+        filesystem, base = made[scheme, host]
         return filesystem, posixpath.join(base, inner)
 
     return open_path
 
 
+def is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
 #: Directories that one task lists: few, as each is a round trip to the storage.
 DIRECTORIES_PER_TASK = 8
 
 
-def list_tree(spark: SparkSession, root: str) -> DataFrame:
-    """``relpath``, ``size`` and ``path`` of every file below ``root``; none when there is no root.
+def list_trees(roots: DataFrame, *, keys: Sequence[str]) -> DataFrame:
+    """All files below many roots: ``keys``, ``state``, ``relpath``, ``size``, ``path``.
 
-    Spark's own file sources leave out empty files and names that begin with ``_`` or ``.``, so
-    the executors list the directories instead, one level of the tree per round. Each round is
-    checkpointed to the shared folder; the driver sees only how many directories are left.
+    ``roots`` has the keys and ``root``. ``state`` is ``file``; each root also has one row without
+    relpath, ``present`` or ``absent``. All roots go down together, one level of directories per
+    round, so the number of jobs grows with the depth of the trees, not with their number. Spark's
+    own file sources leave out empty files and names that begin with ``_`` or ``.``, so the
+    executors list the directories. Each round is checkpointed to the shared folder (set
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` to have it cleaned); the driver sees only
+    how many directories are left.
     """
+    spark = roots.sparkSession
     shared_folder(spark)
-    base = root.rstrip("/")
-    open_path = path_opener()
+    open_path = path_opener(is_local(spark))
+    key_type = ", ".join(f"{k} {roots.schema[k].dataType.simpleString()}" for k in keys)
 
     def list_directories(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import itertools
+        import os
+
         from pyarrow import fs
 
+        def entries(directory: str):
+            """(name, size, is it a directory), one by one on mounts, so that a flat folder is not held whole."""
+            filesystem, inner = open_path(directory)
+            if isinstance(filesystem, fs.LocalFileSystem):
+                with os.scandir(inner) as found:
+                    for e in found:
+                        folder = e.is_dir()
+                        yield e.name, 0 if folder else e.stat().st_size, folder
+            else:
+                for i in filesystem.get_file_info(fs.FileSelector(inner)):
+                    yield i.base_name, i.size or 0, i.type == fs.FileType.Directory
+
+        def there(directory: str) -> bool:
+            filesystem, inner = open_path(directory)
+            return filesystem.get_file_info(inner).type == fs.FileType.Directory
+
+        def rows(key: tuple, prefix: str, directory: str):
+            if not prefix:
+                found = there(directory)
+                yield *key, "present" if found else "absent", None, None, directory
+                if not found:
+                    return
+            for name, size, folder in entries(directory):
+                yield *key, "directory" if folder else "file", prefix + name, size, f"{directory}/{name}"
+
+        columns = [*keys, "state", "relpath", "size", "path"]
         for batch in batches:
-            for directory in batch["path"]:
-                filesystem, inner = open_path(directory)
-                infos = filesystem.get_file_info(fs.FileSelector(inner, allow_not_found=True))
-                for start in range(0, len(infos), 10000):
-                    part = infos[start : start + 10000]
-                    yield pd.DataFrame(
-                        {
-                            "path": [f"{directory}/{i.base_name}" for i in part],
-                            "size": [i.size or 0 for i in part],
-                            "is_directory": [i.type == fs.FileType.Directory for i in part],
-                        }
-                    )
-
-    level = spark.createDataFrame([(base,)], "path string")
-    files, waiting = None, 1
+            every = itertools.chain.from_iterable(
+                rows(key, prefix, directory)
+                for key, prefix, directory in zip(zip(*(batch[k] for k in keys), strict=True), batch["prefix"], batch["path"], strict=True)
+            )
+            while part := list(itertools.islice(every, 10_000)):
+                yield pd.DataFrame(part, columns=columns).astype({"size": "Int64"})
+
+    level = roots.select(*keys, F.lit("").alias("prefix"), F.rtrim("root", F.lit("/")).alias("path"))
+    out, waiting = None, max(1, level.count())
     while waiting:
         entries = (
             level.repartition(-(-waiting // DIRECTORIES_PER_TASK), "path")
-            .mapInPandas(list_directories, "path string, size long, is_directory boolean")
+            .mapInPandas(list_directories, f"{key_type}, state string, relpath string, size long, path string")
             .checkpoint()
         )
-        found = entries.filter(~F.col("is_directory"))
-        files = found if files is None else files.unionByName(found)
-        level = entries.filter("is_directory").select("path")
+        found = entries.filter("state <> 'directory'")
+        out = found if out is None else out.unionByName(found)
+        level = entries.filter("state = 'directory'").select(*keys, F.concat("relpath", F.lit("/")).alias("prefix"), "path")
         waiting = level.count()
-    return files.select(F.substring("path", F.lit(len(base) + 2), F.length("path")).alias("relpath"), "size", "path")
+    return out
+
+
+def list_tree(spark: SparkSession, root: str) -> DataFrame:
+    """``relpath``, ``size`` and ``path`` of every file below ``root``; none when there is no root."""
+    one = spark.createDataFrame([(0, root)], "tree int, root string")
+    return list_trees(one, keys=["tree"]).filter("state = 'file'").select("relpath", "size", "path")
 
 
 def files_read(table: DataFrame) -> DataFrame:

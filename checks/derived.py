@@ -160,7 +160,7 @@ SELECT 'CATALOG' AS kind, catalog AS securable FROM {wide_catalogs} WHERE length
 
 TEXTS["tags"] = """
 SELECT o.catalog, o.schema, o.name, o.object_type, concat('tag', p_size % 7) AS tag_name, concat('it''s ', p_size) AS tag_value
-FROM (SELECT *, p_partkey % (SELECT count(*) FROM {orders}) AS object_no FROM {part} WHERE p_partkey % 3 <> 0) p
+FROM (SELECT *, p_partkey % (SELECT count(*) FROM {orders}) AS object_no FROM {part}) p
 JOIN {objects} o ON o.k = p.object_no"""
 
 TEXTS["sizes"] = """
@@ -171,6 +171,8 @@ FROM {objects} WHERE object_type = 'TABLE' AND k % 19 <> 0"""
 # Describe rows of the orders' tables: a column named Location on some, then the detail part.
 _DESCRIBE_LABELS = ["id", "Location", "", "# Detailed Table Information", "Comment", "Location", "Owner", "Location"]
 TEXTS["described"] = """
+SELECT catalog, schema, name, object_type, 0 AS pos, 'owner' AS col_name, 'string' AS data_type, NULL AS comment FROM {objects} WHERE object_type = 'TABLE' AND k % 9 = 4
+UNION ALL
 SELECT catalog, schema, name, object_type, pos,
   CASE pos """ + " ".join(f"WHEN {i} THEN '{label}'" for i, label in enumerate(_DESCRIBE_LABELS, 1)) + """ END AS col_name,
   CASE pos WHEN 1 THEN 'bigint' WHEN 2 THEN 'string' WHEN 5 THEN concat('note ', k)
@@ -189,7 +191,7 @@ FROM {objects} WHERE object_type = 'TABLE' AND k % 6 = 1 OR object_type = 'TABLE
 TEXTS["masks"] = """
 SELECT o.catalog, o.schema, o.name, o.object_type, concat('col', l_linenumber) AS column_name, concat('ops.m', l_suppkey % 4) AS function_name,
   CASE WHEN l_suppkey % 2 = 0 THEN concat('id, x', l_linenumber, ', ') ELSE NULL END AS using_columns
-FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey % 4 AS l_suppkey FROM {lineitem} WHERE l_linenumber <= 2) l
+FROM {lineitem} l
 JOIN {objects} o ON o.k = l_orderkey WHERE o.object_type = 'TABLE'"""
 
 TEXTS["properties"] = """

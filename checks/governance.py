@@ -66,7 +66,7 @@ def _(inputs):
     )
 
 
-@query("described_owner", f"SELECT {KEYS}, data_type AS owner FROM {{described}} WHERE lower(col_name) = 'owner'")
+@query("described_owner", f"SELECT {KEYS}, data_type AS owner FROM {{described}} WHERE lower(col_name) = 'owner' AND pos > 4")
 def _(inputs):
     return governance.described_owners(inputs("described"))
 

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from checks.derived import NEW, OLD, derive, with_inputs
 from estate.operators import inventory as inv
+from estate.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+BUILDS: dict[str, Callable[["Inputs"], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 AS_OF = "2001-01-01"
@@ -19,6 +21,7 @@ def query(name: str, oracle: str | None = None):
     """Register a query under a name; without an oracle text only its rows are checked."""
 
     def register(build: Callable[["Inputs"], DataFrame]):
+        BUILDS[name] = build
         QUERIES[name] = lambda spark, sf_dir: build(Inputs(spark, sf_dir))
         if oracle is not None:
             ORACLES[name] = with_inputs(oracle, SHARED)
@@ -43,6 +46,21 @@ class Inputs:
         return inv.flag_pipeline_handling(inv.classify(rows, old=OLD, new=NEW))
 
 
+class StoredInputs(Inputs):
+    """Inputs that are written once and read from there, so that their derivation is not timed."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__(spark, sf_dir)
+        self._stored: dict[str, DataFrame] = {}
+
+    def __call__(self, name: str) -> DataFrame:
+        if name not in self._stored:
+            path = scratch_path(self.spark, f"input-{name}")
+            super().__call__(name).write.parquet(path)
+            self._stored[name] = self.spark.read.parquet(path)
+        return self._stored[name]
+
+
 # --- oracle building blocks, in DuckDB's SQL ---
 
 ABFSS_RE = r"^abfss://([^@]+)@([^.]+)\.dfs\.core\.windows\.net(/(.*))?$"

@@ -191,6 +191,41 @@ def _(inputs):
     return inputs.spark.read.parquet(path).select(*KEY, "metadata_location_ok", "volume_content_checksum_ok", "grants_ok", "overall_pass")
 
 
+# All columns of the stored results, with the flags of a live state in which some things differ.
+@query(
+    "validation_results_with_governance",
+    f"""SELECT {KEYS}, {', '.join(f'{_DIGIT(i)} = 1 AS {n}' for i, n in enumerate(verify.LAYERS))}, {_PASS} AS overall_pass,
+  k % 3 <> 0 AND k % 5 <> 0 AS grants_ok, k % 4 <> 0 AND k % 5 <> 0 AS owner_ok, k % 5 <> 0 AS tags_ok, k % 5 <> 0 AS row_filter_ok, k % 5 <> 0 AS column_mask_ok, k % 5 <> 0 AS comments_ok,
+  TIMESTAMP '2001-01-01' AS validated_at, CAST(length(name) AS BIGINT) > 0 AS has_evidence FROM {{objects}}""",
+)
+def _(inputs):
+    k = F.col("k")
+    diff = inputs("objects").filter(k % 5 != 0).select(*KEY, *[
+        (k % 3 != 0 if n == "grants_ok" else k % 4 != 0 if n == "owner_ok" else F.lit(True)).alias(n) for n in verify.GOVERNANCE_FLAGS
+    ])
+    path = scratch_path(inputs.spark, "results")
+    rows = verify.result_rows(verify.attach_governance(_flagged(inputs), diff), validated_at=AS_OF, nulls_as_false=True)
+    tables.write_validation_results(rows, path)
+    read = inputs.spark.read.parquet(path).withColumn("validated_at", F.col("validated_at").cast("timestamp_ntz"))
+    return read.withColumn("has_evidence", F.length("evidence_json") > 2).drop("evidence_json")
+
+
+_COPIES = ("orders", "lineitem", "customer", "part")
+
+
+@query(
+    "fingerprint_tables",
+    " UNION ALL ".join(f"SELECT '{t}' AS \"table\", (SELECT count(*) FROM {{{t}}}) AS n, TRUE AS copy_match, FALSE AS changed_match" for t in _COPIES),
+)
+def _(inputs):
+    frames = [(t, inputs(t)) for t in _COPIES]
+    changed = [(t, f.withColumn(f.columns[0], F.col(f.columns[0]) + 1)) for t, f in frames]
+    source = verify.fingerprint_tables(frames, batch=3)
+    match = lambda other: verify.compare_fingerprints(source, verify.fingerprint_tables(other, batch=3), by=["table"])
+    copy = match([(t, f.repartition(5)) for t, f in frames]).select("table", F.col("source_n").alias("n"), F.col("match").alias("copy_match"))
+    return copy.join(match(changed).select("table", F.col("match").alias("changed_match")), "table")
+
+
 @query("validation_failures", f"SELECT {KEYS}, CASE {_DIGIT(1)} WHEN 1 THEN TRUE WHEN 2 THEN FALSE END AS delta_log_at_new_ok FROM {{objects}} WHERE NOT ({_PASS})")
 def _(inputs):
     return verify.failures(_results(inputs)).select(*KEY, "delta_log_at_new_ok")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from estate.functions.urls import is_on_account, storage_account
 from estate.operators.files import hash_verdicts
 from estate.operators.state import current_log
+from estate.session import shared_folder
 from estate.settings import KEY
 
 LAYERS = [
@@ -67,6 +68,26 @@ def fingerprint(table: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
     return hashed.groupBy(*by).agg(*sums) if by else hashed.agg(*sums)
 
 
+def fingerprint_tables(tables: Sequence[tuple[str, DataFrame]], *, batch: int = 64) -> DataFrame:
+    """(table, n, xor64, sum64) of many tables, each hashed with its own schema.
+
+    The one-row plans are united in batches, so that no plan grows with the number of tables; each
+    batch is checkpointed to the shared folder and its tables are read side by side.
+    """
+    if not tables:
+        raise ValueError("no tables")
+    shared_folder(tables[0][1].sparkSession)
+    out = None
+    for start in range(0, len(tables), batch):
+        united = None
+        for name, table in tables[start : start + batch]:
+            row = fingerprint(table).select(F.lit(name).alias("table"), "n", "xor64", "sum64")
+            united = row if united is None else united.unionByName(row)
+        done = united.checkpoint()
+        out = done if out is None else out.unionByName(done)
+    return out
+
+
 def compare_fingerprints(source: DataFrame, target: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
     """``match`` per group (or in one row): all three values are equal.
 
@@ -192,6 +213,11 @@ def result_rows(results: DataFrame, *, validated_at, nulls_as_false: bool = Fals
     )
 
 
+def attach_governance(results: DataFrame, diff: DataFrame) -> DataFrame:
+    """The results with the governance flags of ``governance_diff``; objects without a snapshot keep null flags."""
+    return results.drop(*GOVERNANCE_FLAGS).join(diff.select(*KEY, *GOVERNANCE_FLAGS), KEY, "left")
+
+
 def failures(results: DataFrame) -> DataFrame:
     return results.filter(~F.col("overall_pass"))
 

@@ -161,16 +161,17 @@ def _send_signatures(scheme: Scheme, shingle: int, buckets: int):
                     },
                 )
                 n = packed.num_rows
+                limited = lambda x: np.clip(x, -1, 30_000).astype(np.int16)  # noqa: E731  a lower need lets more pairs on
                 tile = lambda x, kind: ragged(np.tile(x, n), np.full(n, len(x)), kind)
                 yield pa.RecordBatch.from_arrays(
-                    [*packed.columns, tile(sets.names[chosen].view(np.int64), pa.int64()), tile(each[0][2], pa.int32()), tile(each[1][2], pa.int32())],
+                    [*packed.columns, tile(sets.names[chosen].view(np.int64), pa.int64()), tile(limited(each[0][2]), pa.int16()), tile(limited(each[1][2]), pa.int16())],
                     names=[*packed.schema.names, "sets", "spare0", "spare1"],
                 )
 
     return run
 
 
-SENT = "bucket int, low array<int>, high array<tinyint>, entry array<smallint>, home array<int>, sign array<tinyint>, sets array<long>, spare0 array<int>, spare1 array<int>"
+SENT = "bucket int, low array<int>, high array<tinyint>, entry array<smallint>, home array<int>, sign array<tinyint>, sets array<long>, spare0 array<smallint>, spare1 array<smallint>"
 
 
 def _meet(table: pa.Table) -> pa.Table:
@@ -277,7 +278,7 @@ def _ordered(x, y) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def similar_sets(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 8 << 20) -> tuple[DataFrame, DataFrame]:
+def similar_sets(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 16 << 20) -> tuple[DataFrame, DataFrame]:
     """(members, components): every row's set (rid, doc_id, id, n), and the component of each set that has a link.
 
     rid is the row's number as `monotonically_increasing_id` gives it; `docs` has to be steady.

@@ -191,20 +191,54 @@ def compare_signatures(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
+def _layout(spark: SparkSession, table: str) -> tuple[str, list[str], dict[str, str]]:
+    """Format, partition columns and properties of a table."""
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if described.get("Comment"):
+        properties["comment"] = described["Comment"]
+    return described.get("Provider") or "parquet", partitions, properties
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def staged_rewrite(spark: SparkSession, table: str, *, shadow: str, staging: str, location: str | None = None) -> DataFrame:
     """Copy a table to staging, verify the copy, swap the names and keep the original as shadow.
 
-    Names are unquoted session-catalog names. The fingerprints are compared before any name
-    changes; a copy that differs is left in staging and the table stays as it is.
+    Names are unquoted session-catalog names. The copy has the format, partitioning, properties and
+    comments of the table. Row count, schema and fingerprint are compared before any name changes; a
+    copy that differs is left in staging and the table stays as it is. A staging or shadow that
+    exists already is never touched: that is an error. If the second renaming fails, the first is
+    taken back.
     """
+    for name in (staging, shadow):
+        if spark.catalog.tableExists(name):
+            raise ValueError(f"{name} exists already")
     source = spark.table(table)
-    writer = source.write.mode("overwrite").format("parquet")
+    kind, partitions, properties = _layout(spark, table)
+    writer = source.write.mode("errorifexists").format(kind)
+    if partitions:
+        writer = writer.partitionBy(*partitions)
     if location is not None:
         writer = writer.option("path", location)
     writer.saveAsTable(staging)
-    verdict = compare_fingerprints(fingerprint(spark.table(table)), fingerprint(spark.table(staging)))
-    result = verdict.first()
+    comment = properties.pop("comment", None)
+    if comment is not None:
+        spark.sql(f"COMMENT ON TABLE {staging} IS {_literal(comment)}")
+    if properties:
+        spark.sql(f"ALTER TABLE {staging} SET TBLPROPERTIES ({', '.join(f'{_literal(k)} = {_literal(v)}' for k, v in properties.items())})")
+    original, copy = spark.table(table), spark.table(staging)
+    signs = compare_signatures(original, copy).select("row_count_ok", "schema_ok").first()
+    verdict = compare_fingerprints(fingerprint(original), fingerprint(copy)).withColumns({k: F.lit(v) for k, v in signs.asDict().items()})
+    result = verdict.withColumn("match", F.col("match") & F.col("row_count_ok") & F.col("schema_ok")).first()
     if result["match"]:
         spark.sql(f"ALTER TABLE {table} RENAME TO {shadow}")
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+        try:
+            spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+        except Exception:
+            spark.sql(f"ALTER TABLE {shadow} RENAME TO {table}")
+            raise
     return spark.createDataFrame([result], verdict.schema)

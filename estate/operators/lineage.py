@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from estate.functions.text import dotted_name
 
 NAME = ["catalog", "schema", "name"]
+# The classes whose objects are looked at, and the audit actions that write.
 CONSUMER_SCOPE = ["drift_managed_on_old", "external_on_old"]
 WRITER_SCOPE = [*CONSUMER_SCOPE, "consistent_new"]
 WRITE_ACTIONS = ["updateTable", "createTable", "mergeTable", "writeTable"]

@@ -15,6 +15,7 @@ from estate.operators.state import current_log
 from estate.session import shared_folder
 from estate.settings import KEY
 
+# The columns of the stored results.
 LAYERS = [
     "metadata_location_ok",
     "delta_log_at_new_ok",

@@ -1,8 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
-
 from estate.operators import inventory as inv, report
 
 OBJECT = "catalog string, schema string, name string, object_type string, table_type string, data_source_format string, storage_path string, parent_managed_location string, owner string, created_at timestamp, size_bytes long"

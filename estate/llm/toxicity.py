@@ -44,7 +44,7 @@ def log_count_ratios(x: SparseRows, y: np.ndarray, smoothing: float = 1.0) -> np
 
 
 def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, rows: int = 8000, sizes: tuple[int, ...] = (3, 4, 5), bits: int = 18, penalty: float = 1e-2,
+    docs: DataFrame, labels: DataFrame, rows: int = 6000, sizes: tuple[int, ...] = (3, 4, 5), bits: int = 18, penalty: float = 1e-2,
     steps: int = 60, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
 ) -> ToxicityModel:
     """Fit on at most `rows` labelled rows that are not held out; the tasks extract the features.
@@ -58,6 +58,7 @@ def fit_toxicity(
         share = (y.sum() + 1) / (len(y) + 2)
         return ToxicityModel(np.zeros(1 << bits, np.float32), float(np.log(share / (1 - share))), sizes, bits)
     count, codes = list_column(data, "codes")
+    del data
     x = SparseRows(count, codes, None, 1 << bits)
     ratio = log_count_ratios(x, y)
     weigh = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))

@@ -37,6 +37,7 @@ SMALL = 8
 #: So many sets of one signature in a few megabytes of text make it a large one at once.
 SLICE_HOT = 64
 FILTER_BITS = 1 << 26
+FILTER_SHIFTS = (0, 19, 38)
 
 
 @dataclass(frozen=True)
@@ -229,25 +230,34 @@ def _meet(table: pa.Table) -> pa.Table:
 
 
 def _filter_of(names: DataFrame) -> np.ndarray:
-    """A Bloom filter of set names as 64-bit words: 8 MB at most, whatever the number of names."""
+    """A Bloom filter of set names as 64-bit words: 8 MB at most, whatever the number of names.
+
+    Names are well mixed hashes, so three ranges of their own bits are the places in the filter.
+    """
     n = names.count()
     bits = 1 << 12
     while bits < 16 * n and bits < FILTER_BITS:
         bits *= 2
-    spots = F.explode(F.array(*[F.pmod(F.xxhash64(F.lit(i), "id"), F.lit(bits)) for i in range(3)])).alias("spot")
+    spots = F.explode(F.array(*[F.shiftrightunsigned("id", s).bitwiseAND(F.lit(bits - 1)) for s in FILTER_SHIFTS])).alias("spot")
     words = names.select(spots).groupBy(F.shiftright("spot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(spot % 64 as int))")).alias("mask")).toArrow()
     out = np.zeros(bits // 64, np.uint64)
     out[np.asarray(words.column("word"))] = np.asarray(words.column("mask")).view(np.uint64)
     return out
 
 
-def _send_sets(shingle: int):
+def _send_sets(shingle: int, sieve):
+    """Every row with the name and size of its set; the set itself only if the filter has its name."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = ShingleSets(shingle)
+        sets, words = ShingleSets(shingle), sieve.value
+        top = np.uint64(len(words) * 64 - 1)
         for batch in text_slices(batches, "text"):
             sets.read(batch)
             size = np.zeros(batch.num_rows, np.int64)
             first = sets.first_of_each()
+            for shift in FILTER_SHIFTS:
+                spot = sets.names[first] >> np.uint64(shift) & top
+                first = first[(words[spot >> np.uint64(6)] >> (spot & np.uint64(63)) & np.uint64(1)).astype(bool)]
             size[first] = sets.sizes[first]
             keep = np.repeat(size > 0, sets.sizes)
             yield pa.RecordBatch.from_arrays(
@@ -302,28 +312,11 @@ def similar_sets(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: s
     pairs = stored(seen.select(*_ordered("a", "b")).unionByName(star).distinct(), "pairs")
     wanted = stored(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).unionByName(large.select("id")).distinct(), "wanted-sets")
     # Sets of the wanted names alone are kept: first by the filter, then by the names themselves.
-    kept = ["rid", "doc_id", "id", "n"]
     sieve = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted))
 
-    def sift(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = sieve.value
-        top = len(words) * 64 - 1
-        for batch in batches:
-            spots = [np.asarray(batch.column(f"s{i}")) & top for i in range(3)]
-            hit = np.ones(batch.num_rows, bool)
-            for s in spots:
-                hit &= (words[s >> 6] >> (s & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
-            hashes = batch.column("hashes")
-            sizes = np.diff(np.asarray(hashes.offsets))
-            keep = np.repeat(hit, sizes)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), ragged(np.asarray(hashes.flatten())[keep], np.where(hit, sizes, 0), pa.int64())], names=[*kept, "hashes"]
-            )
-
     schema = "rid long, doc_id long, id long, n long, hashes array<long>"
-    every = rows.mapInArrow(_send_sets(shingle), schema).withColumns({f"s{i}": F.xxhash64(F.lit(i), "id") for i in range(3)})
-    every = stored(every.mapInArrow(sift, schema), "rows-with-sets")
-    members = every.select(*kept)
+    every = stored(rows.mapInArrow(_send_sets(shingle, sieve), schema), "rows-with-sets")
+    members = every.select("rid", "doc_id", "id", "n")
     sets = every.where("size(hashes) > 0").join(wanted, "id", "left_semi").groupBy("id").agg(F.first("hashes").alias("hashes"), F.first("n").alias("n"))
     sets = stored(sets, "sets")
     links = _linked(pairs, sets, percent)

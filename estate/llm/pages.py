@@ -2,7 +2,7 @@
 
 The pages of a host are merged by presentation: a node of the tree is a chain of block elements with
 their classes, and holds, over all pages, how often each content occurs there. A node's content
-importance is the entropy of these contents, set against the largest entropy of a node of that host:
+importance is the entropy of these contents, set against what as many different pages could have:
 what a site repeats (menus, imprints, rotating notices) has little, articles have much. A node's
 presentation importance is none if its elements say that they are no article text. Branches without
 importance are removed from each page; what is left is the page's text.
@@ -104,19 +104,23 @@ def _number(text: str) -> int:
 
 
 def _contents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each page and style, the content that the page has there."""
+    """For each page and style, the content that the page has there, and a name of all that the page has."""
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
-            hosts, styles, contents = [], [], []
+            hosts, names, styles, contents = [], [], [], []
             for host, html in zip(batch.column("host")[at : at + 256].to_pylist(), batch.column("html")[at : at + 256], strict=True):
                 own: dict[str, list[str]] = {}
                 for style, text, _, _ in page_blocks(html.as_py()):
                     own.setdefault(style, []).append(text)
-                for style, texts in own.items():
-                    hosts.append(host)
-                    styles.append(_number(style))
-                    contents.append(_number("\n".join(texts)))
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(styles, pa.int64()), pa.array(contents, pa.int64())], names=["host", "style", "content"])
+                here = [(_number(style), _number("\n".join(texts))) for style, texts in own.items()]
+                hosts += [host] * len(here)
+                names += [_number(str(here))] * len(here)
+                styles += [style for style, _ in here]
+                contents += [content for _, content in here]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hosts, pa.string()), pa.array(names, pa.int64()), pa.array(styles, pa.int64()), pa.array(contents, pa.int64())],
+                names=["host", "page", "style", "content"],
+            )
 
 
 def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,17 +140,20 @@ def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def style_importance(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(host, style, pages, importance): the merged style tree's nodes with text.
 
-    Importance is the entropy of a node's contents over the pages that have it, divided by the host's
-    largest. Contents are counted in the tasks first, so a hot host is spread over all of them.
+    Copies of a page count once. Importance is the entropy of a node's contents over the pages that
+    have it, divided by the logarithm of their number, or by the host's largest entropy if that is
+    less; so a large host beside it makes no node less important. Rows are merged in the tasks first
+    and dealt by page and content, so a hot host is spread over all of them.
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
-    rows = pages.select(host.alias("host"), F.col(html_col).alias("html")).mapInArrow(_contents, "host string, style long, content long")
-    counts = rows.groupBy("host", "style", "content").agg(F.count("*").alias("n"))
+    rows = pages.select(host.alias("host"), F.col(html_col).alias("html")).mapInArrow(_contents, "host string, page long, style long, content long")
+    counts = rows.distinct().groupBy("host", "style", "content").agg(F.count("*").alias("n"))
     # -sum(n/m log(n/m)) = log(m) - sum(n log n) / m
     nodes = counts.groupBy("host", "style").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"))
     nodes = stored(nodes.select("host", "style", "pages", F.greatest(F.lit(0.0), F.log("pages") - F.col("s") / F.col("pages")).alias("entropy")), "style-nodes")
     most = nodes.groupBy("host").agg(F.max("entropy").alias("most"))
-    share = F.when(F.col("most") > 0, F.col("entropy") / F.col("most")).otherwise(F.lit(1.0))
+    possible = F.least(F.col("most"), F.log("pages"))
+    share = F.when(possible > 0, F.col("entropy") / possible).otherwise(F.lit(1.0))
     return nodes.join(most, "host").select("host", "style", "pages", share.alias("importance"))
 
 
@@ -155,9 +162,9 @@ def extract_text(pages: DataFrame, least_importance: float = 0.6, least_pages: i
 
     Blocks are joined by a line feed, white space in a block is one space, character references are
     decoded. Where a page has article text inside an article or main element, that is its text; else
-    all that is left. Nodes that less than `least_pages` pages of a host have are judged by their
+    all that is left. Nodes that less than `least_pages` different pages of a host have are judged by their
     presentation alone. A null or empty html gives an empty text, a null or odd url belongs to a host
-    of its own name; repeated rows count as pages. Columns of `pages` called text or n_chars are
+    of its own name; copies of a page count as one page. Columns of `pages` called text or n_chars are
     replaced.
     """
     pages = pages.drop("text", "n_chars")

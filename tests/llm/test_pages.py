@@ -43,3 +43,18 @@ def test_importance_is_the_entropy_of_contents(spark):
 def test_long_page(spark):
     long = "<article>" + "<p>word " * 50_000 + "</article>"
     assert run(spark, [(1, "http://a/", long)])[1].n_chars == 50_000 * 5 - 1
+
+
+def test_rare_templates_and_lists_of_a_large_host(spark):
+    """What few of a host's pages have is judged by those pages, and copies of a page count once."""
+    menu = '<div class="m1">Home News About</div>'
+    rows = [(i, "http://big/", f'{menu}<div class="x2"><p>Story {i}</p></div>') for i in range(4000)]
+    rows += [(4000 + i, "http://big/", f'{menu}<div class="y1"><h5>Head {i}</h5><dl><dd>Text {i}</dd></dl></div>') for i in range(40)]
+    rows += [(5000 + i, "http://big/", f'{menu}<div class="x2"><p>Listed {i}</p><ol class="z"><li>one {i}<li>two {i}</ol></div>') for i in range(40)]
+    # A template whose pages are mostly copies of one.
+    rows += [(6000 + i, "http://big/", f'{menu}<div class="w1"><h6>Notes {max(0, i - 170)}</h6></div>') for i in range(200)]
+    got = run(spark, rows)
+    assert all(got[i].text == f"Story {i}" for i in range(4000))
+    assert all(got[4000 + i].text == f"Head {i}\nText {i}" for i in range(40))
+    assert all(got[5000 + i].text == f"Listed {i}\none {i}\ntwo {i}" for i in range(40))
+    assert all(got[6000 + i].text == f"Notes {max(0, i - 170)}" for i in range(200))

@@ -5,7 +5,9 @@ their classes, and holds, over all pages, how often each content occurs there. A
 importance is the entropy of these contents, set against what as many different pages could have:
 what a site repeats (menus, imprints, rotating notices) has little, articles have much. A node's
 presentation importance is none if its elements say that they are no article text. Branches without
-importance are removed from each page; what is left is the page's text.
+importance are removed from each page; what is left is the page's text. What only class words speak
+against stays where an article or main element is in it, where its content entropy is high, and where
+a page would have no text without it.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ WORDS = set(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer form header login masthead menu modal nav navbar "
     "navigation newsletter notice notices popup promo promoted recommended related respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Class names of a layout or a state, such as has-sidebar and comments-open, do not name what an element is.
+LAYOUT = re.compile(r"(?:has|no|with|without|category|tag)[-_].*|.*[-_](?:page|open|closed|enabled|disabled)")
 ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 ARTICLE = {"article", "main"}
 #: A start tag ends these open elements, up to the nearest of the second group.
@@ -42,16 +46,20 @@ class PageBlocks(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, str, bool, bool]] = []  # element, style, no article text, inside an article
+        self.stack: list[tuple[str, str, bool, bool, tuple[int, ...]]] = []  # element, style, no article text, inside an article, marks
         self.pieces: list[str] = []
-        self.blocks: list[tuple[str, str, bool, bool]] = []  # style chain, text, no article text, inside an article
+        self.blocks: list[tuple[str, str, bool, bool, tuple[int, ...]]] = []  # style chain, text, no article text, inside an article, marks
+        # Elements marked by their class words, and those that are or hold a main or another article.
+        self.marked = 0
+        self.main = False
+        self.held: dict[bool, set[int]] = {True: set(), False: set()}  # by whether a main element is meant
 
     def _break(self) -> None:
         text = SPACE.sub(" ", "".join(self.pieces)).strip()
         self.pieces = []
         if text and not any(e[0] in UNSEEN for e in self.stack):
-            aside, article = (self.stack[-1][2], self.stack[-1][3]) if self.stack else (False, False)
-            self.blocks.append(("/".join(e[1] for e in self.stack), text, aside, article))
+            aside, article, marks = self.stack[-1][2:] if self.stack else (False, False, ())
+            self.blocks.append(("/".join(e[1] for e in self.stack), text, aside, article, marks))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "br":
@@ -71,11 +79,19 @@ class PageBlocks(HTMLParser):
         given = {k: v or "" for k, v in attrs}
         names = f"{given.get('class', '')} {given.get('id', '')}".lower()
         words = set(re.split(r"[^a-z]+", names))
-        outer = self.stack[-1] if self.stack else ("", "", False, False)
+        outer = self.stack[-1] if self.stack else ("", "", False, False, ())
         aside = outer[2] or tag in ASIDE or tag == "header" and not outer[3] or given.get("role", "").lower() in ROLES
-        aside = aside or tag not in ("html", "body") and bool(words & WORDS) or "hidden" in given or given.get("aria-hidden") == "true"
+        aside = aside or "hidden" in given or given.get("aria-hidden") == "true"
+        marks = outer[4]
+        if tag not in ("html", "body") and words & WORDS and any(not LAYOUT.fullmatch(n) and WORDS & set(re.split(r"[^a-z]+", n)) for n in names.split()):
+            self.marked += 1
+            marks = (*marks, self.marked)
+        # An article inside an article is a comment or the like.
+        if tag == "main" or tag == "article" and not any(e[0] == "article" for e in self.stack):
+            self.held[tag == "main" or any(e[0] == "main" for e in self.stack)].update(marks)
+            self.main = self.main or tag == "main"
         style = ".".join([tag, *sorted(words - {""})])
-        self.stack.append((tag, style, aside, outer[3] or tag in ARTICLE))
+        self.stack.append((tag, style, aside, outer[3] or tag in ARTICLE, marks))
 
     def handle_endtag(self, tag: str) -> None:
         if tag in INLINE or tag in VOID:
@@ -90,13 +106,14 @@ class PageBlocks(HTMLParser):
         self.pieces.append(data)
 
 
-def page_blocks(html: str | None) -> list[tuple[str, str, bool, bool]]:
-    """(style chain, text, no article text, inside an article) of every block with text."""
+def page_blocks(html: str | None) -> list[tuple[str, str, bool, bool, bool]]:
+    """(style chain, text, no article text, inside an article, class words against it) of every block with text."""
     parser = PageBlocks()
     parser.feed(html or "")
     parser.close()
     parser._break()
-    return parser.blocks
+    held = parser.held[True] if parser.main else parser.held[False]
+    return [(*block, not held.issuperset(marks)) for *block, marks in parser.blocks]
 
 
 def _number(text: str) -> int:
@@ -107,19 +124,23 @@ def _contents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each page and style, the content that the page has there, and a name of all that the page has."""
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
-            hosts, names, styles, contents = [], [], [], []
+            hosts, names, styles, contents, spoken = [], [], [], [], []
             for host, html in zip(batch.column("host")[at : at + 256].to_pylist(), batch.column("html")[at : at + 256], strict=True):
                 own: dict[str, list[str]] = {}
-                for style, text, _, _ in page_blocks(html.as_py()):
+                against = set()
+                for style, text, _, _, words in page_blocks(html.as_py()):
                     own.setdefault(style, []).append(text)
+                    if words:
+                        against.add(style)
                 here = [(_number(style), _number("\n".join(texts))) for style, texts in own.items()]
                 hosts += [host] * len(here)
                 names += [_number(str(here))] * len(here)
                 styles += [style for style, _ in here]
                 contents += [content for _, content in here]
+                spoken += [style in against for style in own]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(names, pa.int64()), pa.array(styles, pa.int64()), pa.array(contents, pa.int64())],
-                names=["host", "page", "style", "content"],
+                [pa.array(hosts, pa.string()), pa.array(names, pa.int64()), pa.array(styles, pa.int64()), pa.array(contents, pa.int64()), pa.array(spoken, pa.bool_())],
+                names=["host", "page", "style", "content", "words"],
             )
 
 
@@ -128,17 +149,19 @@ def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
             texts = []
-            for html, low in zip(part.column("html"), part.column("low"), strict=True):
-                unimportant = set(low.as_py() or ())
+            for html, low, high in zip(part.column("html"), part.column("low"), part.column("high"), strict=True):
+                unimportant, important = set(low.as_py() or ()), set(high.as_py() or ())
                 left = [b for b in page_blocks(html.as_py()) if not b[2] and (not unimportant or _number(b[0]) not in unimportant)]
+                # Without other text, class words do not decide.
+                left = [b for b in left if not b[4] or important and _number(b[0]) in important] or left
                 inside = [b for b in left if b[3]]
                 texts.append("\n".join(b[1] for b in inside or left))
-            names = [n for n in part.schema.names if n not in ("html", "low")]
+            names = [n for n in part.schema.names if n not in ("html", "low", "high")]
             yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(texts, pa.string())], names=[*names, "text"])
 
 
 def style_importance(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, style, pages, importance): the merged style tree's nodes with text.
+    """(host, style, pages, words, importance): the merged style tree's nodes with text; words if class words speak against one.
 
     Copies of a page count once. Importance is the entropy of a node's contents over the pages that
     have it, divided by the logarithm of their number, or by the host's largest entropy if that is
@@ -146,35 +169,39 @@ def style_importance(pages: DataFrame, url_col: str = "url", html_col: str = "ht
     and dealt by page and content, so a hot host is spread over all of them.
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
-    rows = pages.select(host.alias("host"), F.col(html_col).alias("html")).mapInArrow(_contents, "host string, page long, style long, content long")
-    counts = rows.distinct().groupBy("host", "style", "content").agg(F.count("*").alias("n"))
+    rows = pages.select(host.alias("host"), F.col(html_col).alias("html")).mapInArrow(_contents, "host string, page long, style long, content long, words boolean")
+    counts = rows.distinct().groupBy("host", "style", "content").agg(F.count("*").alias("n"), F.max("words").alias("words"))
     # -sum(n/m log(n/m)) = log(m) - sum(n log n) / m
-    nodes = counts.groupBy("host", "style").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"))
-    nodes = stored(nodes.select("host", "style", "pages", F.greatest(F.lit(0.0), F.log("pages") - F.col("s") / F.col("pages")).alias("entropy")), "style-nodes")
+    nodes = counts.groupBy("host", "style").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"), F.max("words").alias("words"))
+    nodes = stored(nodes.select("host", "style", "pages", "words", F.greatest(F.lit(0.0), F.log("pages") - F.col("s") / F.col("pages")).alias("entropy")), "style-nodes")
     most = nodes.groupBy("host").agg(F.max("entropy").alias("most"))
     possible = F.least(F.col("most"), F.log("pages"))
     share = F.when(possible > 0, F.col("entropy") / possible).otherwise(F.lit(1.0))
-    return nodes.join(most, "host").select("host", "style", "pages", share.alias("importance"))
+    return nodes.join(most, "host").select("host", "style", "pages", "words", share.alias("importance"))
 
 
-def extract_text(pages: DataFrame, least_importance: float = 0.6, least_pages: int = 20, url_col: str = "url", html_col: str = "html") -> DataFrame:
+def extract_text(
+    pages: DataFrame, least_importance: float = 0.6, least_pages: int = 20, url_col: str = "url", html_col: str = "html", high_importance: float = 0.9,
+) -> DataFrame:
     """The rows of `pages` without their html, with `text` and `n_chars`.
 
     Blocks are joined by a line feed, white space in a block is one space, character references are
     decoded. Where a page has article text inside an article or main element, that is its text; else
     all that is left. Nodes that less than `least_pages` different pages of a host have are judged by their
     presentation alone. A null or empty html gives an empty text, a null or odd url belongs to a host
-    of its own name; copies of a page count as one page. Columns of `pages` called text or n_chars are
+    of its own name; copies of a page count as one page. Nodes of at least `high_importance` stay
+    whatever their class words are. Columns of `pages` called text or n_chars are
     replaced.
     """
     pages = pages.drop("text", "n_chars")
     others = [c for c in pages.columns if c != html_col]
-    low = style_importance(pages, url_col, html_col).where((F.col("importance") < least_importance) & (F.col("pages") >= least_pages))
-    # One row per host: the styles of its templates.
-    low = low.groupBy(F.col("host").alias("low_host")).agg(F.collect_set("style").alias("low"))
+    low, high = F.col("importance") < least_importance, F.col("words") & (F.col("importance") >= high_importance)
+    known = style_importance(pages, url_col, html_col).where((low | high) & (F.col("pages") >= least_pages))
+    # One row per host: the styles of its templates, and of its texts with class words.
+    known = known.groupBy(F.col("host").alias("known_host")).agg(F.collect_set(F.when(low, F.col("style"))).alias("low"), F.collect_set(F.when(high & ~low, F.col("style"))).alias("high"))
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     plain = pages.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others)], F.col(html_col).alias("html"), host.alias("own_host"))
-    joined = plain.join(low, plain.own_host == low.low_host, "left").select(*[f"c{i}" for i in range(len(others))], "html", "low")
-    schema = joined.drop("html", "low").withColumn("text", F.lit("")).schema
+    joined = plain.join(known, plain.own_host == known.known_host, "left").select(*[f"c{i}" for i in range(len(others))], "html", "low", "high")
+    schema = joined.drop("html", "low", "high").withColumn("text", F.lit("")).schema
     out = joined.mapInArrow(_texts, schema)
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(others)], "text", F.char_length("text").cast("long").alias("n_chars"))

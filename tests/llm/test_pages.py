@@ -58,3 +58,22 @@ def test_rare_templates_and_lists_of_a_large_host(spark):
     assert all(got[4000 + i].text == f"Head {i}\nText {i}" for i in range(40))
     assert all(got[5000 + i].text == f"Listed {i}\none {i}\ntwo {i}" for i in range(40))
     assert all(got[6000 + i].text == f"Notes {max(0, i - 170)}" for i in range(200))
+
+
+def test_class_words_do_not_decide_alone(spark):
+    side = '<div class="sidebar"><p>Other news</p></div>'
+    bodies = [
+        f'<div class="content has-sidebar"><p>Text</p>{side}</div>',
+        f'<main class="no-sidebar sidebar"><p>Text</p>{side}</main>',
+        f'<article class="post category-advertising comments-open widget"><p>Text</p></article>{side}',
+        f'<div id="search-result-page"><p>Text</p></div>{side}',
+        f'<div class="search"><div class="menu-right menu"><article><p>Text</p></article></div></div>{side}',
+        f'<main><article><p>Text</p><div id="comments"><article><p>first!</p></article></div></article></main>{side}',
+        '<div class="widget"><p>Text</p></div>',
+    ]
+    rows = [(i, f"http://small{i}/", body) for i, body in enumerate(bodies)]
+    # Class words against what differs on every page, and against what does not.
+    rows += [(100 + i, "http://big/", f'<p>Intro {i}</p><div class="widget"><p>Body {i}</p></div><div class="promo"><b>Buy {i % 20}</b></div>') for i in range(60)]
+    got = run(spark, rows)
+    assert [got[i].text for i in range(len(bodies))] == ["Text"] * len(bodies)
+    assert all(got[100 + i].text == f"Intro {i}\nBody {i}" for i in range(60))

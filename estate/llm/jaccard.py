@@ -197,8 +197,8 @@ def _meet(table: pa.Table) -> pa.Table:
     same = name[rows][1:] == name[rows][:-1]
     head = np.flatnonzero(np.append(True, ~same)) if len(rows) else np.zeros(0, np.int64)
     size = np.diff(np.append(head, len(rows)))
-    large = np.maximum.reduceat(sign[rows], head) == 2 if len(rows) else np.zeros(0, bool)
-    large |= size > SMALL
+    # A row that says so may be gone by now, as its set has been told here by another slice.
+    large = np.isin(name[rows[head]], name[sign == 2]) | (size > SMALL)
     per_row = np.repeat(large, size)
     many = np.concatenate([np.flatnonzero(told), rows[per_row]])
     few = rows[~per_row]

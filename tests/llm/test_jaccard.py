@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from estate.llm import jaccard
@@ -66,6 +67,47 @@ def test_against_all_pairs(spark, seed):
     assert run(spark, rows) == brute(rows)
 
 
+def test_large_signatures_whose_first_sets_have_copies_elsewhere(monkeypatch):
+    """Slices with families that drift, and slices with copies of their first members: similar sets meet,
+    and where a slice says that a signature is large, all sets that have it are told."""
+    monkeypatch.setattr(jaccard, "SLICE_HOT", 4)
+    monkeypatch.setattr(jaccard, "SMALL", 3)
+    rng = random.Random(6)
+    slices = [[], [], [], []]
+    for k in range(24):
+        now = ["u%d" % rng.randrange(1 << 40) for _ in range(60)]
+        drift = [now := changed(rng, now, 1) for _ in range(14)]
+        at = [slices[(k + j) % 4] for j in range(3)]
+        at[0] += [" ".join(w) for w in drift[:10]]
+        at[1] += [" ".join(drift[0]), " ".join(drift[10])]
+        at[2] += [" ".join(drift[0]), " ".join(drift[12]), " ".join(drift[13])]
+    send = jaccard._send_signatures(jaccard.Scheme.of(80), 5, 2)
+    table = pa.Table.from_batches([b for texts in slices for b in send(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])]))])
+    bucket = np.asarray(table.column("bucket"))
+    pairs, many, told, have = set(), {}, set(), {}
+    for b in np.unique(bucket):
+        part = table.filter(pa.array(bucket == b))
+        for r in part.to_pylist():
+            for low, high, entry, home, sign in zip(r["low"], r["high"], r["entry"], r["home"], r["sign"]):
+                name = (low & 0xFFFFFFFF) | (high & 0xFF) << 32 | home << 40
+                have.setdefault(name, set()).add(r["sets"][entry // 2])
+                if sign == 2:
+                    told.add(name)
+        for r in jaccard._meet(part).to_pylist():
+            if r["pair"]:
+                pairs.add(frozenset((r["a"], r["b"])))
+            else:
+                many.setdefault(r["a"], set()).add(r["b"])
+    assert len(told) > 100
+    assert [n for n in told if many.get(n) != have[n]] == []
+    sets = jaccard.ShingleSets(5)
+    sets.read(pa.RecordBatch.from_arrays([pa.array(sum(slices, []))], names=["text"]))
+    each = {int(n): set(sets.hashes[a:b].tolist()) for n, a, b in zip(sets.names.view(np.int64), sets.ends[:-1], sets.ends[1:])}
+    met = pairs | {frozenset((a, b)) for group in many.values() for a in group for b in group if a < b}
+    near = {frozenset((a, b)) for a in each for b in each if a < b and 100 * len(each[a] & each[b]) >= 80 * len(each[a] | each[b])}
+    assert len(near) > 200 and near <= met
+
+
 def test_many_small_families_at_another_threshold(spark):
     rng = random.Random(8)
     rows = []

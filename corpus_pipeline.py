@@ -49,7 +49,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", pack),
 ]
 
-#: The classifier and the tokenizer have no SQL form; the stages are tested against brute force.
+#: The classifier and the tokenizer have no SQL form; exact and near dedup are tested against plain Python on the smallest tables.
 ORACLE_SQL = None
 
 

@@ -2,6 +2,7 @@ import os
 
 import corpus_pipeline
 from estate.llm import decontaminate, exact, jaccard, queries
+from test_jaccard import brute
 
 SF = "/root/testdata/sf0.001"
 
@@ -47,3 +48,18 @@ def test_oracles_match(spark):
         assert sorted(want.columns) == columns
         rows = lambda items: sorted(map(str, items))
         assert rows(tuple(r[c] for c in columns) for r in got.collect()) == rows(con.sql(f"SELECT {', '.join(columns)} FROM ({text})").fetchall())
+
+
+def test_exact_and_near_stages_by_plain_python(spark):
+    """The ids that stay, from equal texts and from the shingle sets of all pairs."""
+    docs = queries.table(spark, SF, "documents")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    last = {}
+    for doc, text in rows:
+        key = (text or "").encode().lower()
+        last[key] = max(doc, last.get(key, doc))
+    kept = corpus_pipeline.stored(corpus_pipeline.drop_exact(spark, docs, SF), "exact")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(last.values())
+    left = [(doc, text) for doc, text in rows if doc in set(last.values())]
+    want = sorted(int(doc) for doc, size, least in brute(left) if not size or doc == least)
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near(spark, kept, SF).collect()) == want

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estate.llm import decontaminate, exact, jaccard, linededup, packing, pages, quality, sharding, substrings, toxicity
+from estate.llm import decontaminate, exact, jaccard, linededup, negatives, packing, pages, quality, sharding, substrings, toxicity
 from estate.llm.ngrams import held_out
 
 
@@ -93,7 +93,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int"), "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_packing, op4_line_dedup, op5_html_extraction, op6_substring_dedup, op7_decontamination, op8_jaccard_join, op9_exact_dedup, op10_sharding)}
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_packing, op4_line_dedup, op5_html_extraction, op6_substring_dedup, op7_decontamination, op8_jaccard_join, op9_exact_dedup, op10_sharding, op13_hard_negatives)}
 ORACLES = {
     "op4_line_dedup": """
 WITH l AS (SELECT doc_id, rowid AS r, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -107,4 +112,14 @@ FROM k LEFT JOIN f USING (key) GROUP BY r, doc_id""",
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
   doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d""",
+    "op13_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+  s AS (SELECT a.vec_id AS anchor_id, b.vec_id, b.label = a.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+    FROM v a, v b WHERE a.vec_id % 100 = 0),
+  p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same AND vec_id <> anchor_id
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, s.vec_id) QUALIFY row_number() OVER w <= 5""",
 }

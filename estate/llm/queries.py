@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estate.llm import decontaminate, exact, jaccard, linededup, negatives, packing, pages, quality, sharding, substrings, toxicity
+from estate.llm import decontaminate, exact, jaccard, linededup, negatives, packing, pages, phrases, quality, sharding, substrings, toxicity
 from estate.llm.ngrams import held_out
 
 
@@ -93,12 +93,16 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int"), "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), support=100, first=2000)
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_packing, op4_line_dedup, op5_html_extraction, op6_substring_dedup, op7_decontamination, op8_jaccard_join, op9_exact_dedup, op10_sharding, op13_hard_negatives)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_packing, op4_line_dedup, op5_html_extraction, op6_substring_dedup, op7_decontamination, op8_jaccard_join, op9_exact_dedup, op10_sharding, op11_phrases, op13_hard_negatives)}
 ORACLES = {
     "op4_line_dedup": """
 WITH l AS (SELECT doc_id, rowid AS r, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -112,6 +116,19 @@ FROM k LEFT JOIN f USING (key) GROUP BY r, doc_id""",
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
   doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d""",
+    "op11_phrases": r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+  p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+  w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+  g AS (SELECT lang, k, unnest([array_to_string(ws[i:i + k - 1], ' ') FOR i IN range(1, len(ws) - k + 2)]) AS phrase FROM w, range(1, 6) t(k)),
+  f AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+  n AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+  c AS (SELECT lang, phrase, f AS a, ws, unnest(range(1, k)) AS cut FROM f WHERE k > 1),
+  s AS (SELECT c.lang, c.phrase, a, cut, h.f AS l, t.f AS r, n, CAST(CAST(1000 AS HUGEINT) * a * n // (CAST(h.f AS HUGEINT) * t.f) AS BIGINT) AS score
+    FROM c JOIN n USING (lang) JOIN f h ON h.lang = c.lang AND h.phrase = array_to_string(c.ws[1:cut], ' ') JOIN f t ON t.lang = c.lang AND t.phrase = array_to_string(c.ws[cut + 1:], ' ')),
+  b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+  o AS (SELECT b.* FROM b WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.lang = b.lang AND f.f = b.a AND f.phrase <> b.phrase AND contains(' ' || f.phrase || ' ', ' ' || b.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM o QUALIFY rank <= 2000""",
     "op13_hard_negatives": """
 WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q FROM embeddings
     WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),

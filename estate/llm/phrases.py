@@ -1,17 +1,19 @@
 """Phrase collocations by SON partitioning: local mining at lowered support, then exact counts of what is left.
 
-A shard is some megabytes of texts in one task, with a share b of all bytes. A phrase found `support` times
-in all is found at least t = ceil(support * b) times in some shard, as the shares sum to one. Each shard is
-mined completely at its t, level by level: a phrase of k words is looked at only where both of its parts of
-k - 1 words are locally frequent. Shards report names (64-bit hashes) only.
-
-The union of these is cut by what the reports leave possible: a shard that does not report a phrase has it
-t - 1 times at most. With shards so small that t is 1, nothing is hidden and this bound is the exact count. The
-survivors form a filter of bounded size, with which a second pass counts in all shards; whatever passes
-the filter is counted with its text, exactly, and judged by that count.
-
-Counts are sums of counts of shards, so a frequent phrase or a language with most rows is one row of each
-shard. Memory is bounded by the shard's size; texts longer than it are cut where pieces end.
+The shards are a fixed number of groups of files, each with a share b of all bytes. A phrase found
+`support` times in all is found at least t = ceil(support * b) times in some shard, as the shares sum to
+one. As the number of shards does not grow with the table, t stays well above 1 at every size; instead a
+shard is mined by many tasks. Mining goes level by level: a phrase of k words is looked at only where its
+parts of fewer words are still possible. Tasks report names (64-bit hashes) and counts of a few megabytes
+of text; Spark adds them up by shard.
+
+The union of the locally frequent phrases is cut by what the reports leave possible: a shard that does
+not report a phrase has it t - 1 times at most. The possible ones form a filter of bounded size, with
+which a last pass counts in all shards; whatever passes the filter is counted with its text, exactly, and
+judged by that count.
+
+Counts are sums of counts of slices, so a frequent phrase or a language with most rows is one row of each
+slice. Texts longer than a slice are cut where pieces end.
 """
 
 from __future__ import annotations
@@ -29,7 +31,9 @@ from estate.llm.arrays import LOWER, WordHash, find_words, mix, text_bytes, text
 from estate.llm.sieve import passes, sieve_of
 from estate.llm.storage import stored
 
-SHARD_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
+#: Levels that are mined in one pass over the texts.
+PASSES = ((1, 2), (3,), (4, 5))
 LONGEST = 5
 #: Bytes that end a piece: [.,;:!?\x0A-\x0D]; words of a piece lie between spaces and tabs.
 ENDS_PIECE = np.zeros(256, bool)
@@ -38,10 +42,13 @@ IN_WORD = ~ENDS_PIECE
 IN_WORD[[9, 32]] = False
 
 
-def shards(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[tuple[int, list[tuple[str, np.ndarray, np.ndarray]]]]:
-    """Per shard its bytes and, by language, the lower-cased bytes of its texts and where each text starts.
+Texts = tuple[int, str, np.ndarray, np.ndarray]
 
-    A text beyond the size of a shard is cut behind the last end of a piece; without any it stays whole.
+
+def slices(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[Texts]:
+    """By shard and language, lower-cased bytes of texts, some megabytes at once, and where each text starts.
+
+    A text beyond that size is cut behind the last end of a piece; without any it stays whole.
     """
     held, size = [], 0
     for part in text_slices(batches, "text", most=min(most, 2 << 20)):
@@ -50,37 +57,36 @@ def shards(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[tuple[int,
             yield from _cut(part, most)
             continue
         if held and size + own > most:
-            yield size, _by_language(held)
+            yield from _by_language(held)
             held, size = [], 0
         held.append(part)
         size += own
     if held:
-        yield size, _by_language(held)
+        yield from _by_language(held)
 
 
-def _by_language(parts: list[pa.RecordBatch]) -> list[tuple[str, np.ndarray, np.ndarray]]:
+def _by_language(parts: list[pa.RecordBatch]) -> Iterator[Texts]:
     table = pa.Table.from_batches(parts)
-    out = []
-    for lang in pc.unique(table.column("lang")).to_pylist():
-        data, offsets = text_bytes(table.filter(pc.equal(table.column("lang"), lang)).column("text").combine_chunks())
-        out.append((lang, LOWER[data], offsets))
-    return out
+    for group in table.group_by(["shard", "lang"]).aggregate([]).to_pylist():
+        own = pc.and_(pc.equal(table.column("shard"), group["shard"]), pc.equal(table.column("lang"), group["lang"]))
+        data, offsets = text_bytes(table.filter(own).column("text").combine_chunks())
+        yield group["shard"], group["lang"], LOWER[data], offsets
 
 
-def _cut(part: pa.RecordBatch, most: int) -> Iterator[tuple[int, list[tuple[str, np.ndarray, np.ndarray]]]]:
-    for lang, data, offsets in _by_language([part]):
+def _cut(part: pa.RecordBatch, most: int) -> Iterator[Texts]:
+    for shard, lang, data, offsets in _by_language([part]):
         ends = np.union1d(np.flatnonzero(ENDS_PIECE[data]) + 1, offsets[1:])
         at = 0
         while at < len(data):
             k = np.searchsorted(ends, at + most, "right") - 1
             to = int(ends[k]) if k >= 0 and ends[k] > at else int(ends[np.searchsorted(ends, at, "right")])
             inner = offsets[(offsets > at) & (offsets < to)]
-            yield to - at, [(lang, data[at:to], np.concatenate([[at], inner, [to]]) - at)]
+            yield shard, lang, data[at:to], np.concatenate([[at], inner, [to]]) - at
             at = to
 
 
 class Runs:
-    """The words of one language in a shard, and its phrases level by level."""
+    """The words of texts of one language, and their phrases level by level."""
 
     def __init__(self, lang: str, data: np.ndarray, offsets: np.ndarray, hashes: WordHash):
         self.data = data
@@ -93,7 +99,7 @@ class Runs:
         self.seed = np.uint64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
 
     def levels(self, kept) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """(k, names, counts, a place of each) of the phrases of k words that `kept(names, counts)` lets through.
+        """(k, names, counts, a place of each) of the phrases of k words that `kept(k, names)` lets through.
 
         Phrases of k words are formed from places where both parts of k - 1 words were let through.
         """
@@ -102,7 +108,7 @@ class Runs:
             if not len(at):
                 return
             names, first, which, counts = np.unique(mix(value ^ mix(self.seed + np.full(1, k, np.uint64))), return_index=True, return_inverse=True, return_counts=True)
-            good = kept(names, counts)
+            good = kept(k, names)
             yield k, names[good], counts[good], at[first[good]]
             through = good[which]
             at, value = at[through], value[through]
@@ -124,60 +130,68 @@ class Runs:
         return pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(out)).cast(pa.string())
 
 
-def _mine(support: int, total: int, most: int):
-    """(name, slack): of each locally frequent phrase the count beyond t - 1; for the shard itself t - 1, without a name."""
+def _mine(levels: tuple[int, ...], sent, most: int):
+    """(shard, k, name, n): the phrases of these levels in a slice, where the filter lets their shorter parts through."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHash(41)
-        for size, languages in shards(batches, most):
-            least = max(1, -(-support * size // max(1, total)))
-            names, slack = [], [np.array([least - 1])]
-            for lang, data, offsets in languages:
-                for _, name, count, _ in Runs(lang, data, offsets, hashes).levels(lambda _, counts: counts >= least):
-                    names.append(name.view(np.int64))
-                    slack.append(count - (least - 1))
-            column = pa.concat_arrays([pa.nulls(1, pa.int64()), *map(pa.array, names)])
-            yield pa.RecordBatch.from_arrays([column, pa.array(np.concatenate(slack), pa.int64())], names=["name", "slack"])
+        kept = lambda k, names: np.ones(len(names), bool) if k >= levels[0] else passes(sent.value, names)
+        for shard, lang, data, offsets in slices(batches, most):
+            for k, names, counts, _ in Runs(lang, data, offsets, hashes).levels(kept):
+                if k > levels[-1]:
+                    break
+                if k >= levels[0]:
+                    whole = lambda x, n=len(names): pa.array(np.full(n, x), pa.int32())
+                    yield pa.RecordBatch.from_arrays([whole(shard), whole(k), pa.array(names.view(np.int64)), pa.array(counts, pa.int64())], names=["shard", "k", "name", "n"])
 
     return run
 
 
-COUNTED = "lang string, k int, phrase string, n long"
-
-
 def _count(sent, most: int):
     """Counts of the phrases that the filter lets through, and of all words of each language (k = 0)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, words = WordHash(41), sent.value
-        for _, languages in shards(batches, most):
-            for lang, data, offsets in languages:
-                runs = Runs(lang, data, offsets, hashes)
-                found = [(0, pa.array([""]), np.array([len(runs.words)]))]
-                found += [(k, runs.texts(k, at), count) for k, _, count, at in runs.levels(lambda names, _: passes(words, names))]
-                for k, phrase, count in found:
-                    n = len(phrase)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array(np.full(n, k), pa.int32()), phrase, pa.array(count, pa.int64())], names=["lang", "k", "phrase", "n"])
+        hashes = WordHash(41)
+        for _, lang, data, offsets in slices(batches, most):
+            runs = Runs(lang, data, offsets, hashes)
+            found = [(0, pa.array([""]), np.array([len(runs.words)]))]
+            found += [(k, runs.texts(k, at), counts) for k, _, counts, at in runs.levels(lambda _, names: passes(sent.value, names))]
+            for k, phrase, counts in found:
+                n = len(phrase)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array(np.full(n, k), pa.int32()), phrase, pa.array(counts, pa.int64())], names=["lang", "k", "phrase", "n"])
 
     return run
 
 
-def phrase_counts(docs: DataFrame, support: int = 100, *, lang_col: str = "lang", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(lang, k, phrase, n): all phrases of 1 to 5 words found `support` times in a language; with k = 0, the number of its words."""
-    texts = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    total = texts.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
-    mined = texts.mapInArrow(_mine(support, total, shard_bytes), "name long, slack long")
-    mined = stored(mined.groupBy("name").agg(F.sum("slack").alias("slack")), "mined-phrases")
-    hidden = mined.where("name IS NULL").agg(F.sum("slack").alias("n")).first().n or 0
-    # Hidden counts are below t in each silent shard; a reporting shard's slack leaves its own t - 1 out.
-    possible = mined.where(F.col("name").isNotNull() & (F.col("slack") >= support - hidden))
-    sent = docs.sparkSession.sparkContext.broadcast(sieve_of(possible, F.col("name")))
-    counts = texts.mapInArrow(_count(sent, shard_bytes), COUNTED).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+def phrase_counts(
+    docs: DataFrame, support: int = 100, *, lang_col: str = "lang", text_col: str = "text", shard: Column | None = None, shards: int = 8, slice_bytes: int = SLICE_BYTES
+) -> DataFrame:
+    """(lang, k, phrase, n): all phrases of 1 to 5 words found `support` times in a language; with k = 0, the number of its words.
+
+    A row's shard is that of its file, or `shard` (a whole number from 0); rows that come from no file are one shard.
+    """
+    shard = F.pmod(F.xxhash64(F.input_file_name()), F.lit(shards)) if shard is None else shard
+    texts = docs.select(shard.cast("int").alias("shard"), F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    sizes = {r.shard: r.n for r in texts.groupBy("shard").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
+    total = sum(sizes.values())
+    local = {i: max(1, -(-support * n // max(1, total))) for i, n in sizes.items()}
+    hidden = sum(local.values()) - len(local)
+    least = F.coalesce(*[F.when(F.col("shard") == i, t) for i, t in local.items()], F.lit(1))
+    spark, possible, sent = docs.sparkSession, None, None
+    for levels in PASSES:
+        mined = texts.mapInArrow(_mine(levels, sent, slice_bytes), "shard int, k int, name long, n long")
+        mined = mined.groupBy("name", "shard").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        # Silent shards hide t - 1 each at most; what a reporting shard has beyond its own t - 1 comes on top.
+        bound = mined.groupBy("name").agg(F.sum(F.col("n") - least + 1).alias("slack")).where(F.col("slack") >= support - hidden)
+        found = stored(bound.select("name"), "possible-phrases")
+        possible = found if possible is None else possible.unionByName(found)
+        sent = spark.sparkContext.broadcast(sieve_of(possible, F.col("name")))
+    counts = texts.mapInArrow(_count(sent, slice_bytes), "lang string, k int, phrase string, n long").groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
     return stored(counts.where((F.col("k") == 0) | (F.col("n") >= support)), "phrase-counts")
 
 
 def collocations(
-    docs: DataFrame, support: int = 100, first: int = 2000, *, cover: int = 100, lang_col: str = "lang", text_col: str = "text", shard_bytes: int = SHARD_BYTES
+    docs: DataFrame, support: int = 100, first: int = 2000, *, cover: int = 100, lang_col: str = "lang", text_col: str = "text", **mining
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first phrases of 2 to 5 words by score.
 
@@ -189,10 +203,10 @@ def collocations(
     the order of UTF-8 bytes. All arithmetic is exact (decimals of 38 digits).
 
     A null language is `und`, a null or empty text has no words; repeated rows count each on their own; an
-    empty table gives no rows; other columns are ignored. Phrases within a shard are told apart by 64-bit
-    hashes, across shards by their text.
+    empty table gives no rows; other columns are ignored. `mining` are further options of `phrase_counts`.
+    Phrases within a slice are told apart by 64-bit hashes, then by their text.
     """
-    found = phrase_counts(docs, support, lang_col=lang_col, text_col=text_col, shard_bytes=shard_bytes)
+    found = phrase_counts(docs, support, lang_col=lang_col, text_col=text_col, **mining)
     known = found.where("k > 0").select("lang", "phrase", "n")
     words = F.split("phrase", " ")
     candidates = found.where("k > 1").select("lang", "k", "phrase", F.col("n").alias("a"), words.alias("words"))

@@ -7,10 +7,10 @@ shard is mined by many tasks. Mining goes level by level: a phrase of k words is
 parts of fewer words are still possible. Tasks report names (64-bit hashes) and counts of a few megabytes
 of text; Spark adds them up by shard.
 
-The union of the locally frequent phrases is cut by what the reports leave possible: a shard that does
-not report a phrase has it t - 1 times at most. The possible ones form a filter of bounded size, with
-which a last pass counts in all shards; whatever passes the filter is counted with its text, exactly, and
-judged by that count.
+The union of the locally frequent phrases is counted over all shards by the same aggregation, which keeps
+a sum for each shard; those below `support` in all can go at once, so the next level has few parts to look
+at. The others' names form a filter of bounded size. With it a last pass counts in all shards: whatever
+passes the filter is counted with its text, exactly, and judged by that count.
 
 Counts are sums of counts of slices, so a frequent phrase or a language with most rows is one row of each
 slice. Texts longer than a slice are cut where pieces end.
@@ -164,7 +164,7 @@ def _count(sent, most: int):
 
 
 def phrase_counts(
-    docs: DataFrame, support: int = 100, *, lang_col: str = "lang", text_col: str = "text", shard: Column | None = None, shards: int = 8, slice_bytes: int = SLICE_BYTES
+    docs: DataFrame, support: int = 100, *, lang_col: str = "lang", text_col: str = "text", shard: Column | None = None, shards: int = 4, slice_bytes: int = SLICE_BYTES
 ) -> DataFrame:
     """(lang, k, phrase, n): all phrases of 1 to 5 words found `support` times in a language; with k = 0, the number of its words.
 
@@ -175,17 +175,15 @@ def phrase_counts(
     sizes = {r.shard: r.n for r in texts.groupBy("shard").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
     total = sum(sizes.values())
     local = {i: max(1, -(-support * n // max(1, total))) for i, n in sizes.items()}
-    hidden = sum(local.values()) - len(local)
-    least = F.coalesce(*[F.when(F.col("shard") == i, t) for i, t in local.items()], F.lit(1))
-    spark, possible, sent = docs.sparkSession, None, None
+    spark, frequent, sent = docs.sparkSession, None, None
     for levels in PASSES:
         mined = texts.mapInArrow(_mine(levels, sent, slice_bytes), "shard int, k int, name long, n long")
-        mined = mined.groupBy("name", "shard").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        # Silent shards hide t - 1 each at most; what a reporting shard has beyond its own t - 1 comes on top.
-        bound = mined.groupBy("name").agg(F.sum(F.col("n") - least + 1).alias("slack")).where(F.col("slack") >= support - hidden)
-        found = stored(bound.select("name"), "possible-phrases")
-        possible = found if possible is None else possible.unionByName(found)
-        sent = spark.sparkContext.broadcast(sieve_of(possible, F.col("name")))
+        own = {i: F.coalesce(F.sum(F.when(F.col("shard") == i, F.col("n"))), F.lit(0)) for i in local}
+        mined = mined.groupBy("name").agg(F.sum("n").alias("n"), F.array(*[own[i] >= t for i, t in local.items()]).alias("mined"))
+        candidates = mined.where(F.exists("mined", lambda x: x) & (F.col("n") >= support))
+        found = stored(candidates.select("name"), "frequent-phrases")
+        frequent = found if frequent is None else frequent.unionByName(found)
+        sent = spark.sparkContext.broadcast(sieve_of(frequent, F.col("name")))
     counts = texts.mapInArrow(_count(sent, slice_bytes), "lang string, k int, phrase string, n long").groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
     return stored(counts.where((F.col("k") == 0) | (F.col("n") >= support)), "phrase-counts")
 

@@ -51,7 +51,7 @@ def made(rng, n, longest=60):
 def test_against_plain_counts(spark, seed, size):
     rows = made(random.Random(seed), 250) + [(900, None, "en"), (901, "", "de"), (902, None, None), (None, "new york city hall", "en")]
     rows += rows[:40]  # repeated rows
-    for shards in (1, 5):
+    for shards in (1, 4):
         assert run(spark, rows, support=9, slice_bytes=size, shard=F.pmod(F.hash("text"), F.lit(shards))) == brute(rows, 9)
 
 

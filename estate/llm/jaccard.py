@@ -12,9 +12,9 @@ sets share, such as the parts that a common passage fills, are used only by sets
 be all that is left of an agreement (n - k parts or more). Empty parts are treated alike.
 
 Signatures only propose pairs: those that share as many of them as they must go on, and links are
-decided on whole sets. In signatures with many sets not all
-pairs are tried at once: first each set against one of them, then, wherever sets of one signature are
-not yet in one component, against their neighbours, and at last all pairs between components.
+decided on whole sets. In signatures with many sets no
+pairs are listed: each set is tried against one of them, and where sets of one signature are not yet in
+one component, blocks of bounded size meet (see `closing`).
 """
 
 from __future__ import annotations
@@ -24,11 +24,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estate.llm.arrays import LOWER, SPACED, WindowHash, WordHash, find_words, mix, ragged, text_bytes, text_slices, window_starts
-from estate.llm.components import components
+from estate.llm.closing import close_groups, hubs
 from estate.llm.packed import flat, groups_of, pack, text_buckets
 from estate.llm.storage import fresh_name, steady, stored
 
@@ -302,9 +302,8 @@ def similar_sets(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: s
     # A set stays in large signatures only if they could be all that it agrees on with another.
     held = stored(many.groupBy("id", "beside").agg(F.count("*").alias("have"), F.max("spare").alias("spare")), "held-signatures")
     needs = held.where("have >= spare").select("id", "beside")
-    large = stored(many.join(needs, ["id", "beside"], "left_semi").select("signature", "id"), "large-signatures")
-    hub = large.groupBy("signature").agg(F.min("id").alias("hub"))
-    star = large.join(hub, "signature").where("id <> hub").select(*_ordered("id", "hub"))
+    large = stored(many.join(needs, ["id", "beside"], "left_semi").select("signature", "id").distinct(), "large-signatures")
+    star = large.join(hubs(large.withColumnRenamed("signature", "grp")), F.col("signature") == F.col("grp")).where("id <> hub").select(*_ordered("id", "hub"))
     # A pair has to agree on as many parts as its sets can spare; parts in large signatures may all agree.
     seen = met.where("pair").groupBy("a", "b", "beside").agg(F.sum("shared").alias("shared"), F.max("spare").alias("spare"))
     most = F.col("shared") + F.coalesce("have", F.lit(0))
@@ -320,23 +319,7 @@ def similar_sets(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: s
     sets = every.where("size(hashes) > 0").join(wanted, "id", "left_semi").groupBy("id").agg(F.first("hashes").alias("hashes"), F.first("n").alias("n"))
     sets = stored(sets, "sets")
     links = _linked(pairs, sets, percent)
-    tried = pairs
-    for last in (False, True):
-        found = components(links)
-        labelled = large.join(found, "id", "left").select("signature", "id", F.coalesce("component", "id").alias("component"))
-        split = labelled.groupBy("signature").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("signature")
-        open_rows = stored(labelled.join(split, "signature", "left_semi"), "open-signatures")
-        if last:
-            other = open_rows.select("signature", F.col("id").alias("other"), F.col("component").alias("beyond"))
-            more = open_rows.join(other, "signature").where("id < other AND component <> beyond").select(F.col("id").alias("a"), F.col("other").alias("b"))
-        else:
-            order = Window.partitionBy("signature").orderBy(F.xxhash64("id", "signature"), "id")
-            after = open_rows.select("id", F.lead("id").over(order).alias("next"), "component", F.lead("component").over(order).alias("beyond"))
-            more = after.where("component <> beyond").select(*_ordered("id", "next"))
-        more = stored(more.distinct().join(tried, ["a", "b"], "left_anti"), "more-pairs")
-        links = stored(links.unionByName(_linked(more, sets, percent)), "all-links")
-        tried = tried.unionByName(more)
-    return members, components(links)
+    return members, close_groups(large.withColumnRenamed("signature", "grp"), sets, links, percent)
 
 
 def similarity_components(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

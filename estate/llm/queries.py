@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estate.llm import decontaminate, exact, jaccard, linededup, negatives, packing, pages, phrases, quality, sharding, substrings, toxicity
+from estate.llm import decontaminate, exact, jaccard, linededup, negatives, packing, pages, phrases, quality, sharding, substrings, superminhash, toxicity
 from estate.llm.ngrams import held_out
 
 
@@ -97,12 +97,16 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"), support=100, first=2000)
 
 
+def op12_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85, shingle=5)
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_packing, op4_line_dedup, op5_html_extraction, op6_substring_dedup, op7_decontamination, op8_jaccard_join, op9_exact_dedup, op10_sharding, op11_phrases, op13_hard_negatives)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_packing, op4_line_dedup, op5_html_extraction, op6_substring_dedup, op7_decontamination, op8_jaccard_join, op9_exact_dedup, op10_sharding, op11_phrases, op12_near_dedup, op13_hard_negatives)}
 ORACLES = {
     "op4_line_dedup": """
 WITH l AS (SELECT doc_id, rowid AS r, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

@@ -3,6 +3,8 @@
 A group is first tried as a star around its most central set. Where its sets are then still in several
 components, the group is cut into blocks of bounded size and each two blocks meet in one task, which
 counts all common elements at once and gives back only what joins components: at most one pair a set.
+As many groups of one family of texts have nearly the same sets, groups that hang together are taken as
+one wherever fewer elements are sent that way.
 """
 
 from __future__ import annotations
@@ -92,11 +94,22 @@ def close_groups(groups: DataFrame, sets: DataFrame, links: DataFrame, percent:
     labelled = groups.join(found, "id", "left").select("grp", "id", F.coalesce("component", "id").alias("component"))
     several = labelled.groupBy("grp").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("grp")
     open_rows = stored(labelled.join(several, "grp", "left_semi").join(sets.select("id", "n"), "id"), "open-groups")
-    blocks = open_rows.groupBy("grp").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks"))
+    first = open_rows.groupBy("grp").agg(F.min("id").alias("first"))
+    together = open_rows.join(first, "grp").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    hanging = open_rows.join(components(together).withColumnRenamed("component", "cluster"), "id")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks")
+    whole = hanging.select("cluster", "id", "component", "n").distinct()
+    by_group = hanging.groupBy("cluster", "grp").agg(blocks, F.sum("n").alias("n"))
+    by_cluster = whole.groupBy("cluster").agg(blocks, F.sum("n").alias("n"))
+    cost = by_group.groupBy("cluster").agg(F.sum(F.col("n") * F.col("blocks")).alias("apart"))
+    cost = stored(by_cluster.join(cost, "cluster").withColumn("as_one", F.col("n") * F.col("blocks") <= F.col("apart")), "clusters")
+    one = whole.join(cost.where("as_one").select("cluster", "blocks"), "cluster").select(F.lit(True).alias("as_one"), F.col("cluster").alias("grp"), "id", "component", "blocks")
+    apart = hanging.join(cost.where("NOT as_one").select("cluster"), "cluster", "left_semi").join(by_group.select("cluster", "grp", "blocks"), ["cluster", "grp"])
+    dealt = one.unionByName(apart.select(F.lit(False).alias("as_one"), "grp", "id", "component", "blocks"))
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = open_rows.join(blocks, "grp").withColumn("block", block).withColumn("beside", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("grp", "id", "component", "block", F.least("block", "beside").alias("lo"), F.greatest("block", "beside").alias("hi"))
+    dealt = dealt.withColumn("block", block).withColumn("beside", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("as_one", "grp", "id", "component", "block", F.least("block", "beside").alias("lo"), F.greatest("block", "beside").alias("hi"))
     dealt = dealt.join(sets.select("id", "hashes"), "id")
-    joined = dealt.groupBy("grp", "lo", "hi").applyInArrow(_join_blocks(percent), "a long, b long")
+    joined = dealt.groupBy("as_one", "grp", "lo", "hi").applyInArrow(_join_blocks(percent), "a long, b long")
     # What blocks join are components; the old links are still needed to reach their other sets.
     return components(stored(links.unionByName(joined.distinct()), "all-links"))

@@ -111,3 +111,35 @@ def _(inputs):
 @query("managed_volumes_in_scope", "SELECT count(*) > 0 AS managed_volumes FROM {inv} WHERE object_type = 'VOLUME' AND table_type = 'MANAGED'")
 def _(inputs):
     return access.managed_volumes_in_scope(inputs.inventory())
+
+
+# Everything user1 is in, through groups of groups.
+_PRINCIPALS = """SELECT DISTINCT principal FROM (WITH RECURSIVE r AS (SELECT 'user1' AS principal UNION SELECT parent FROM r JOIN {memberships} m ON m.member = r.principal) SELECT * FROM r) p"""
+
+
+def _principals(inputs):
+    me = inputs("region").limit(1).select(F.lit("user1").alias("principal"))
+    return access.principals_of(me, inputs("memberships").withColumnRenamed("parent", "group"))
+
+
+@query("principals_of", _PRINCIPALS)
+def _(inputs):
+    return _principals(inputs)
+
+
+_SECURED = """SELECT 'CATALOG' AS kind, catalog AS securable, catalog AS above FROM {wide_catalogs}
+UNION ALL SELECT DISTINCT 'SCHEMA', concat(catalog, '.', schema), catalog FROM {wide_schemas}"""
+
+
+@query(
+    "effective_privileges",
+    f"""SELECT s.kind, s.securable, CASE WHEN EXISTS (SELECT 1 FROM {{unreadable_securables}} u WHERE (u.kind = s.kind AND u.securable = s.securable) OR (u.kind = 'CATALOG' AND u.securable = s.above)) THEN NULL
+  ELSE coalesce((SELECT array_to_string(list_sort(list(DISTINCT g.privilege)), ',') FROM {{securable_grants}} g
+    WHERE g.privilege <> '' AND g.principal IN ({_PRINCIPALS}) AND ((g.kind = s.kind AND g.securable = s.securable) OR (g.kind = 'CATALOG' AND g.securable = s.above))), '') END AS privileges
+FROM ({_SECURED}) s""",
+)
+def _(inputs):
+    catalogs = inputs("wide_catalogs").select(F.lit("CATALOG").alias("kind"), F.col("catalog").alias("securable"), F.array("catalog").alias("parts"))
+    schemas = inputs("wide_schemas").select(F.lit("SCHEMA").alias("kind"), F.concat_ws(".", "catalog", "schema").alias("securable"), F.array("catalog", "schema").alias("parts")).distinct()
+    rows = access.effective_privileges(catalogs.unionByName(schemas), inputs("securable_grants"), _principals(inputs), unreadable=inputs("unreadable_securables"))
+    return rows.select("kind", "securable", F.array_join("privileges", ",").alias("privileges"))

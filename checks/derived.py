@@ -158,6 +158,13 @@ SELECT 'SCHEMA' AS kind, concat(catalog, '.', schema) AS securable FROM {wide_sc
 UNION ALL
 SELECT 'CATALOG' AS kind, catalog AS securable FROM {wide_catalogs} WHERE length(catalog) % 6 = 0 AND owner = 'owner2'"""
 
+# Groups in groups: g<n> is in g<n / 2>, some are in a principal, and there are cycles.
+TEXTS["memberships"] = """
+SELECT concat('g', s_suppkey) AS member, concat('g', CAST(floor(s_suppkey / 2) AS BIGINT)) AS parent FROM {supplier}
+UNION ALL SELECT concat('user', s_suppkey % 3) AS member, concat('g', s_suppkey) AS parent FROM {supplier} WHERE s_suppkey % 7 = 1
+UNION ALL SELECT concat('g', s_suppkey) AS member, concat('p', s_suppkey) AS parent FROM {supplier} WHERE s_suppkey IN (1, 2)
+UNION ALL SELECT 'g1' AS member, concat('g', s_suppkey) AS parent FROM {supplier} WHERE s_suppkey = 5"""
+
 TEXTS["tags"] = """
 SELECT o.catalog, o.schema, o.name, o.object_type, concat('tag', p_size % 7) AS tag_name, concat('it''s ', p_size) AS tag_value
 FROM (SELECT *, p_partkey % (SELECT count(*) FROM {orders}) AS object_no FROM {part}) p
@@ -230,6 +237,13 @@ SELECT catalog, schema, name, CASE WHEN k % 9 = 5 AND k % 7 = 0 THEN 'FUNCTION'
        WHEN k % 13 = 6 THEN concat(catalog, '.', schema, '.__pre_migration') ELSE pre_migration_fqn END AS pre_migration_fqn
 FROM {log}"""
 
+# What views read: chains of views on views down to a table, and a pair that read each other.
+TEXTS["dependencies"] = """
+SELECT o.catalog || '.' || o.schema || '.' || o.name AS full_name, d.catalog || '.' || d.schema || '.' || d.name AS depends_on
+FROM {objects} o JOIN {objects} d ON d.k = CASE WHEN o.k % 70 = 5 THEN o.k - 4 ELSE o.k - 10 END WHERE o.k % 10 = 5 AND o.k % 490 > 10
+UNION ALL SELECT o.catalog || '.' || o.schema || '.' || o.name AS full_name, d.catalog || '.' || d.schema || '.' || d.name AS depends_on
+FROM {objects} o JOIN {objects} d ON d.k = o.k + CASE WHEN o.k % 490 = 7 THEN 1 ELSE -1 END WHERE o.k % 490 IN (7, 8)"""
+
 TEXTS["files"] = """
 SELECT source AS volume, concat(lang, '/', doc_id, '.txt') AS relpath, n_chars AS size, md5(text) AS content_hash, doc_id FROM {documents}"""
 

@@ -188,3 +188,49 @@ def _(inputs):
     )
     read = listings.files_read(stored).select(F.regexp_extract("path", "folder=([^/]+)/", 1).alias("folder")).distinct()
     return names.join(read, "folder", "left_semi").select("priority")
+
+
+# A tree three levels deep: documents by language and number, with one folder gone and one that is new.
+_DEEP = "SELECT source AS volume, concat(lang, '/', doc_id % 7, '/', doc_id % 3, '/', doc_id, '.txt') AS relpath, n_chars AS size, md5(text) AS content_hash, doc_id FROM {documents}"
+_DEEP_COPY = """SELECT source AS volume, concat(lang, '/', CASE WHEN doc_id % 7 = 5 AND doc_id % 3 = 1 THEN 'new/a' ELSE concat(doc_id % 7, '/', doc_id % 3) END, '/', doc_id, '.txt') AS relpath,
+  CASE WHEN doc_id % 21 = 2 AND doc_id % 5 = 0 THEN n_chars + 1 ELSE n_chars END AS size, md5(text) AS content_hash, doc_id FROM {documents} WHERE doc_id % 7 <> 3 OR doc_id % 3 <> 0"""
+_ABOVE = """SELECT volume, relpath, size, unnest(range(0, len(string_split(relpath, '/')))) AS depth FROM ({tree}) t"""
+_DIRS = """SELECT volume, array_to_string(string_split(relpath, '/')[1:depth], '/') AS directory, depth, count(*) AS files, list_sort(list(relpath || ':' || size)) AS content FROM ({above}) x GROUP BY ALL"""
+_OF = lambda tree: _DIRS.replace("{above}", _ABOVE.replace("{tree}", tree))
+
+
+@query(
+    "directory_differences",
+    f"""SELECT volume, directory, CASE WHEN t_files IS NULL THEN 'missing' WHEN s_files IS NULL THEN 'extra' ELSE 'mismatch' END AS difference, coalesce(s_files, 0) AS source_files, coalesce(t_files, 0) AS target_files
+FROM (SELECT coalesce(s.volume, t.volume) AS volume, coalesce(s.directory, t.directory) AS directory, coalesce(s.depth, t.depth) AS depth, s.files AS s_files, t.files AS t_files,
+    s.content IS NOT DISTINCT FROM t.content AS same FROM ({_OF(_DEEP)}) s FULL OUTER JOIN ({_OF(_DEEP_COPY)}) t ON s.volume = t.volume AND s.directory = t.directory) d
+WHERE NOT same AND (s_files IS NOT NULL AND t_files IS NOT NULL OR depth = 0
+  OR (s_files IS NULL AND (volume, regexp_replace(directory, '/?[^/]*$', '')) IN (SELECT (volume, directory) FROM ({_OF(_DEEP)}) p))
+  OR (t_files IS NULL AND (volume, regexp_replace(directory, '/?[^/]*$', '')) IN (SELECT (volume, directory) FROM ({_OF(_DEEP_COPY)}) p)))""",
+)
+def _(inputs):
+    made = lambda text: inputs.spark.sql(text, documents=inputs("documents"))
+    digests = [files.directory_digests(made(t), keys=["volume"]) for t in (_DEEP, _DEEP_COPY)]
+    return files.directory_differences(*digests, keys=["volume"])
+
+
+# Files of a few contents each, so that a content is missing and extra several times.
+_MOVED_FROM = "SELECT source AS volume, concat(lang, '/', doc_id, '.txt') AS relpath, md5(concat(doc_id % 40)) AS content_hash, doc_id FROM {documents}"
+_MOVED_TO = """SELECT source AS volume, CASE WHEN doc_id % 6 = 1 THEN concat('moved/', doc_id, '.txt') WHEN doc_id % 6 = 2 THEN concat(lang, '/x', doc_id) ELSE concat(lang, '/', doc_id, '.txt') END AS relpath,
+  md5(concat(CASE WHEN doc_id % 6 = 2 THEN doc_id % 60 WHEN doc_id % 11 = 5 THEN -1 ELSE doc_id % 40 END)) AS content_hash, doc_id FROM {documents} WHERE doc_id % 13 <> 4"""
+_BETWEEN = f"""SELECT coalesce(s.volume, t.volume) AS volume, coalesce(s.relpath, t.relpath) AS relpath, coalesce(s.content_hash, t.content_hash) AS content,
+  CASE WHEN t.relpath IS NULL THEN 'missing' WHEN s.relpath IS NULL THEN 'extra' ELSE 'mismatch' END AS difference
+FROM ({_MOVED_FROM}) s FULL OUTER JOIN ({_MOVED_TO}) t ON s.volume = t.volume AND s.relpath = t.relpath WHERE s.content_hash IS DISTINCT FROM t.content_hash"""
+_NUMBERED = f"SELECT *, row_number() OVER (PARTITION BY volume, content, difference ORDER BY md5(relpath), relpath) AS i FROM ({_BETWEEN}) WHERE difference <> 'mismatch'"
+
+
+@query(
+    "differences_with_moves",
+    f"""SELECT coalesce(m.volume, e.volume) AS volume, coalesce(m.relpath, e.relpath) AS relpath, CASE WHEN e.relpath IS NULL THEN 'missing' WHEN m.relpath IS NULL THEN 'extra' ELSE 'moved' END AS difference,
+  CASE WHEN m.relpath IS NOT NULL THEN e.relpath END AS moved_to
+FROM (SELECT * FROM ({_NUMBERED}) WHERE difference = 'missing') m FULL OUTER JOIN (SELECT * FROM ({_NUMBERED}) WHERE difference = 'extra') e USING (volume, content, i)
+UNION ALL SELECT volume, relpath, difference, NULL FROM ({_BETWEEN}) WHERE difference = 'mismatch'""",
+)
+def _(inputs):
+    made = lambda text: inputs.spark.sql(text, documents=inputs("documents"))
+    return files.differences_with_moves(made(_MOVED_FROM), made(_MOVED_TO), keys=["volume"])

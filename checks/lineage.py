@@ -58,3 +58,20 @@ def _(inputs):
     path = scratch_path(inputs.spark, "lineage")
     tables.write_lineage(_consumers(inputs), path)
     return inputs.spark.read.parquet(path)
+
+
+# Consumers of consumers; the depth is bounded here only because the recursive text would walk cycles for ever.
+_EDGE = """SELECT DISTINCT l.source_table_catalog || '.' || l.source_table_schema || '.' || l.source_table_name AS src, l.target_table_catalog || '.' || l.target_table_schema || '.' || l.target_table_name AS dst
+FROM {lineage} l WHERE l.event_time > TIMESTAMP '2000-12-02'"""
+
+
+@query(
+    "downstream_consumers",
+    f"""SELECT full_name, CAST(min(depth) AS INTEGER) AS depth FROM (
+  WITH RECURSIVE edge AS MATERIALIZED ({_EDGE}), walk AS (
+    SELECT concat_ws('.', catalog, schema, name) AS full_name, 0 AS depth FROM {{inv}} WHERE {_IN_SCOPE}
+    UNION SELECT dst, depth + 1 FROM walk JOIN edge ON full_name = src WHERE depth < 5 AND dst IS NOT NULL)
+  SELECT * FROM walk) w GROUP BY full_name HAVING min(depth) > 0""",
+)
+def _(inputs):
+    return lineage.downstream_consumers(inputs.inventory(), inputs("lineage"), days=30, as_of=AS_OF, max_depth=5)

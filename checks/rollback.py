@@ -96,13 +96,13 @@ def _(inputs):
 @query(
     "rollback_check",
     """SELECT count(*) FILTER (WHERE classification = 'consistent_new') AS consistent_new, count(*) FILTER (WHERE classification = 'drift_managed_on_old') AS drift,
-  count(*) FILTER (WHERE classification <> 'consistent_old') AS offenders, count(*) FILTER (WHERE classification <> 'consistent_old') = 0 AS success FROM {inv}""",
+  count(*) FILTER (WHERE classification NOT IN ('consistent_old', 'path_missing', 'requires_external_handling')) AS offenders, count(*) FILTER (WHERE classification NOT IN ('consistent_old', 'path_missing', 'requires_external_handling')) = 0 AS success FROM {inv}""",
 )
 def _(inputs):
     return rollback.rollback_check(inputs.inventory())
 
 
-@query("rollback_offenders", "SELECT k, classification FROM {inv} WHERE classification <> 'consistent_old'")
+@query("rollback_offenders", "SELECT k, classification FROM {inv} WHERE classification NOT IN ('consistent_old', 'path_missing', 'requires_external_handling')")
 def _(inputs):
     return rollback.rollback_offenders(inputs.inventory()).select("k", "classification")
 
@@ -214,3 +214,16 @@ def _(inputs):
 )
 def _(inputs):
     return cleanup.undrop_statements(cleanup.cleanup_log_rows(_outcomes(inputs), logged_at=AS_OF))
+
+
+@query(
+    "dependency_order",
+    """SELECT o.full_name, CAST(w.level AS INTEGER) AS drop_level FROM (SELECT catalog || '.' || schema || '.' || name AS full_name FROM {objects}) o LEFT JOIN (
+  WITH RECURSIVE edge AS MATERIALIZED (SELECT * FROM {dependencies}), walk AS (
+    SELECT catalog || '.' || schema || '.' || name AS full_name, 0 AS level FROM {objects} WHERE catalog || '.' || schema || '.' || name NOT IN (SELECT depends_on FROM edge)
+    UNION ALL SELECT depends_on, level + 1 FROM walk JOIN edge USING (full_name))
+  SELECT full_name, max(level) AS level FROM walk GROUP BY full_name) w USING (full_name)""",
+)
+def _(inputs):
+    names = inputs("objects").select(F.concat_ws(".", "catalog", "schema", "name").alias("full_name"))
+    return rollback.dependency_order(names, inputs("dependencies"))

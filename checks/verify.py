@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.derived import NEW
 from checks.registry import AS_OF, KEYS, SAME, account, query
-from estate.operators import verify
+from estate.operators import differences, verify
 from estate.session import scratch_path
 from estate.settings import KEY
 from estate.sources import tables
@@ -67,6 +67,62 @@ def _(inputs):
     return verify.compare_fingerprints(verify.fingerprint(left), verify.fingerprint(moved)).select("match")
 
 
+# Every copy's differing rows, with how often each side has them.
+def _counted_differences(name: str, text: str) -> str:
+    only = lambda a, b: f"SELECT * FROM (({a}) EXCEPT ALL ({b}))"
+    columns = "l_orderkey, l_linenumber, l_partkey, l_quantity"
+    sides = f"SELECT *, 1 AS s, 0 AS t FROM ({only(_LINES, text)}) UNION ALL SELECT *, 0 AS s, 1 AS t FROM ({only(text, _LINES)})"
+    return f"SELECT '{name}' AS copy, {columns}, CAST(sum(s - t) AS BIGINT) AS surplus FROM ({sides}) GROUP BY ALL"
+
+
+@query("checksum_differences", " UNION ALL ".join(_counted_differences(n, t) for n, t in _COPIES.items()))
+def _(inputs):
+    lines = inputs("lineitem")
+    rows = None
+    for name, copy in _copies(lines).items():
+        found = differences.checksum_differences(lines, copy)
+        found = found.groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").agg(F.sum(F.col("source_rows") - F.col("target_rows")).alias("surplus"))
+        found = found.select(F.lit(name).alias("copy"), "*")
+        rows = found if rows is None else rows.unionByName(found)
+    return rows
+
+
+# Nested values that differ only in where a null or an empty list stands; each changed copy has to be seen.
+_NESTED = {
+    "array": ("[k, NULL]", "[NULL, k]"), "shorter": ("[k, NULL]", "[k]"), "struct": ("{'a': NULL, 'b': k}", "{'a': k, 'b': NULL}"),
+    "lists": ("[[], [k]]", "[[k], []]"), "list of struct": ("[{'a': k, 'b': NULL}]", "[{'a': NULL, 'b': k}]"), "no list": ("[[k], NULL]", "[[k], []]"),
+}
+
+
+def _nested(k, nothing):
+    pair = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+    none = F.array().cast("array<bigint>")
+    return {
+        "array": (F.array(k, nothing), F.array(nothing, k)), "shorter": (F.array(k, nothing), F.array(k)), "struct": (pair(nothing, k), pair(k, nothing)),
+        "lists": (F.array(none, F.array(k)), F.array(F.array(k), none)), "list of struct": (F.array(pair(k, nothing)), F.array(pair(nothing, k))),
+        "no list": (F.array(F.array(k), F.lit(None).cast("array<bigint>")), F.array(F.array(k), none)),
+    }
+
+
+def _nested_oracle(name: str, first: str, changed: str) -> str:
+    side = lambda value: f"SELECT o_orderkey, {value} AS v FROM (SELECT o_orderkey, o_orderkey AS k FROM {{orders}})"
+    return f"SELECT '{name}' AS value, {_SAME_ROWS(side(first), side(first))} AS kept_match, {_SAME_ROWS(side(first), side(changed))} AS moved_match"
+
+
+@query("checksum_sees_nested_null", " UNION ALL ".join(_nested_oracle(n, *v) for n, v in _NESTED.items()))
+def _(inputs):
+    k = F.col("o_orderkey")
+    rows = None
+    for name, values in _nested(k, F.lit(None).cast("bigint")).items():
+        orders = inputs("orders")
+        first, changed = (verify.fingerprint(orders.select(k, v.alias("v"))) for v in values)
+        again = verify.fingerprint(orders.repartition(3).select(k, values[0].alias("v")))
+        kept = verify.compare_fingerprints(first, again).select(F.lit(name).alias("value"), F.col("match").alias("kept_match"))
+        found = kept.crossJoin(verify.compare_fingerprints(first, changed).select(F.col("match").alias("moved_match")))
+        rows = found if rows is None else rows.unionByName(found)
+    return rows
+
+
 _CANDIDATES = f"""SELECT l.catalog, l.schema, l.name, l.object_type, l.k, i.data_source_format, i.parent_managed_location, i.table_type
 FROM {{log}} l JOIN {{inv}} i ON {SAME('l', 'i')} WHERE l.status = 'validated'"""
 

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from estate.functions.text import quote_ident
+from estate.operators.closure import reachable
 from estate.operators.inventory import user_schemas
 from estate.settings import UNLISTED_CATALOG_KINDS
 
@@ -50,6 +51,41 @@ def held_privileges(securables: DataFrame, grants: DataFrame, *, me: str, groups
     )
 
 
+def principals_of(seeds: DataFrame, memberships: DataFrame) -> DataFrame:
+    """(principal): the seeds' principals and every group they are in, through groups of groups; cycles may occur.
+
+    ``memberships`` has ``member`` (a person or a group) and ``group``.
+    """
+    edges = memberships.select(F.col("member").alias("src"), F.col("group").alias("dst"))
+    return reachable(seeds.select(F.col("principal").alias("node")), edges).select(F.col("node").alias("principal"))
+
+
+def effective_privileges(securables: DataFrame, grants: DataFrame, principals: DataFrame, *, unreadable: DataFrame | None = None) -> DataFrame:
+    """``privileges`` that any of the principals has on each securable itself or on the catalog or schema above it.
+
+    Null where the grants of the securable, or of one above it, could not be read. Each securable meets
+    its own ancestors by equality; grants are reduced to distinct privileges per securable first.
+    """
+    held = grants.filter(F.col("privilege") != "").join(principals.distinct(), "principal", "left_semi")
+    held = held.groupBy("kind", "securable").agg(F.collect_set("privilege").alias("own"))
+    itself = F.struct("kind", "securable")
+    above = [
+        F.when(F.size("parts") > n, F.struct(F.lit(kind).alias("kind"), F.array_join(F.slice("parts", 1, n), ".").alias("securable")))
+        for n, kind in ((1, "CATALOG"), (2, "SCHEMA"))
+    ]
+    key = ["kind", "securable"]
+    at = securables.select(*[F.col(k).alias(f"of_{k}") for k in key], F.explode(F.array_compact(F.array(itself, *above))).alias("at")).select("of_kind", "of_securable", "at.*").distinct()
+    at = at.join(held, key, "left")
+    if unreadable is not None:
+        at = at.join(unreadable.select(*key).distinct().withColumn("failed", F.lit(True)), key, "left")
+    else:
+        at = at.withColumn("failed", F.lit(None).cast("boolean"))
+    found = at.groupBy(*[F.col(f"of_{k}").alias(k) for k in key]).agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("own")))).alias("privileges"), F.max("failed").alias("failed")
+    )
+    return securables.join(found, key).withColumn("privileges", F.when(F.col("failed").isNull(), F.col("privileges"))).drop("failed")
+
+
 def missing_privileges(rows: DataFrame, *, me: str) -> DataFrame:
     """``status`` (owner, ok, missing, cannot_verify) and the sorted ``missing`` privileges."""
     lacking = F.array_sort(F.array_except("required", "privileges"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from estate.operators.ranking import top_rows_per_group
 from estate.session import shared_folder
@@ -119,6 +119,91 @@ def hash_verdicts(source: DataFrame, target: DataFrame, *, keys: Sequence[str])
     return _summary(_verdicts(pair_listings(source, target, keys=keys, value="content_hash")), keys, totals=False)
 
 
+def directory_digests(listing: DataFrame, *, keys: Sequence[str], value: str = "size") -> DataFrame:
+    """(keys, directory, depth, files, xor64, sum64): of every directory a digest of all files below it.
+
+    Files are first merged by their own directory; the directories' digests are then added to all directories
+    above, so rows grow with directories times their depth, not with files. The root is ''.
+    """
+    own = F.regexp_replace("relpath", "/?[^/]*$", "")
+    seen = F.xxhash64("relpath", value, F.col(value).isNull())
+    flat = listing.select(*keys, own.alias("own"), seen.alias("h")).groupBy(*keys, "own").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor("h").alias("x"), F.sum(F.col("h").cast("decimal(38,0)")).alias("s")
+    )
+    parts = F.when(F.col("own") == "", F.array().cast("array<string>")).otherwise(F.split("own", "/"))
+    depths = F.sequence(F.lit(0), F.size("parts"))
+    up = flat.withColumn("parts", parts).withColumn("depth", F.explode(depths))
+    up = up.withColumn("directory", F.when(F.col("depth") == 0, "").otherwise(F.array_join(F.slice("parts", 1, F.col("depth")), "/")))
+    return up.groupBy(*keys, "directory", "depth").agg(F.sum("n").alias("files"), F.bit_xor("x").alias("xor64"), F.sum("s").alias("sum64"))
+
+
+def directory_differences(source: DataFrame, target: DataFrame, *, keys: Sequence[str]) -> DataFrame:
+    """(keys, directory, difference, source_files, target_files): the directories whose digests are not equal.
+
+    Both sides are ``directory_digests``. A directory that one side lacks is ``missing`` or ``extra`` and
+    reported at the highest place only, other unequal ones are ``mismatch``; equal subtrees do not appear. Only
+    the unequal directories' own files have to be compared then (``files_below``).
+    """
+    both = source.withColumn("side", F.lit("source")).unionByName(target.withColumn("side", F.lit("target")))
+    pick = lambda side, column: F.max(F.when(F.col("side") == side, F.col(column))).alias(f"{side}_{column}")
+    paired = both.groupBy(*keys, "directory", "depth").agg(*[pick(s, c) for s in ("source", "target") for c in ("files", "xor64", "sum64")])
+    same = F.lit(True)
+    for column in ("files", "xor64", "sum64"):
+        same = same & F.col(f"source_{column}").eqNullSafe(F.col(f"target_{column}"))
+    kind = F.when(F.col("target_files").isNull(), "missing").when(F.col("source_files").isNull(), "extra").otherwise("mismatch")
+    unequal = paired.filter(~same).withColumn("difference", kind)
+    # The parent of what is missing is missing itself, or it is there and unequal.
+    parent = F.when(F.col("depth") > 0, F.regexp_replace("directory", "/?[^/]*$", ""))
+    above = unequal.filter("difference <> 'mismatch'").select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("directory").alias("_directory"))
+    inner = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    kept = unequal.withColumn("_parent", parent).join(above, [*inner, F.col("_parent") == F.col("_directory")], "left_anti")
+    count = lambda side: F.coalesce(f"{side}_files", F.lit(0)).alias(f"{side}_files")
+    return kept.select(*keys, "directory", "difference", count("source"), count("target"))
+
+
+def files_below(listing: DataFrame, differences: DataFrame, *, keys: Sequence[str]) -> DataFrame:
+    """The files that lie directly in an unequal directory, or anywhere below a missing or extra one."""
+    own = F.regexp_replace("relpath", "/?[^/]*$", "")
+    parts = F.when(own == "", F.array().cast("array<string>")).otherwise(F.split(own, "/"))
+    upper = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda d: F.struct(F.array_join(F.slice(parts, F.lit(1), d), "/").alias("directory"), (d == F.size(parts)).alias("direct")))
+    rows = listing.select(*keys, "relpath", F.inline(upper))
+    found = differences.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("directory").alias("_directory"), (F.col("difference") == "mismatch").alias("_mismatch"))
+    match = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    hit = rows.join(found, [*match, F.col("directory") == F.col("_directory")]).filter("direct OR NOT _mismatch")
+    return hit.select(*keys, "relpath").distinct()
+
+
+def _ranked(rows: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Rows with their number inside their group, in the order of the md5 of their path.
+
+    A group of any size is numbered in 256 parts: the number inside the part, plus the sizes of earlier parts.
+    """
+    rows = rows.withColumn("_order", F.md5("relpath")).withColumn("_part", F.substring("_order", 1, 2))
+    sizes = rows.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.withColumn("_before", before).drop("_n")
+    inside = F.row_number().over(Window.partitionBy(*group, "_part").orderBy("_order", "relpath"))
+    return rows.withColumn("_inside", inside).join(starts, [*group, "_part"]).withColumn("_rank", F.col("_before") + F.col("_inside")).drop("_inside", "_before", "_part", "_order")
+
+
+def differences_with_moves(source: DataFrame, target: DataFrame, *, keys: Sequence[str]) -> DataFrame:
+    """(keys, relpath, difference, moved_to): as ``hash_differences``, but missing and extra files of equal content are one ``moved`` row.
+
+    Where a content occurs several times among them, paths are paired by their rank inside that content,
+    and what is left over stays missing or extra. Contents that are not known (null) are never paired.
+    """
+    rows = _differences(source, target, keys, "content_hash")
+    content = F.coalesce("source_value", "target_value")
+    alone = rows.filter(F.col("difference").isin("missing", "extra") & content.isNotNull()).select(*keys, "relpath", "difference", content.alias("_content"))
+    ranked = _ranked(alone, [*keys, "_content", "difference"])
+    side = lambda kind, name: F.max(F.when(F.col("difference") == kind, F.col("relpath"))).alias(name)
+    paired = ranked.groupBy(*keys, "_content", "_rank").agg(side("missing", "_from"), side("extra", "_to"))
+    kind = F.when(F.col("_to").isNull(), "missing").when(F.col("_from").isNull(), "extra").otherwise("moved")
+    found = paired.select(*keys, F.coalesce("_from", "_to").alias("relpath"), kind.alias("difference"), F.when(kind == "moved", F.col("_to")).alias("moved_to"))
+    rest = rows.filter(~F.col("difference").isin("missing", "extra") | content.isNull()).select(*keys, "relpath", "difference", F.lit(None).cast("string").alias("moved_to"))
+    return found.unionByName(rest)
+
+
 def partition_parity(source: DataFrame, target: DataFrame, *, keys: Sequence[str]) -> DataFrame:
     """Files per partition directory on both sides; the partition is the relpath without its last part."""
     def side(rows: DataFrame, name: str) -> DataFrame:

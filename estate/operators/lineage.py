@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from estate.functions.text import dotted_name
+from estate.operators.closure import reachable
 
 NAME = ["catalog", "schema", "name"]
 # The classes whose objects are looked at, and the audit actions that write.
@@ -52,3 +53,17 @@ def recent_writes(inventory: DataFrame, audit: DataFrame, *, days: int, as_of) -
     return writes.join(scope, "full_name").select(
         "event_time", F.col("user_identity.email").alias("actor"), "action_name", "request_params"
     )
+
+
+def downstream_consumers(inventory: DataFrame, lineage: DataFrame, *, days: int, as_of, max_depth: int | None = None) -> DataFrame:
+    """(full_name, depth): everything that recent edges lead to from objects in scope, consumers of consumers included.
+
+    ``depth`` is the number of edges from the nearest object in scope, which has 0 and is not listed
+    itself. Edges without one of their names lead nowhere.
+    """
+    recent = lineage.filter(_recent(lineage, days, as_of))
+    # A name with a missing part is null.
+    end = lambda side: F.concat(*[p for i, n in enumerate(NAME) for p in ([F.lit(".")] if i else []) + [F.col(f"{side}_table_{n}")]])
+    edges = recent.select(end("source").alias("src"), end("target").alias("dst"))
+    seeds = _scope(inventory, CONSUMER_SCOPE).select(dotted_name(*NAME).alias("node"))
+    return reachable(seeds, edges, max_depth=max_depth).filter("depth > 0").select(F.col("node").alias("full_name"), "depth")

@@ -27,30 +27,40 @@ LAYERS = [
 GOVERNANCE_FLAGS = ["grants_ok", "owner_ok", "tags_ok", "row_filter_ok", "column_mask_ok", "comments_ok"]
 
 
+def _flagged(column: Column, kind: T.DataType) -> list[Column]:
+    """What a value adds to a hash: itself in hashable form, and whether it is null, as xxhash64 skips nulls at every depth."""
+    return [_hashable(column, kind), column.isNull()]
+
+
 def _hashable(column: Column, kind: T.DataType) -> Column:
-    """A value xxhash64 accepts, equal for equal values: maps at any depth become entries in order, variants text."""
-    text = kind.simpleString()
-    if "map<" not in text and "variant" not in text:
-        return column
+    """A value xxhash64 accepts, equal for equal values only.
+
+    Fields and elements carry their null flags and arrays their length, so a nested null that moves or goes
+    is seen; maps at any depth become entries in order, variants text.
+    """
     if isinstance(kind, T.VariantType):
         return F.to_json(column)
     if isinstance(kind, T.StructType):
-        fields = F.struct(*[_hashable(column[f.name], f.dataType).alias(f.name) for f in kind.fields])
-        return F.when(column.isNotNull(), fields)
+        parts = [part for f in kind.fields for part in _flagged(column[f.name], f.dataType)]
+        return F.when(column.isNotNull(), F.struct(F.lit(len(kind.fields)).alias("size"), *[p.alias(f"p{i}") for i, p in enumerate(parts)]))
     if isinstance(kind, T.ArrayType):
-        return F.transform(column, lambda e: _hashable(e, kind.elementType))
-    # Entries as JSON text can be sorted whatever their values are.
-    entry = lambda e: F.struct(_hashable(e["key"], kind.keyType).alias("key"), _hashable(e["value"], kind.valueType).alias("value"))
-    return F.array_sort(F.transform(F.map_entries(column), lambda e: F.to_json(entry(e), {"ignoreNullFields": "false"})))
+        element = lambda e: F.struct(*[p.alias(f"p{i}") for i, p in enumerate(_flagged(e, kind.elementType))])
+        return F.when(column.isNotNull(), F.struct(F.size(column).alias("size"), F.transform(column, element).alias("elements")))
+    if isinstance(kind, T.MapType):
+        # Entries as JSON text can be sorted whatever their values are.
+        entry = lambda e: F.struct(_hashable(e["key"], kind.keyType).alias("key"), _hashable(e["value"], kind.valueType).alias("value"))
+        entries = F.array_sort(F.transform(F.map_entries(column), lambda e: F.to_json(entry(e), {"ignoreNullFields": "false"})))
+        return F.when(column.isNotNull(), F.struct(F.size(column).alias("size"), entries.alias("entries")))
+    return column
 
 
 def row_hash(table: DataFrame, *, columns: Sequence[str] | None = None) -> Column:
-    """64-bit hash over every column and whether it is null, so a null that moves is seen."""
+    """64-bit hash over every column and whether it is null, so a null that moves is seen, nested ones too."""
     fields = [f for f in table.schema.fields if columns is None or f.name in columns]
     parts: list[Column] = []
     for field in fields:
         cell = F.col("`" + field.name.replace("`", "``") + "`")
-        parts += [_hashable(cell, field.dataType), cell.isNull()]
+        parts += _flagged(cell, field.dataType)
     return F.xxhash64(*parts)
 
 

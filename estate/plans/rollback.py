@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from estate.functions.text import quote_literal, quote_name
 from estate.functions.urls import attach_moved_url, url_class
+from estate.operators.closure import peel
 from estate.operators.governance import own_kind
 from estate.operators.state import attach_existence, current_log, shadow_name, staging_name
 from estate.settings import KEY
@@ -115,26 +116,34 @@ def _reverted(rows: DataFrame, root: str, *, old: str, new: str) -> DataFrame:
     return attach_moved_url(on_new, root, new=old, old=new).withColumn("target_root", F.col("moved.url")).drop("moved")
 
 
+#: Classes that have no place on either account: views, models and functions.
+WITHOUT_PLACE = ("path_missing", "requires_external_handling")
+
+
+def _offends() -> Column:
+    return ~F.coalesce(F.col("classification").isin("consistent_old", *WITHOUT_PLACE), F.lit(False))
+
+
 def rollback_check(inventory: DataFrame) -> DataFrame:
-    """One row: the roll-back succeeded when nothing is on new and all the rest is on old."""
+    """One row: the roll-back succeeded when nothing is on new and all that has a place is on old."""
     count = lambda label: F.count_if(F.col("classification") == label)
     return inventory.agg(
         count("consistent_new").alias("consistent_new"),
         count("drift_managed_on_old").alias("drift"),
-        F.count_if(F.col("classification") != "consistent_old").alias("offenders"),
-        (F.count_if(F.col("classification") != "consistent_old") == 0).alias("success"),
+        F.count_if(_offends()).alias("offenders"),
+        (F.count_if(_offends()) == 0).alias("success"),
     )
 
 
 def rollback_offenders(inventory: DataFrame) -> DataFrame:
-    return inventory.filter(F.col("classification") != "consistent_old")
+    return inventory.filter(_offends())
 
 
 def drop_order(inventory: DataFrame) -> DataFrame:
     """Objects on new in the order a roll-back drops them, then the schemas only they live in.
 
     A schema qualifies when none of its objects is anywhere but on new. ``drop_rank`` is the
-    order; objects of one rank do not depend on each other.
+    order between kinds; for the order among views see ``dependency_order``.
     """
     on_new = F.col("classification") == "consistent_new"
     ranks = F.create_map(*[F.lit(v) for pair in DROP_ORDER.items() for v in pair])
@@ -149,3 +158,13 @@ def drop_order(inventory: DataFrame) -> DataFrame:
         .select("catalog", "schema", F.lit(None).cast("string").alias("name"), F.lit("SCHEMA").alias("kind"), F.lit(5).alias("drop_rank"))
     )
     return objects.unionByName(schemas)
+
+
+def dependency_order(objects: DataFrame, dependencies: DataFrame) -> DataFrame:
+    """(full_name, drop_level): an object is dropped on a later level than all that depend on it.
+
+    ``objects`` has ``full_name``; ``dependencies`` has ``full_name`` and ``depends_on``. Objects on a cycle, or that a
+    cycle depends on, cannot be ordered and have a null level.
+    """
+    edges = dependencies.select(F.col("full_name").alias("src"), F.col("depends_on").alias("dst"))
+    return peel(objects.select(F.col("full_name").alias("node")), edges).select(F.col("node").alias("full_name"), F.col("level").alias("drop_level"))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from estate.operators import files
+from estate.operators import files, ranges
 from estate.session import scratch_path
 from estate.sources import listings
 
@@ -234,3 +234,37 @@ UNION ALL SELECT volume, relpath, difference, NULL FROM ({_BETWEEN}) WHERE diffe
 def _(inputs):
     made = lambda text: inputs.spark.sql(text, documents=inputs("documents"))
     return files.differences_with_moves(made(_MOVED_FROM), made(_MOVED_TO), keys=["volume"])
+
+
+# Ranges of 1000 bytes, so that longer documents have several.
+_RANGED = "SELECT 'source=' || source AS tree, count(*) AS files, CAST(sum(greatest(ceil((octet_length(encode(text)) + 1) / 1000), 1)) AS BIGINT) AS ranges, TRUE AS whole_crc FROM {documents} GROUP BY source"
+
+
+def _listed(inputs):
+    return listings.list_trees(_trees(inputs, "root"), keys=["tree"]).filter(F.col("relpath").endswith(".txt"))
+
+
+@query("range_digests", _RANGED)
+def _(inputs):
+    listed = _listed(inputs).checkpoint()
+    found = ranges.combine_digests(ranges.range_digests(listed, keys=["tree"], range_bytes=1000, partitions=16), keys=["tree"])
+    path = F.regexp_extract("path", "(source=.*)$", 1).alias("at")
+    base = listed.select(F.regexp_extract("path", "^(.*)/source=", 1)).first()[0]
+    read = inputs.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(base)
+    whole = read.select(path, F.crc32("content").alias("whole"))
+    rows = found.join(whole, F.concat_ws("/", "tree", "relpath") == F.col("at"))
+    return rows.groupBy("tree").agg(F.count(F.lit(1)).alias("files"), F.sum("ranges").alias("ranges"), F.bool_and(F.col("whole") == F.col("crc32")).alias("whole_crc"))
+
+
+@query("copy_by_ranges", f"SELECT tree, files, ranges, ranges AS copied_ranges, whole_crc, TRUE AS same_bytes FROM ({_RANGED}) r")
+def _(inputs):
+    listed, target = _listed(inputs).checkpoint(), scratch_path(inputs.spark, "ranges")
+    pairs = listed.select("tree", "relpath", "size", F.col("path").alias("src"), F.concat_ws("/", F.lit(target), "tree", "relpath").alias("dst"))
+    copied = ranges.copy_by_ranges(pairs, keys=["tree"], range_bytes=1000, partitions=16)
+    digests = lambda rows: ranges.combine_digests(ranges.range_digests(rows, keys=["tree"], range_bytes=4096, partitions=16), keys=["tree"]).select("tree", "relpath", "crc32", "tree_hash")
+    there = digests(pairs.select("tree", "relpath", "size", F.col("dst").alias("path"))).withColumnsRenamed({"crc32": "there", "tree_hash": "there_hash"})
+    rows = copied.join(there, ["tree", "relpath"]).join(digests(listed).drop("crc32"), ["tree", "relpath"])
+    return rows.groupBy("tree").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("ranges").alias("ranges"), F.sum("copied_ranges").alias("copied_ranges"),
+        F.bool_and(F.col("crc32") == F.col("there")).alias("whole_crc"), F.bool_and(F.col("tree_hash") == F.col("there_hash")).alias("same_bytes"),
+    )

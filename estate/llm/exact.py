@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estate.llm.storage import fresh_name, steady, stored
+from estate.llm.storage import fresh_name, numbered, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -51,7 +51,8 @@ def _rows_and_names(rows: DataFrame, block: int, hash_bits: int) -> tuple[DataFr
         names = _numbered(routed.distinct(), ["block"], ["h"], "block-names")
         if names.groupBy("h").count().where("count > 1").isEmpty():
             routes = F.transform(_blocks(F.col("text"), block), lambda b: _route(b, seed, hash_bits))
-            base = rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.sha2("text", 256).alias("text_sha256"), routes.alias("routes"))
+            rid = F.col("rid") if "rid" in rows.columns else F.monotonically_increasing_id()
+            base = rows.select(rid.alias("rid"), "doc_id", F.sha2("text", 256).alias("text_sha256"), routes.alias("routes"))
             return stored(base, "exact-rows"), names
         seed, hash_bits = seed + 1, 64
 
@@ -116,7 +117,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = 4096) -> DataFrame:
     """The rows of `docs` that `exact_duplicates` keeps, with all their columns."""
-    docs = steady(docs)
     rid = fresh_name(docs.columns, "rid")
-    gone = _verdicts(_own_rows(docs, id_col, text_col), block, 64).where("NOT kept").select(F.col("rid").alias(rid))
-    return docs.withColumn(rid, F.monotonically_increasing_id()).join(gone, rid, "left_anti").drop(rid)
+    docs = numbered(docs, rid)
+    rows = docs.select(F.col(rid).alias("rid"), F.col(id_col).alias("doc_id"), ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
+    gone = _verdicts(rows, block, 64).where("NOT kept").select(F.col("rid").alias(rid))
+    return docs.join(gone, rid, "left_anti").drop(rid)

@@ -30,14 +30,13 @@ from pyspark.sql import functions as F
 from estate.llm.arrays import LOWER, SPACED, WindowHash, WordHash, find_words, mix, ragged, text_bytes, text_slices, window_starts
 from estate.llm.closing import close_groups, hubs
 from estate.llm.packed import flat, groups_of, pack, text_buckets
-from estate.llm.storage import fresh_name, steady, stored
+from estate.llm.sieve import passes, sieve_of
+from estate.llm.storage import fresh_name, numbered, stored
 
 #: Groups of so many sets are tried pair by pair at once.
 SMALL = 8
 #: So many sets of one signature in a few megabytes of text make it a large one at once.
 SLICE_HOT = 64
-FILTER_BITS = 1 << 26
-FILTER_SHIFTS = (0, 19, 38)
 
 
 @dataclass(frozen=True)
@@ -229,35 +228,16 @@ def _meet(table: pa.Table) -> pa.Table:
     )
 
 
-def _filter_of(names: DataFrame) -> np.ndarray:
-    """A Bloom filter of set names as 64-bit words: 8 MB at most, whatever the number of names.
-
-    Names are well mixed hashes, so three ranges of their own bits are the places in the filter.
-    """
-    n = names.count()
-    bits = 1 << 12
-    while bits < 16 * n and bits < FILTER_BITS:
-        bits *= 2
-    spots = F.explode(F.array(*[F.shiftrightunsigned("id", s).bitwiseAND(F.lit(bits - 1)) for s in FILTER_SHIFTS])).alias("spot")
-    words = names.select(spots).groupBy(F.shiftright("spot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(spot % 64 as int))")).alias("mask")).toArrow()
-    out = np.zeros(bits // 64, np.uint64)
-    out[np.asarray(words.column("word"))] = np.asarray(words.column("mask")).view(np.uint64)
-    return out
-
-
 def _send_sets(shingle: int, sieve):
     """Every row with the name and size of its set; the set itself only if the filter has its name."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, words = ShingleSets(shingle), sieve.value
-        top = np.uint64(len(words) * 64 - 1)
+        sets = ShingleSets(shingle)
         for batch in text_slices(batches, "text"):
             sets.read(batch)
             size = np.zeros(batch.num_rows, np.int64)
             first = sets.first_of_each()
-            for shift in FILTER_SHIFTS:
-                spot = sets.names[first] >> np.uint64(shift) & top
-                first = first[(words[spot >> np.uint64(6)] >> (spot & np.uint64(63)) & np.uint64(1)).astype(bool)]
+            first = first[passes(sieve.value, sets.names[first])]
             size[first] = sets.sizes[first]
             keep = np.repeat(size > 0, sets.sizes)
             yield pa.RecordBatch.from_arrays(
@@ -288,13 +268,14 @@ def _ordered(x, y) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def similar_sets(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 16 << 20) -> tuple[DataFrame, DataFrame]:
+def similar_sets(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 16 << 20, rid_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(members, components): every row's set (rid, doc_id, id, n), and the component of each set that has a link.
 
-    rid is the row's number as `monotonically_increasing_id` gives it; `docs` has to be steady.
+    rid is the row's number in column `rid_col`; without one it holds for this result alone.
     """
     scheme = Scheme.of(percent)
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rid = F.col(rid_col) if rid_col else F.monotonically_increasing_id()
+    rows = docs.select(rid.alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     buckets = min(1 << 20, text_buckets(docs, text_col, bucket_bytes))
     sent = rows.select("text").mapInArrow(_send_signatures(scheme, shingle, buckets), SENT)
     met = stored(sent.groupBy("bucket").applyInArrow(_meet, "pair boolean, a long, b long, beside int, spare int, shared int"), "signatures")
@@ -311,7 +292,7 @@ def similar_sets(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: s
     pairs = stored(seen.select(*_ordered("a", "b")).unionByName(star).distinct(), "pairs")
     wanted = stored(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).unionByName(large.select("id")).distinct(), "wanted-sets")
     # Sets of the wanted names alone are kept: first by the filter, then by the names themselves.
-    sieve = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted))
+    sieve = docs.sparkSession.sparkContext.broadcast(sieve_of(wanted, F.col("id")))
 
     schema = "rid long, doc_id long, id long, n long, hashes array<long>"
     every = stored(rows.mapInArrow(_send_sets(shingle, sieve), schema), "rows-with-sets")
@@ -345,10 +326,10 @@ def drop_similar(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: s
 
     Rows without words all stay.
     """
-    docs = steady(docs)
-    members, found = similar_sets(docs, percent, shingle, id_col, text_col)
+    rid = fresh_name(docs.columns, "rid")
+    docs = numbered(docs, rid)
+    members, found = similar_sets(docs, percent, shingle, id_col, text_col, rid_col=rid)
     rows = members.where("id IS NOT NULL").join(found, "id", "left").select("rid", "doc_id", F.coalesce("component", "id").alias("component"))
     best = rows.groupBy("component").agg(F.min(F.struct("doc_id", "rid")).alias("best"))
-    rid = fresh_name(docs.columns, "rid")
     gone = rows.join(best, "component").where("rid <> best.rid").select(F.col("rid").alias(rid))
-    return docs.withColumn(rid, F.monotonically_increasing_id()).join(gone, rid, "left_anti").drop(rid)
+    return docs.join(gone, rid, "left_anti").drop(rid)

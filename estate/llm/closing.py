@@ -94,8 +94,8 @@ def close_groups(groups: DataFrame, sets: DataFrame, links: DataFrame, percent:
     labelled = groups.join(found, "id", "left").select("grp", "id", F.coalesce("component", "id").alias("component"))
     several = labelled.groupBy("grp").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("grp")
     open_rows = stored(labelled.join(several, "grp", "left_semi").join(sets.select("id", "n"), "id"), "open-groups")
-    first = open_rows.groupBy("grp").agg(F.min("id").alias("first"))
-    together = open_rows.join(first, "grp").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    centres = hubs(open_rows.select("grp", "id"))
+    together = open_rows.join(centres, "grp").where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
     hanging = open_rows.join(components(together).withColumnRenamed("component", "cluster"), "id")
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks")
     whole = hanging.select("cluster", "id", "component", "n").distinct()

@@ -85,6 +85,21 @@ def _join_blocks(percent: int):
     return run
 
 
+def _hanging_together(groups: DataFrame) -> DataFrame:
+    """(grp, id) -> (id, cluster): groups that share sets are of one cluster.
+
+    Every set first follows the smallest centre of its groups, which is one edge a set and leaves a family of
+    texts in few parts; then only parts that meet in a group are joined.
+    """
+    centre = groups.join(hubs(groups), "grp").groupBy("id").agg(F.min("hub").alias("hub"))
+    parts = components(centre.select(F.col("id").alias("a"), F.col("hub").alias("b")))
+    of_group = stored(groups.join(parts, "id").select("grp", "component").distinct(), "parts-of-groups")
+    least = of_group.groupBy("grp").agg(F.min("component").alias("a"))
+    joined = components(of_group.join(least, "grp").where("a <> component").select("a", F.col("component").alias("b")).distinct())
+    joined = joined.select(F.col("id").alias("part"), F.col("component").alias("whole"))
+    return parts.join(joined, F.col("component") == F.col("part"), "left").select("id", F.coalesce("whole", "component").alias("cluster"))
+
+
 def close_groups(groups: DataFrame, sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     """The components (id, component) of all sets of one group that are `percent` similar.
 
@@ -94,9 +109,7 @@ def close_groups(groups: DataFrame, sets: DataFrame, links: DataFrame, percent:
     labelled = groups.join(found, "id", "left").select("grp", "id", F.coalesce("component", "id").alias("component"))
     several = labelled.groupBy("grp").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("grp")
     open_rows = stored(labelled.join(several, "grp", "left_semi").join(sets.select("id", "n"), "id"), "open-groups")
-    centres = hubs(open_rows.select("grp", "id"))
-    together = open_rows.join(centres, "grp").where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
-    hanging = open_rows.join(components(together).withColumnRenamed("component", "cluster"), "id")
+    hanging = open_rows.join(_hanging_together(open_rows.select("grp", "id")), "id")
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks")
     whole = hanging.select("cluster", "id", "component", "n").distinct()
     by_group = hanging.groupBy("cluster", "grp").agg(blocks, F.sum("n").alias("n"))

@@ -9,7 +9,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estate.llm.arrays import LOWER, text_bytes
+from estate.llm.arrays import text_bytes
+
+#: Characters of a text that are taken at once.
+PIECE = 1 << 18
+#: Parts of the labelled sample that are scored by a model of the other parts.
+FOLDS = 3
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -18,7 +23,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def gram_codes(data: np.ndarray, sizes: tuple[int, ...], bits: int) -> list[np.ndarray]:
-    """For each n, the code of the n bytes from every place on (places near the end are left out)."""
+    """For each n, the code of the n bytes or characters from every place on (places near the end are left out)."""
     out = []
     shift = np.uint64(64 - bits)
     wide = data.astype(np.uint64)
@@ -35,22 +40,19 @@ def gram_codes(data: np.ndarray, sizes: tuple[int, ...], bits: int) -> list[np.n
 
 
 def present_grams(batch: pa.RecordBatch, sizes: tuple[int, ...], bits: int) -> Iterator[np.ndarray]:
-    """For each text, the codes that occur in it, ascending; A-Z lower-cased, a space at both ends.
+    """For each text, the codes of its n-grams of characters, ascending; letters folded to one case, a space at both ends.
 
-    A table of one flag per code is used again for each text, so memory does not grow with texts.
+    Texts are taken in overlapping pieces, and one table of flags serves all, so that memory does not
+    grow with what is derived from a text.
     """
-    data, offsets = text_bytes(batch.column("text"))
-    data = LOWER[data]
-    codes = gram_codes(data, sizes, bits)
     flags = np.zeros(1 << bits, bool)
-    edges = np.frombuffer(b" ", np.uint8)
-    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-        own = [c[a : max(a, b - n + 1)] for n, c in zip(sizes, codes, strict=True)]
-        # The n-grams that touch an end of the text.
-        head = gram_codes(np.concatenate([edges, data[a : min(b, a + max(sizes) - 1)]]), sizes, bits)
-        tail = gram_codes(np.concatenate([data[max(a, b - max(sizes) + 1) : b], edges]), sizes, bits)
-        for c in (*own, *[h[:1] for h in head], *[t[-1:] for t in tail]):
-            flags[c] = True
+    for text in batch.column("text"):
+        text = " " + text.as_py() + " "
+        for at in range(0, len(text), PIECE):
+            # Folding looks at single characters, so an n-gram of the folded text lies within n characters.
+            folded = text[at : at + PIECE + max(sizes) - 1].casefold()
+            for codes in gram_codes(np.frombuffer(folded.encode("utf-32-le", "surrogatepass"), np.uint32), sizes, bits):
+                flags[codes] = True
         found = np.flatnonzero(flags)
         flags[found] = False
         yield found
@@ -68,15 +70,32 @@ def gram_counts(batch: pa.RecordBatch, sizes: tuple[int, ...], bits: int) -> Ite
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, target: Column, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """(target, text) of at most `rows` labelled rows that are not held out, the first by a hash of their id.
+    """(target, fold, text) of at most `rows` labelled rows that are not held out, the first by a hash of their id.
 
-    Labels without id or target are not used. The sample of labels is bounded, so it is sent to all
-    tasks instead of shuffling the texts.
+    Labels without id or target are not used. Equal labels of one id count once, contradictory ones
+    each; of rows that repeat an id the smallest text is taken. The sample of labels is bounded, so it
+    is sent to all tasks instead of shuffling the texts.
     """
     chosen = labels.select(F.col(id_col).alias("label_id"), target.alias("target")).where("label_id IS NOT NULL AND target IS NOT NULL")
-    chosen = chosen.where(~held_out("label_id")).orderBy(F.xxhash64("label_id"), "label_id", "target").limit(rows)
+    chosen = chosen.where(~held_out("label_id")).distinct().orderBy(F.xxhash64("label_id"), "label_id", "target").limit(rows)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), texts.doc_id == chosen.label_id).select("target", "text").limit(2 * rows)
+    found = texts.join(F.broadcast(chosen), texts.doc_id == chosen.label_id)
+    fold = F.pmod(F.xxhash64(F.lit(FOLDS), "label_id"), F.lit(FOLDS)).cast("int").alias("fold")
+    return found.groupBy("label_id", "target").agg(F.min("text").alias("text")).select("target", fold, "text")
+
+
+class SplitCodes:
+    """Ascending codes of rows, two bytes each: the lower 16 bits, and how many codes a row has of each upper part."""
+
+    def __init__(self, low: np.ndarray, per_upper: np.ndarray):
+        self.low, self.upper = low.view(np.uint16), per_upper.shape[1]
+        self.lengths = per_upper.ravel()
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def __getitem__(self, entries: slice) -> np.ndarray:
+        """The codes of some whole rows, given by their first and last entry."""
+        runs = np.arange(*np.searchsorted(self.starts, [entries.start, entries.stop]))
+        return np.repeat((runs % self.upper) << 16, self.lengths[runs]) + self.low[entries]
 
 
 class SparseRows:
@@ -85,7 +104,7 @@ class SparseRows:
     Products go over a million entries at a time, so that beside the codes little memory is used.
     """
 
-    def __init__(self, sizes: np.ndarray, codes: np.ndarray, values: np.ndarray | None, columns: int):
+    def __init__(self, sizes: np.ndarray, codes: np.ndarray | SplitCodes, values: np.ndarray | None, columns: int):
         self.n, self.columns, self.codes, self.values = len(sizes), columns, codes, values
         ends = np.concatenate([[0], np.cumsum(sizes)])
         cuts = np.unique(np.append(np.searchsorted(ends, np.arange(0, ends[-1], 1 << 20)), self.n))
@@ -128,6 +147,36 @@ def adam(gradient, start: np.ndarray, steps: int, rate: float) -> np.ndarray:
     return x
 
 
+def lbfgs(loss, start: np.ndarray, steps: int, memory: int = 8, tolerance: float = 1e-6) -> np.ndarray:
+    """Minimise a smooth function by limited-memory BFGS; loss(x) gives the value and the gradient at x."""
+    x, (value, g) = start, loss(start)
+    moves: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        d, along = g.copy(), []
+        for s, y in reversed(moves):
+            along.append(s @ d / (s @ y))
+            d -= along[-1] * y
+        d *= moves[-1][0] @ moves[-1][1] / (moves[-1][1] @ moves[-1][1]) if moves else 1 / max(1e-12, np.linalg.norm(g))
+        for (s, y), share in zip(moves, reversed(along), strict=True):
+            d += s * (share - y @ d / (s @ y))
+        step, slope = 1.0, g @ d
+        while True:
+            there = x - step * d
+            new_value, new_g = loss(there)
+            if new_value <= value - 1e-4 * step * slope or step < 1e-6:
+                break
+            step /= 2
+        gain = value - new_value
+        if gain <= 0:
+            break
+        s, y = there - x, new_g - g
+        if s @ y > 1e-12:
+            moves = [*moves[1 - memory :], (s, y)]
+        x, value, g = there, new_value, new_g
+        if gain < tolerance * max(1.0, abs(value)):
+            break
+    return x
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
-

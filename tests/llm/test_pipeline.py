@@ -40,7 +40,8 @@ def test_oracles_match(spark):
     import duckdb
 
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{os.path.join(SF, 'documents.parquet')}'")
+    for table in ("documents", "embeddings"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{os.path.join(SF, table + '.parquet')}'")
     for name, text in queries.ORACLES.items():
         got = queries.QUERIES[name](spark, SF)
         want = con.sql(text)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from estate.llm.arrays import SPACED, WindowHash, WordHash, find_words, mix, ragged, text_bytes, text_slices, window_starts
 from estate.llm.packed import OWNED, bucket_of, flat, gather_of_owners, groups_of, of_each, pack, send_to_owners, text_buckets
-from estate.llm.storage import steady, stored
+from estate.llm.storage import PLACE_BITS, numbered, stored
 from estate.session import scratch_path
 
 #: Runs of at most so many equal words get a name; an end of a window loses as many words at most.
@@ -80,10 +80,19 @@ class _Texts:
         self.second = self.hashers[1](data, starts, ends) if both else None
 
 
+def _near_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, cut where row numbers are too far apart for 32-bit offsets, as those of two files are."""
+    for batch in batches:
+        high = np.asarray(batch.column("rid")) >> PLACE_BITS
+        cuts = [0, *(np.flatnonzero(np.diff(high)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield batch.slice(a, b - a)
+
+
 def _send_symbols(buckets: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = _Texts()
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(_near_rows(batches), "text"):
             texts.read(batch)
             names, first = symbols_of(texts.words, texts.counts)
             if not len(names):
@@ -269,20 +278,20 @@ def remove_repeats(docs: DataFrame, window: int = 50, digest: bool = False, id_c
     whose sequence also starts in a row with a smaller id; windows are judged on the input. `kept` are
     the other words, joined by one space, or with `digest` their SHA-256. A null text has no words. Rows
     with a null id keep all words and take none from others; rows that repeat an id take none from each
-    other. Other columns are ignored. An empty table gives no rows. `docs` is read more than once; what
-    is not read from files is stored first. `window` is 46 at least, so that its middle has 2 words.
+    other. Other columns are ignored. An empty table gives no rows. `docs` is read more than once, and its
+    rows keep their numbers however files are split; what is not read from files is stored first. `window` is 46 at least, so that its middle has 2 words.
     """
     if window < 2 * LOST + 2:
         raise ValueError(f"window has to be at least {2 * LOST + 2} words")
-    docs = steady(docs.select(id_col, text_col))
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    docs = numbered(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "rid")
+    rows = docs.select("rid", F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     # Copies are found by a 128-bit hash of the text; the narrow table is grouped, not the texts.
     texts = rows.where("doc_id IS NOT NULL").select("rid", "doc_id", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"))
     texts = stored(texts, "substring-texts")
     least = texts.groupBy("t1", "t2").agg(F.min("doc_id").alias("least"))
     copies = stored(texts.join(least, ["t1", "t2"]).where("doc_id > least").select("rid"), "substring-copies")
     named = rows.where("doc_id IS NOT NULL")
-    buckets = text_buckets(docs, text_col, bucket_bytes)
+    buckets = text_buckets(docs, "text", bucket_bytes)
     sent = named.select("rid", "text").mapInArrow(_send_symbols(buckets), "bucket int, base long, symbol array<int>, offset array<int>, told array<tinyint>")
     shared = gather_of_owners(sent.groupBy("bucket").applyInArrow(lambda t: _find_shared(t, buckets), OWNED), ("rid", "shared"))
     none = F.array().cast("array<int>")

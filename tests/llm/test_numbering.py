@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from estate.llm import exact, jaccard
+from estate.llm import exact, jaccard, substrings
 from estate.llm.storage import numbered
 
 KEY = "spark.sql.files.minPartitionNum"
@@ -26,6 +26,22 @@ def test_kept_rows_do_not_depend_on_splits(spark, files, drop):
     assert late == sorted(r.doc_id for r in drop(spark.read.parquet(files)).collect()) and 100 < len(late) < 600
 
 
+def test_repeats_do_not_depend_on_splits(spark, tmp_path):
+    """The splits change after the first stages of substring dedup and before the last, and files share tasks."""
+    passage = " ".join(f"p{j}" for j in range(60))
+    texts = [(i, f"start{i} " + (passage if i % 2 else f"none{i}") + f" end{i} " + " ".join(f"w{i}x{j}" for j in range(i % 7))) for i in range(300)]
+    spark.createDataFrame(texts, "doc_id long, text string").repartition(12).write.parquet(f"{tmp_path}/docs")
+    try:
+        spark.conf.set(KEY, "1")
+        found = substrings.remove_repeats(spark.read.parquet(f"{tmp_path}/docs"))
+        spark.conf.set(KEY, "64")
+        kept = {r.doc_id: (r.n_removed, r.kept) for r in found.collect()}
+    finally:
+        spark.conf.unset(KEY)
+    expected = {i: (60, t.replace(passage + " ", "")) if i % 2 and i > 1 else (0, t) for i, t in texts}
+    assert kept == {i: (n, " ".join(t.split())) for i, (n, t) in expected.items()}
+
+
 def test_numbers_are_of_the_row_and_unique(spark, files):
     frame = numbered(spark.read.parquet(files), "n")
     spark.conf.set(KEY, "1")

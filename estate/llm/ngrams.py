@@ -116,7 +116,10 @@ class SparseRows:
             each = weights[self.codes[first:last]]
             if self.values is not None:
                 each = each * self.values[first:last]
-            out[a:b] = np.bincount(np.repeat(np.arange(b - a), sizes), each, minlength=b - a)
+            # Rows without entries keep their zero; the others start where the one before ends.
+            some = np.flatnonzero(sizes)
+            if len(some):
+                out[a + some] = np.add.reduceat(each, (np.cumsum(sizes) - sizes)[some])
         return out
 
     def transposed(self, per_row: np.ndarray) -> np.ndarray:

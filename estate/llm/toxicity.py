@@ -9,6 +9,7 @@ of the sample that models of its other parts have scored.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -101,13 +102,16 @@ def fit_toxicity(
     per_upper = list_column(data, "per_upper")[1].reshape(len(y), -1)
     del data
     x = SparseRows(count, SplitCodes(low, per_upper), None, 1 << bits)
-    weights, bias = _fit(x, y, np.ones(len(y)), penalty, steps)
-    scale, shift = 1.0, 0.0
     others = [(fold != k).astype(float) for k in range(FOLDS)]
-    if all(0 < y @ o < o.sum() for o in others):
+    if not all(0 < y @ o < o.sum() for o in others):
+        others = []
+    # The fits do not depend on each other, and numpy lets threads work side by side.
+    with ThreadPoolExecutor(1 + FOLDS) as pool:
+        (weights, bias), *apart = pool.map(lambda used: _fit(x, y, used, penalty, steps), [np.ones(len(y)), *others])
+    scale, shift = 1.0, 0.0
+    if apart:
         z = np.zeros(len(y))
-        for k, used in enumerate(others):
-            own, constant = _fit(x, y, used, penalty, steps)
+        for k, (own, constant) in enumerate(apart):
             z = np.where(fold == k, x.times(own) + constant, z)
         scale, shift = calibration(z, y)
     return ToxicityModel((scale * weights).astype(np.float32), scale * bias + shift, sizes, bits)

@@ -228,6 +228,19 @@ UNION ALL SELECT catalog, schema, name, object_type, k, 'failed' AS status, clai
 UNION ALL SELECT catalog, schema, name, object_type, k, 'validated' AS status, claimed_by, claimed_at, concat(catalog, '.', schema, '.', name, '__pre_migration') AS pre_migration_fqn,
   TIMESTAMP '1998-06-01 00:00:00' AS updated_at FROM {log} WHERE k % 4 <> 1"""
 
+# Events spread over the first objects: what the log says of each, mostly in order, and who writes to them meanwhile.
+_TURN = "(SELECT CAST(floor(count(*) / 20) AS BIGINT) + 1 FROM {events})"
+TEXTS["moves"] = """
+SELECT o.catalog, o.schema, o.name, o.object_type, e.updated_at, CASE WHEN event_id % 29 = 3 THEN NULL WHEN event_id % 13 = 5 THEN 'swapped'
+  ELSE CASE e.step WHEN 0 THEN 'claimed' WHEN 1 THEN 'snapshot_taken' WHEN 2 THEN 'cloned' WHEN 3 THEN 'swapped' WHEN 4 THEN 'replayed' WHEN 5 THEN 'validated' ELSE 'rolled_back' END END AS status
+FROM (SELECT event_id, ts AS updated_at, event_id % turn AS object_no, CAST(floor(event_id / turn) AS BIGINT) % 7 AS step FROM (SELECT *, """ + _TURN + """ AS turn FROM {events}) t) e
+JOIN {objects} o ON o.k = e.object_no"""
+TEXTS["table_writes"] = """
+SELECT event_id, ts AS event_time, concat('user', user_id, '@x.com') AS email,
+  CASE event_type WHEN 'purchase' THEN 'writeTable' WHEN 'click' THEN 'updateTable' WHEN 'error' THEN 'mergeTable' ELSE 'getTable' END AS action_name,
+  concat(o.catalog, '.', o.schema, '.', o.name) AS full_name
+FROM (SELECT *, (event_id * 7 + 3) % """ + _TURN + """ AS object_no FROM {events}) e JOIN {objects} o ON o.k = e.object_no"""
+
 # The same log with malformed shadow names, for the fail-closed gate.
 TEXTS["bad_log"] = """
 SELECT catalog, schema, name, CASE WHEN k % 9 = 5 AND k % 7 = 0 THEN 'FUNCTION' ELSE object_type END AS object_type, k, status,

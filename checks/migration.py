@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.derived import NEW, OLD
 from checks.registry import AS_OF, KEYS, SAME, query, quoted
-from estate.operators import state
+from estate.operators import history, state
 from estate.plans import migration
 from estate.session import scratch_path
 from estate.settings import KEY
@@ -270,3 +270,35 @@ def _(inputs):
     for name in (stem, f"{stem}__pre_migration"):
         spark.sql(f"DROP TABLE {name}")
     return verdict.select("source_n", "target_n", "match")
+
+
+_AS_OF_WRITE = """SELECT w.*, m.status, m.updated_at AS since, row_number() OVER (PARTITION BY w.event_id ORDER BY m.updated_at DESC, m.status DESC NULLS LAST) AS rn
+FROM {table_writes} w JOIN {moves} m ON m.object_type = 'TABLE' AND concat_ws('.', m.catalog, m.schema, m.name) = w.full_name AND m.updated_at <= w.event_time
+WHERE w.action_name IN ('mergeTable', 'updateTable', 'writeTable')"""
+
+
+@query("writes_while_cloned", f"SELECT full_name, event_time, email AS actor, action_name, event_id AS request_id, status, since FROM ({_AS_OF_WRITE}) WHERE rn = 1 AND status = 'cloned'")
+def _(inputs):
+    audit = inputs("table_writes").select(
+        "event_time",
+        "action_name",
+        F.struct("email").alias("user_identity"),
+        F.create_map(F.lit("full_name_arg"), "full_name", F.lit("request_id"), F.col("event_id").cast("string")).alias("request_params"),
+    )
+    found = history.writes_while(inputs("moves"), audit)
+    return found.withColumn("request_id", F.col("request_params")["request_id"].cast("long")).drop("request_params")
+
+
+_PAIRS = ", ".join(f"('{before}', '{after}')" for before, afters in history.FOLLOWS.items() for after in afters)
+_STEPS = f"""SELECT {KEYS}, updated_at, coalesce(status, '(none)') AS status,
+  lag(coalesce(status, '(none)'), 1, '') OVER (PARTITION BY {KEYS} ORDER BY updated_at, coalesce(status, '(none)')) AS before FROM {{moves}}"""
+
+
+@query(
+    "illegal_log_events",
+    f"""SELECT {KEYS}, bad_events, updated_at, before, status FROM (
+  SELECT *, count(*) OVER (PARTITION BY {KEYS}) AS bad_events, row_number() OVER (PARTITION BY {KEYS} ORDER BY updated_at, status, before) AS rn
+  FROM ({_STEPS}) WHERE (before, status) NOT IN ({_PAIRS})) WHERE rn = 1""",
+)
+def _(inputs):
+    return history.illegal_events(inputs("moves"))

@@ -7,6 +7,7 @@ from checks.registry import AS_OF, KEYS, SAME, query, quoted
 from estate.operators import history, state
 from estate.plans import migration
 from estate.session import scratch_path
+from estate.sources import footers, listings
 from estate.settings import KEY
 
 _ROUTE = """CASE WHEN classification = 'external_on_old' AND object_type = 'TABLE' THEN 'external_table'
@@ -258,6 +259,35 @@ def _(inputs):
     return migration.compare_signatures(lines, copy)
 
 
+def _footers(inputs, rows, label):
+    path = scratch_path(inputs.spark, label)
+    rows.repartition(3).write.parquet(path)
+    return footers.parquet_footers(footers.parquet_files(listings.list_tree(inputs.spark, path)))
+
+
+@query(
+    "row_count_and_schema_by_footers",
+    """SELECT count(*) AS row_count_before, count(*) FILTER (WHERE l_orderkey % 7 <> 0) AS row_count_after,
+  count(*) = count(*) FILTER (WHERE l_orderkey % 7 <> 0) AS row_count_ok, TRUE AS schema_ok, CAST(0 AS BIGINT) AS unreadable FROM {lineitem}""",
+)
+def _(inputs):
+    lines = inputs("lineitem")
+    return migration.compare_footers(_footers(inputs, lines, "footers-before"), _footers(inputs, lines.filter(F.col("l_orderkey") % 7 != 0), "footers-after"))
+
+
+_RANGE = "SELECT '{0}' AS name, count(*) - count({0}) AS nulls, {1} AS low, {2} AS high, {3} AS low_text, {4} AS high_text FROM {{orders}}"
+_RANGES = [
+    *[_RANGE.format(c, f"CAST(min({c}) AS BIGINT)", f"CAST(max({c}) AS BIGINT)", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)") for c in ("o_orderkey", "o_custkey")],
+    *[_RANGE.format(c, "CAST(NULL AS BIGINT)", "CAST(NULL AS BIGINT)", f"min({c})", f"max({c})") for c in ("o_orderstatus", "o_orderpriority")],
+]
+
+
+@query("column_ranges_by_footers", " UNION ALL ".join(_RANGES))
+def _(inputs):
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+    return footers.column_ranges(_footers(inputs, inputs("orders").select(columns), "footers-ranges")).drop("files")
+
+
 @query("staged_table_rewrite", "SELECT count(*) AS source_n, count(*) AS target_n, TRUE AS match FROM {orders}")
 def _(inputs):
     spark = inputs.spark

@@ -11,6 +11,7 @@ from estate.functions.urls import attach_moved_url
 from estate.operators.state import shadow_name, staging_name
 from estate.operators.verify import compare_fingerprints, fingerprint
 from estate.settings import KEY
+from estate.sources.footers import footer_signature
 
 
 # Playbook by class, object type and kind.
@@ -179,15 +180,25 @@ def table_signature(table: DataFrame) -> DataFrame:
 
 def compare_signatures(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row: whether row count and schema are the same before and after."""
-    sides = table_signature(before).withColumn("side", F.lit("before")).unionByName(
-        table_signature(after).withColumn("side", F.lit("after"))
-    )
+    return _compare_signatures(table_signature(before), table_signature(after))
+
+
+def compare_footers(before: DataFrame, after: DataFrame) -> DataFrame:
+    """The same from the footers of both sides' files; files that are no Parquet make both checks fail."""
+    verdict = _compare_signatures(footer_signature(before), footer_signature(after))
+    whole = F.col("unreadable") == 0
+    return verdict.withColumns({c: F.col(c) & whole for c in ("row_count_ok", "schema_ok")})
+
+
+def _compare_signatures(before: DataFrame, after: DataFrame) -> DataFrame:
+    sides = before.withColumn("side", F.lit("before")).unionByName(after.withColumn("side", F.lit("after")))
     pick = lambda side, column: F.max(F.when(F.col("side") == side, F.col(column)))
     return sides.agg(
         pick("before", "row_count").alias("row_count_before"),
         pick("after", "row_count").alias("row_count_after"),
         (pick("before", "row_count") == pick("after", "row_count")).alias("row_count_ok"),
-        (pick("before", "schema_hash") == pick("after", "schema_hash")).alias("schema_ok"),
+        (pick("before", "schema_hash").eqNullSafe(pick("after", "schema_hash"))).alias("schema_ok"),
+        *([F.sum("unreadable").alias("unreadable")] if "unreadable" in sides.columns else []),
     )
 
 

@@ -41,25 +41,44 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd"
 SPACE = re.compile(r"\s+")
 
 
+#: What is known where no element is open.
+OUTSIDE = ("", 0, False, False, False, 0)
+
+
 class PageBlocks(HTMLParser):
-    """Text blocks of a page in order, each with its chain of block elements."""
+    """Text blocks of a page in order, each with a number for its chain of block elements.
+
+    An open element keeps what is known of its chain, so a step costs the same at any depth.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, str, bool, bool, tuple[int, ...]]] = []  # element, style, no article text, inside an article, marks
+        # Element, number of its chain, unseen, no article text, inside an article, innermost mark.
+        self.stack: list[tuple[str, int, bool, bool, bool, int]] = []
+        self.places: dict[str, list[int]] = {}  # where in the stack each element is open
         self.pieces: list[str] = []
-        self.blocks: list[tuple[str, str, bool, bool, tuple[int, ...]]] = []  # style chain, text, no article text, inside an article, marks
-        # Elements marked by their class words, and those that are or hold a main or another article.
-        self.marked = 0
+        self.blocks: list[tuple[int, str, bool, bool, int]] = []  # chain, text, no article text, inside an article, innermost mark
+        # Elements marked by their class words, by the mark around each (0: none), and those that are or hold
+        # a main or another article, with all marks around these.
+        self.around = [0]
         self.main = False
-        self.held: dict[bool, set[int]] = {True: set(), False: set()}  # by whether a main element is meant
+        self.held: dict[bool, set[int]] = {True: {0}, False: {0}}  # by whether a main element is meant
 
     def _break(self) -> None:
         text = SPACE.sub(" ", "".join(self.pieces)).strip()
         self.pieces = []
-        if text and not any(e[0] in UNSEEN for e in self.stack):
-            aside, article, marks = self.stack[-1][2:] if self.stack else (False, False, ())
-            self.blocks.append(("/".join(e[1] for e in self.stack), text, aside, article, marks))
+        _, chain, unseen, aside, article, mark = self.stack[-1] if self.stack else OUTSIDE
+        if text and not unseen:
+            self.blocks.append((chain, text, aside, article, mark))
+
+    def _last(self, tags: Iterable[str]) -> int:
+        """Where the innermost open element of some kinds is, or -1."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def _close(self, to: int) -> None:
+        for element, *_ in reversed(self.stack[to:]):
+            self.places[element].pop()
+        del self.stack[to:]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "br":
@@ -70,50 +89,46 @@ class PageBlocks(HTMLParser):
         if tag in VOID:
             return
         closes, within = ENDS.get(tag, ({"p"}, {"button", "table", "caption", "td", "th"}))
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] in within:
-                break
-            if self.stack[k][0] in closes:
-                del self.stack[k:]
-                break
+        if (to := self._last(closes)) > self._last(within):
+            self._close(to)
         given = {k: v or "" for k, v in attrs}
         names = f"{given.get('class', '')} {given.get('id', '')}".lower()
         words = set(re.split(r"[^a-z]+", names))
-        outer = self.stack[-1] if self.stack else ("", "", False, False, ())
-        aside = outer[2] or tag in ASIDE or tag == "header" and not outer[3] or given.get("role", "").lower() in ROLES
+        _, chain, unseen, aside, article, mark = self.stack[-1] if self.stack else OUTSIDE
+        aside = aside or tag in ASIDE or tag == "header" and not article or given.get("role", "").lower() in ROLES
         aside = aside or "hidden" in given or given.get("aria-hidden") == "true"
-        marks = outer[4]
         if tag not in ("html", "body") and words & WORDS and any(not LAYOUT.fullmatch(n) and WORDS & set(re.split(r"[^a-z]+", n)) for n in names.split()):
-            self.marked += 1
-            marks = (*marks, self.marked)
+            self.around.append(mark)
+            mark = len(self.around) - 1
         # An article inside an article is a comment or the like.
-        if tag == "main" or tag == "article" and not any(e[0] == "article" for e in self.stack):
-            self.held[tag == "main" or any(e[0] == "main" for e in self.stack)].update(marks)
+        if tag == "main" or tag == "article" and not self.places.get("article"):
+            held = self.held[tag == "main" or bool(self.places.get("main"))]
+            holder = mark
+            while holder not in held:
+                held.add(holder)
+                holder = self.around[holder]
             self.main = self.main or tag == "main"
         style = ".".join([tag, *sorted(words - {""})])
-        self.stack.append((tag, style, aside, outer[3] or tag in ARTICLE, marks))
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, _number(f"{chain}/{style}"), unseen or tag in UNSEEN, aside, article or tag in ARTICLE, mark))
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in INLINE or tag in VOID:
-            return
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == tag:
-                self._break()
-                del self.stack[k:]
-                return
+        if tag not in INLINE and tag not in VOID and (to := self._last((tag,))) >= 0:
+            self._break()
+            self._close(to)
 
     def handle_data(self, data: str) -> None:
         self.pieces.append(data)
 
 
-def page_blocks(html: str | None) -> list[tuple[str, str, bool, bool, bool]]:
-    """(style chain, text, no article text, inside an article, class words against it) of every block with text."""
+def page_blocks(html: str | None) -> list[tuple[int, str, bool, bool, bool]]:
+    """(number of the style chain, text, no article text, inside an article, class words against it) of every block with text."""
     parser = PageBlocks()
     parser.feed(html or "")
     parser.close()
     parser._break()
     held = parser.held[True] if parser.main else parser.held[False]
-    return [(*block, not held.issuperset(marks)) for *block, marks in parser.blocks]
+    return [(*block, mark not in held) for *block, mark in parser.blocks]
 
 
 def _number(text: str) -> int:
@@ -126,13 +141,13 @@ def _contents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, 256):
             hosts, names, styles, contents, spoken = [], [], [], [], []
             for host, html in zip(batch.column("host")[at : at + 256].to_pylist(), batch.column("html")[at : at + 256], strict=True):
-                own: dict[str, list[str]] = {}
+                own: dict[int, list[str]] = {}
                 against = set()
                 for style, text, _, _, words in page_blocks(html.as_py()):
                     own.setdefault(style, []).append(text)
                     if words:
                         against.add(style)
-                here = [(_number(style), _number("\n".join(texts))) for style, texts in own.items()]
+                here = [(style, _number("\n".join(texts))) for style, texts in own.items()]
                 hosts += [host] * len(here)
                 names += [_number(str(here))] * len(here)
                 styles += [style for style, _ in here]
@@ -151,9 +166,9 @@ def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts = []
             for html, low, high in zip(part.column("html"), part.column("low"), part.column("high"), strict=True):
                 unimportant, important = set(low.as_py() or ()), set(high.as_py() or ())
-                left = [b for b in page_blocks(html.as_py()) if not b[2] and (not unimportant or _number(b[0]) not in unimportant)]
+                left = [b for b in page_blocks(html.as_py()) if not b[2] and (not unimportant or b[0] not in unimportant)]
                 # Without other text, class words do not decide.
-                left = [b for b in left if not b[4] or important and _number(b[0]) in important] or left
+                left = [b for b in left if not b[4] or important and b[0] in important] or left
                 inside = [b for b in left if b[3]]
                 texts.append("\n".join(b[1] for b in inside or left))
             names = [n for n in part.schema.names if n not in ("html", "low", "high")]

@@ -77,3 +77,16 @@ def test_class_words_do_not_decide_alone(spark):
     got = run(spark, rows)
     assert [got[i].text for i in range(len(bodies))] == ["Text"] * len(bodies)
     assert all(got[100 + i].text == f"Intro {i}\nBody {i}" for i in range(60))
+
+
+def test_deep_nesting_takes_linear_time():
+    """Elements that are never closed, with and without class words and articles; a step costs the same at any depth."""
+    import time
+
+    for open_, close in (('<div class="row">x', ""), ('<div class="sidebar"><article>x', ""), ("<p>x<div>y", "</div>"), ("<ul><li>x", ""), ("<button><p>x<button>y", "")):
+        begin = time.time()
+        blocks = pages.page_blocks(open_ * 60_000 + close * 60_000)
+        assert len(blocks) >= 60_000 and time.time() - begin < 30
+    # Chains of different depth or classes are different, equal ones equal.
+    chains = [b[0] for b in pages.page_blocks('<div class="a">1<div>2<div>3</div></div></div><div class="a">4<div class="b">5</div></div>')]
+    assert chains[0] == chains[3] and len(set(chains)) == 4

@@ -30,6 +30,7 @@ def test_every_query_has_an_oracle():
 JOINING = [
     "lineage_consumers", "recent_writes", "external_location_cover", "parent_managed_location", "schema_audit", "object_state", "claim",
     "drop_decisions", "log_directory_evidence", "table_checksum_evidence", "inherited_grant_revokes", "compare_listings", "capture_snapshot",
+    "writes_while_cloned", "illegal_log_events",
 ]
 
 

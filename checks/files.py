@@ -116,10 +116,9 @@ def _(inputs):
 
 # Every source is a tree of its own; two more trees are absent and empty.
 def _trees(inputs, *columns):
-    import os
-
     base, target = _tree(inputs), scratch_path(inputs.spark, "copies")
-    os.makedirs(f"{base}/empty")
+    filesystem, empty = listings.path_opener(listings.is_local(inputs.spark))(f"{base}/empty")
+    filesystem.create_dir(empty)
     names = inputs("documents").select(F.concat(F.lit("source="), "source").alias("tree")).distinct()
     names = names.unionByName(inputs.spark.createDataFrame([("absent",), ("empty",)], "tree string"))
     roots = {"root": base, "source_root": base, "target_root": target}

@@ -41,7 +41,22 @@ def shared_folder(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return worker_path(spark, folder)
+
+
+def worker_path(spark: SparkSession, folder: str) -> str:
+    """The folder (made if need be) by a name under which workers reach it without Spark's own file systems.
+
+    A path without a scheme lies on the cluster's default file system, and a viewfs path on what its mount
+    table names; only the driver's Hadoop settings know either. A folder on this machine's disk keeps
+    its bare path in a local session.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    filesystem = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    filesystem.mkdirs(path)
+    found = filesystem.resolvePath(path).toString()
+    bare = "://" not in folder and spark.sparkContext.master.startswith("local")
+    return found.removeprefix("file:") if bare else found
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

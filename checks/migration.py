@@ -261,7 +261,7 @@ def _(inputs):
 
 def _footers(inputs, rows, label):
     path = scratch_path(inputs.spark, label)
-    rows.repartition(3).write.parquet(path)
+    rows.repartition(max(3, -(-rows.count() // 1_000_000))).write.parquet(path)
     return footers.parquet_footers(footers.parquet_files(listings.list_tree(inputs.spark, path)))
 
 

@@ -20,11 +20,16 @@ _COPIES = {
 }
 
 
+def _moved(rows, *by):
+    """The same rows in other tasks, as many as their size asks for."""
+    return rows.hint("rebalance", *by)
+
+
 def _copies(lines):
     last = lines.agg(F.max("l_orderkey").alias("last")).scalar()
     is_last = F.col("l_orderkey") == last
     return {
-        "identical": lines.repartition(7, "l_partkey"),
+        "identical": _moved(lines, "l_partkey"),
         "order dropped": lines.filter(~is_last),
         "order duplicated": lines.unionAll(lines.filter(is_last)),
         "all duplicated": lines.unionAll(lines),
@@ -36,7 +41,7 @@ def _copies(lines):
 def _(inputs):
     orders = inputs("orders")
     first = verify.fingerprint(orders, by=["o_orderpriority"])
-    again = verify.fingerprint(orders.repartition(5, "o_custkey"), by=["o_orderpriority"])
+    again = verify.fingerprint(_moved(orders, "o_custkey"), by=["o_orderpriority"])
     compared = verify.compare_fingerprints(first, again, by=["o_orderpriority"])
     return compared.select("o_orderpriority", F.col("source_n").alias("n"), F.col("match").alias("stable"))
 
@@ -116,7 +121,7 @@ def _(inputs):
     for name, values in _nested(k, F.lit(None).cast("bigint")).items():
         orders = inputs("orders")
         first, changed = (verify.fingerprint(orders.select(k, v.alias("v"))) for v in values)
-        again = verify.fingerprint(orders.repartition(3).select(k, values[0].alias("v")))
+        again = verify.fingerprint(_moved(orders).select(k, values[0].alias("v")))
         kept = verify.compare_fingerprints(first, again).select(F.lit(name).alias("value"), F.col("match").alias("kept_match"))
         found = kept.crossJoin(verify.compare_fingerprints(first, changed).select(F.col("match").alias("moved_match")))
         rows = found if rows is None else rows.unionByName(found)
@@ -278,7 +283,7 @@ def _(inputs):
     changed = [(t, f.withColumn(f.columns[0], F.col(f.columns[0]) + 1)) for t, f in frames]
     source = verify.fingerprint_tables(frames, batch=3)
     match = lambda other: verify.compare_fingerprints(source, verify.fingerprint_tables(other, batch=3), by=["table"])
-    copy = match([(t, f.repartition(5)) for t, f in frames]).select("table", F.col("source_n").alias("n"), F.col("match").alias("copy_match"))
+    copy = match([(t, _moved(f)) for t, f in frames]).select("table", F.col("source_n").alias("n"), F.col("match").alias("copy_match"))
     return copy.join(match(changed).select("table", F.col("match").alias("changed_match")), "table")
 
 

@@ -20,6 +20,8 @@ from estate.operators.verify import row_hash
 #: Leading bits of the hash that name a range, level by level.
 LEVELS = (12, 24)
 SIDES = ("source", "target")
+#: Whole rows that one task puts in order by their hash.
+ROWS_PER_TASK = 500_000
 
 
 def _range(bits: int) -> Column:
@@ -64,14 +66,19 @@ def checksum_differences(source: DataFrame, target: DataFrame, *, levels: Sequen
     left, right = _hashed(source), _hashed(target)
     inside = lambda rows: rows
     for bits in levels:
-        found = stored(differing_ranges(_digests(inside(left), bits), _digests(inside(right), bits)).select("range"), "ranges")
-        if found.isEmpty():
-            break
+        found = stored(differing_ranges(_digests(inside(left), bits), _digests(inside(right), bits)), "ranges")
+        rows = found.agg(F.sum(F.col("source_n") + F.col("target_n"))).first()[0]
+        if not rows:
+            none = F.lit(0).cast("long")
+            return source.filter(F.lit(False)).select("*", *[none.alias(f"{s}_rows") for s in SIDES])
+        found = found.select("range")
         inside = lambda rows, found=found, bits=bits: rows.join(found, _range(bits) == F.col("range"), "left_semi")
     counted = lambda rows, side: inside(rows).select("_h", F.lit(side).alias("_side"))
     sums = [F.count_if(F.col("_side") == s).alias(f"{s}_rows") for s in SIDES]
     hashes = counted(left, "source").unionByName(counted(right, "target")).groupBy("_h").agg(*sums).filter("source_rows <> target_rows")
     hashes = stored(hashes, "differing-hashes")
     # One row of each differing hash is fetched; equal rows of a side merge before they are shuffled.
-    shown = left.unionByName(right).join(hashes, "_h", "left_semi").groupBy("_h").agg(F.first("_row").alias("_row"))
+    # Tasks are counted by the rows in differing ranges, so that none grows with the tables.
+    tasks = max(int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_TASK))
+    shown = inside(left).unionByName(inside(right)).repartition(tasks, "_h").join(hashes, "_h", "left_semi").groupBy("_h").agg(F.first("_row").alias("_row"))
     return shown.join(hashes, "_h").select("_row.*", *[f"{s}_rows" for s in SIDES])

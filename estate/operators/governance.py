@@ -202,12 +202,13 @@ def capture_snapshots(
     # One list per object, in the order that the parts need: by part, then by these cells.
     by_pos = F.col("part").isin("comment", "owner", "row_filter")
     cells = F.struct("part", F.when(by_pos, pos).alias("first"), "a", F.when(F.col("part").isin("column", "property"), pos).alias("then"), "b", "c", "pos")
+    # The hash of the object leads, as tasks sort by it far faster than by four texts with common beginnings.
     gathered = (
-        rows.groupBy(*KEY)
+        rows.groupBy(F.xxhash64(*KEY).alias("_object"), *KEY)
         .agg(
             F.count_if(F.col("part") == "object").alias("wanted"),
             F.min(F.when(F.col("part") == "detail", pos)).alias("detail"),
-            F.array_sort(F.collect_list(F.when(~F.col("part").isin("object", "detail"), cells))).alias("parts"),
+            F.sort_array(F.collect_list(F.when(~F.col("part").isin("object", "detail"), cells))).alias("parts"),
         )
         .filter(F.col("wanted") > 0)
     )

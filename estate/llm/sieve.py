@@ -10,15 +10,15 @@ MOST_BITS = 1 << 26
 SHIFTS = (0, 19, 38)
 
 
-def sieve_of(names: DataFrame, name: Column, most_bits: int = MOST_BITS) -> np.ndarray:
-    """The filter as 64-bit words, 8 MB at most.
+def sieve_of(names: DataFrame, name: Column, most_bits: int = MOST_BITS, bits_each: int = 16) -> np.ndarray:
+    """The filter as 64-bit words, 8 MB at most by default.
 
     Names are well mixed hashes, so three ranges of their own bits are their places. Beyond some millions
     of names more and more others pass; what passes has to be judged exactly by the caller.
     """
     names = names.select(name.alias("name"))
     n, bits = names.count(), 1 << 12
-    while bits < 16 * n and bits < most_bits:
+    while bits < bits_each * n and bits < most_bits:
         bits *= 2
     spots = F.explode(F.array(*[F.shiftrightunsigned("name", s).bitwiseAND(F.lit(bits - 1)) for s in SHIFTS])).alias("spot")
     one = F.expr("shiftleft(1L, cast(spot % 64 as int))")

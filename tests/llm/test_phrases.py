@@ -73,3 +73,13 @@ def test_a_hot_language_and_a_phrase_of_one_shard(spark):
     rows = [(i, "only here now", "en") for i in range(20)] + [(100 + i, f"u{i} v{i % 7} end", "en") for i in range(2000)]
     shard = F.when(F.col("doc_id") < 100, 3).otherwise(F.pmod(F.hash("text"), F.lit(40)))  # t is 1 in some
     assert run(spark, rows, support=20, slice_bytes=3000, shard=shard) == brute(rows, 20)
+
+
+def test_words_of_a_phrase_are_read_in_one_text_however_many_slices_hold_it(spark, monkeypatch):
+    """The last pass made a row for each frequent phrase of each slice, and both grow with the table."""
+    made, kind = [], type(spark.range(0))
+    plain = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda *a, **b: made.append(plain(*a, **b)) or made[-1])
+    rows = [(i, " ".join(f"w{(i * 7 + j) % 50}" for j in range(30)) + f". t{i}", "en") for i in range(2000)]
+    assert run(spark, rows, support=100, slice_bytes=1000) == brute(rows, 100)
+    assert made[-1].where("k > 0").count() < 400  # 250 phrases are frequent; slices of 1000 bytes hold most of them

@@ -51,10 +51,16 @@ def worker_path(spark: SparkSession, folder: str) -> str:
     table names; only the driver's Hadoop settings know either. A folder on this machine's disk keeps
     its bare path in a local session.
     """
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    paths = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    path = paths(folder)
     filesystem = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     filesystem.mkdirs(path)
     found = filesystem.resolvePath(path).toString()
+    if found.startswith("viewfs:"):
+        # The root of a mount table with a fallback is no place of its own, but folders below it are.
+        path = paths(path, "estate")
+        filesystem.mkdirs(path)
+        found = filesystem.resolvePath(path).toString()
     bare = "://" not in folder and spark.sparkContext.master.startswith("local")
     return found.removeprefix("file:") if bare else found
 

@@ -22,6 +22,17 @@ def test_files_below_a_folder_that_only_spark_knows_by_name(spark, shared, tmp_p
     assert sum(r.row_count for r in footers.parquet_footers(listed).collect()) == 10
 
 
+def test_files_below_the_root_of_a_mount_table(spark, shared, tmp_path):
+    """What no mount names lies on the table's fallback; the root itself resolves to nothing."""
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    settings.set("fs.viewfs.mounttable.fallback.link./other", f"file://{tmp_path}")
+    settings.set("fs.viewfs.mounttable.fallback.linkFallback", f"file://{tmp_path}")
+    shared("viewfs://fallback/")
+    path = scratch_path(spark, "tree")
+    spark.range(10).repartition(2).write.parquet(path)
+    assert footers.parquet_files(listings.list_tree(spark, path)).count() == 2
+
+
 def test_trees_below_a_folder_with_a_scheme(spark, shared, tmp_path):
     """The empty tree is made on the driver by Python."""
     shared(f"file://{tmp_path}")

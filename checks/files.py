@@ -114,12 +114,20 @@ def _(inputs):
     )
 
 
+# Where Spark's writer puts rows whose source is null; their tree has this key until the result.
+_NO_SOURCE = "source=__HIVE_DEFAULT_PARTITION__"
+
+
+def _named(rows):
+    return rows.withColumn("tree", F.nullif("tree", F.lit(_NO_SOURCE)))
+
+
 # Every source is a tree of its own; two more trees are absent and empty.
 def _trees(inputs, *columns):
     base, target = _tree(inputs), scratch_path(inputs.spark, "copies")
     filesystem, empty = listings.path_opener(listings.is_local(inputs.spark))(f"{base}/empty")
     filesystem.create_dir(empty)
-    names = inputs("documents").select(F.concat(F.lit("source="), "source").alias("tree")).distinct()
+    names = inputs("documents").select(F.coalesce(F.concat(F.lit("source="), "source"), F.lit(_NO_SOURCE)).alias("tree")).distinct()
     names = names.unionByName(inputs.spark.createDataFrame([("absent",), ("empty",)], "tree string"))
     roots = {"root": base, "source_root": base, "target_root": target}
     return names.select("tree", *[F.concat(F.lit(roots[c] + "/"), "tree").alias(c) for c in columns])
@@ -133,7 +141,7 @@ def _(inputs):
     listed = listings.list_trees(_trees(inputs, "root"), keys=["tree"])
     data = F.col("relpath").endswith(".txt")
     state = F.max(F.when(F.col("state") != "file", F.col("state"))).alias("state")
-    return listed.groupBy("tree").agg(state, F.count_if(data).alias("files"), F.sum(F.when(data, F.col("size"))).alias("bytes"))
+    return _named(listed.groupBy("tree").agg(state, F.count_if(data).alias("files"), F.sum(F.when(data, F.col("size"))).alias("bytes")))
 
 
 @query(
@@ -142,13 +150,13 @@ def _(inputs):
 )
 def _(inputs):
     verdict = files.copy_and_verify_trees(_trees(inputs, "source_root", "target_root"), keys=["tree"], partitions=16)
-    return verdict.select("tree", "source_state", (F.col("copied") == F.col("source_files")).alias("copied_all"), "match")
+    return _named(verdict).select("tree", "source_state", (F.col("copied") == F.col("source_files")).alias("copied_all"), "match")
 
 
 @query("tree_hashes", "SELECT 'source=' || source AS tree, md5(text || chr(10)) AS content_hash, count(*) AS files FROM {documents} GROUP BY ALL")
 def _(inputs):
     hashes = files.tree_hashes(_trees(inputs, "root"), keys=["tree"], partitions=16).filter(F.col("relpath").endswith(".txt"))
-    return hashes.groupBy("tree", "content_hash").agg(F.count(F.lit(1)).alias("files"))
+    return _named(hashes.groupBy("tree", "content_hash").agg(F.count(F.lit(1)).alias("files")))
 
 
 @query(
@@ -252,7 +260,7 @@ def _(inputs):
     read = inputs.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(base)
     whole = read.select(path, F.crc32("content").alias("whole"))
     rows = found.join(whole, F.concat_ws("/", "tree", "relpath") == F.col("at"))
-    return rows.groupBy("tree").agg(F.count(F.lit(1)).alias("files"), F.sum("ranges").alias("ranges"), F.bool_and(F.col("whole") == F.col("crc32")).alias("whole_crc"))
+    return _named(rows.groupBy("tree").agg(F.count(F.lit(1)).alias("files"), F.sum("ranges").alias("ranges"), F.bool_and(F.col("whole") == F.col("crc32")).alias("whole_crc")))
 
 
 @query("copy_by_ranges", f"SELECT tree, files, ranges, ranges AS copied_ranges, whole_crc, TRUE AS same_bytes FROM ({_RANGED}) r")
@@ -263,7 +271,7 @@ def _(inputs):
     digests = lambda rows: ranges.combine_digests(ranges.range_digests(rows, keys=["tree"], range_bytes=4096, partitions=16), keys=["tree"]).select("tree", "relpath", "crc32", "tree_hash")
     there = digests(pairs.select("tree", "relpath", "size", F.col("dst").alias("path"))).withColumnsRenamed({"crc32": "there", "tree_hash": "there_hash"})
     rows = copied.join(there, ["tree", "relpath"]).join(digests(listed).drop("crc32"), ["tree", "relpath"])
-    return rows.groupBy("tree").agg(
+    return _named(rows.groupBy("tree").agg(
         F.count(F.lit(1)).alias("files"), F.sum("ranges").alias("ranges"), F.sum("copied_ranges").alias("copied_ranges"),
         F.bool_and(F.col("crc32") == F.col("there")).alias("whole_crc"), F.bool_and(F.col("tree_hash") == F.col("there_hash")).alias("same_bytes"),
-    )
+    ))

@@ -60,7 +60,7 @@ def list_trees(roots: DataFrame, *, keys: Sequence[str]) -> DataFrame:
     """All files below many roots: ``keys``, ``state``, ``relpath``, ``size``, ``path``.
 
     ``roots`` has the keys and ``root``. ``state`` is ``file``; each root also has one row without
-    relpath, ``present`` or ``absent``. All roots go down together, one level of directories per
+    relpath, ``present`` or ``absent``; a null root is absent. All roots go down together, one level of directories per
     round, so the number of jobs grows with the depth of the trees, not with their number. Spark's
     own file sources leave out empty files and names that begin with ``_`` or ``.``, so the
     executors list the directories. Each round is checkpointed to the shared folder (set
@@ -90,7 +90,9 @@ def list_trees(roots: DataFrame, *, keys: Sequence[str]) -> DataFrame:
                 for i in filesystem.get_file_info(fs.FileSelector(inner)):
                     yield i.base_name, i.size or 0, i.type == fs.FileType.Directory
 
-        def there(directory: str) -> bool:
+        def there(directory: str | None) -> bool:
+            if directory is None:
+                return False
             filesystem, inner = open_path(directory)
             return filesystem.get_file_info(inner).type == fs.FileType.Directory
 

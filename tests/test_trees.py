@@ -1,5 +1,7 @@
+import hashlib
 import os
 
+from __spark_entry__ import queries
 from estate.operators import files
 from estate.sources import listings
 from estate.sources.listings import path_opener
@@ -55,3 +57,22 @@ def test_bare_paths_are_refused_on_a_cluster():
     assert path_opener(False)("file:///tmp/x")[1] == "/tmp/x"
     with pytest.raises(ValueError):
         path_opener(False)("/tmp/x")
+
+
+def test_a_null_root_is_absent(spark, tmp_path):
+    trees(tmp_path, {"one": {"f": "1"}})
+    roots = spark.createDataFrame([("one", f"{tmp_path}/one"), ("none", None)], "tree string, root string")
+    rows = {(r.tree, r.state, r.relpath) for r in listings.list_trees(roots, keys=["tree"]).collect()}
+    assert rows == {("one", "present", None), ("one", "file", "f"), ("none", "absent", None)}
+
+
+def test_documents_without_a_source_are_a_tree(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a", "en", "x"), (2, "bb", None, None), (3, "c", "en", None)], "doc_id long, text string, lang string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = lambda name: {tuple(r) for r in queries()[name](spark, str(tmp_path)).collect()}
+    assert found("list_trees") == {("source=x", "present", 1, 2), (None, "present", 2, 5), ("absent", "absent", 0, None), ("empty", "present", 0, None)}
+    assert found("copy_and_verify_trees") == {("source=x", "present", True, True), (None, "present", True, True), ("absent", "absent", True, False), ("empty", "present", True, True)}
+    md5 = lambda text: hashlib.md5(f"{text}\n".encode()).hexdigest()
+    assert found("tree_hashes") == {("source=x", md5("a"), 1), (None, md5("bb"), 1), (None, md5("c"), 1)}
+    assert found("range_digests") == {("source=x", 1, 1, True), (None, 2, 2, True)}
+    assert found("copy_by_ranges") == {("source=x", 1, 1, 1, True, True), (None, 2, 2, 2, True, True)}

@@ -8,11 +8,81 @@ from estate.session import scratch_path
 from estate.sources import listings
 
 
+#: Documents that one task writes as files.
+FILES_PER_TASK = 2000
+
+
+def _tree_writer(local_paths: bool):
+    """A function (path, content) that leaves a file as Spark's writers do: whole or not at all, on mounts with a checksum file.
+
+    Made inside a function, so that Spark sends it by value.
+    """
+    open_path, folders = listings.path_opener(local_paths), set()
+
+    def put(filesystem, folder: str, name: str, content: bytes) -> None:
+        import uuid
+
+        from pyarrow import fs
+
+        if not isinstance(filesystem, fs.LocalFileSystem):
+            with filesystem.open_output_stream(f"{folder}/{name}") as out:
+                out.write(content)
+            return
+        partial = f"{folder}/.{name}.{uuid.uuid4().hex}.partial"
+        with open(partial, "wb") as out:
+            out.write(content)
+        filesystem.move(partial, f"{folder}/{name}")
+
+    def write(path: str, content: bytes) -> None:
+        import struct
+        import zlib
+
+        from pyarrow import fs
+
+        filesystem, inner = open_path(path)
+        folder, _, name = inner.rpartition("/")
+        if folder not in folders:
+            filesystem.create_dir(folder, recursive=True)
+            folders.add(folder)
+        if isinstance(filesystem, fs.LocalFileSystem):
+            sums = [zlib.crc32(content[i : i + 512]) for i in range(0, len(content), 512)]
+            put(filesystem, folder, f".{name}.crc", struct.pack(f">4si{len(sums)}I", b"crc\0", 512, *sums))
+        put(filesystem, folder, name, content)
+
+    return write
+
+
 def _tree(inputs):
-    """The documents as a file tree, one document per file, written by Spark."""
-    path = scratch_path(inputs.spark, "tree")
-    rows = inputs("documents").select("source", "lang", F.col("text").alias("value"))
-    rows.repartition(8).write.partitionBy("source", "lang").option("maxRecordsPerFile", 1).text(path)
+    """The documents as a file tree, one document per file, as ``partitionBy("source", "lang").text()`` leaves them.
+
+    Workers write the files themselves: Spark's writer starts processes for the permissions of each file on a mount, and
+    its driver renames them one after the other. Rows are in order inside a task, so that a repeated or
+    speculative task gives every file the same name and content.
+    """
+    path, write = scratch_path(inputs.spark, "tree"), _tree_writer(listings.is_local(inputs.spark))
+
+    def save(batches):
+        import re
+
+        import pyarrow as pa
+
+        special, seen = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]"""), {}
+
+        def part(name: str, value: str | None) -> str:
+            return f"{name}=" + (special.sub(lambda m: f"%{ord(m[0]):02X}", value) if value else "__HIVE_DEFAULT_PARTITION__")
+
+        for batch in batches:
+            for source, lang, text, task in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                folder = f"{path}/{part('source', source)}/{part('lang', lang)}"
+                seen[folder] = n = seen.get(folder, -1) + 1
+                write(f"{folder}/part-{task:05d}.c{n:03d}.txt", (text or b"") + b"\n")
+            yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
+
+    rows = inputs("documents").select("source", "lang", F.col("text").cast("binary").alias("value"))
+    tasks = max(8, -(-rows.count() // FILES_PER_TASK))
+    dealt = rows.repartition(tasks).sortWithinPartitions("source", "lang", "value").withColumn("task", F.spark_partition_id())
+    dealt.mapInArrow(save, "files long").agg(F.sum("files")).first()
+    write(f"{path}/_SUCCESS", b"")
     return path
 
 
@@ -251,15 +321,38 @@ def _listed(inputs):
     return listings.list_trees(_trees(inputs, "root"), keys=["tree"]).filter(F.col("relpath").endswith(".txt"))
 
 
+def _contents(listed):
+    """The whole content of each listed file: read by many files a task, where Spark's file source plans a task for a few files."""
+    open_path = listings.path_opener(listings.is_local(listed.sparkSession))
+
+    def read(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows, size = [], 0
+            for row in batch.to_pylist():
+                filesystem, inner = open_path(row.pop("path"))
+                with filesystem.open_input_stream(inner) as file:
+                    rows.append({**row, "content": file.read()})
+                size += len(rows[-1]["content"])
+                if size > 1 << 23:
+                    yield pa.RecordBatch.from_pylist(rows, schema)
+                    rows, size = [], 0
+            yield pa.RecordBatch.from_pylist(rows, schema)
+
+    import pyarrow as pa
+
+    schema = pa.schema({"tree": pa.string(), "relpath": pa.string(), "content": pa.binary()})
+    tasks = max(16, -(-listed.count() // FILES_PER_TASK))
+    return listed.select("tree", "relpath", "path").repartition(tasks, "tree", "relpath").mapInArrow(read, "tree string, relpath string, content binary")
+
+
 @query("range_digests", _RANGED)
 def _(inputs):
     listed = _listed(inputs).checkpoint()
     found = ranges.combine_digests(ranges.range_digests(listed, keys=["tree"], range_bytes=1000, partitions=16), keys=["tree"])
-    path = F.regexp_extract("path", "(source=.*)$", 1).alias("at")
-    base = listed.select(F.regexp_extract("path", "^(.*)/source=", 1)).first()[0]
-    read = inputs.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(base)
-    whole = read.select(path, F.crc32("content").alias("whole"))
-    rows = found.join(whole, F.concat_ws("/", "tree", "relpath") == F.col("at"))
+    whole = _contents(listed).select("tree", "relpath", F.crc32("content").alias("whole"))
+    rows = found.join(whole, ["tree", "relpath"])
     return _named(rows.groupBy("tree").agg(F.count(F.lit(1)).alias("files"), F.sum("ranges").alias("ranges"), F.bool_and(F.col("whole") == F.col("crc32")).alias("whole_crc")))
 
 

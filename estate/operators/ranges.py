@@ -38,12 +38,19 @@ def crc_shift():
             b, bit = (b >> 1) ^ (polynomial if b & 1 else 0), bit >> 1
         return product
 
+    powers = [1 << 23]  # x^8, one byte; each next one is the square
+
     def shift(crc: int, n: int) -> int:
-        power = 1 << 23  # x^8, one byte
+        import zlib
+
+        # Up to 64 KiB are added as so many zero bytes, without zlib's inversion before and after; only more is multiplied.
+        crc, n, k = zlib.crc32(bytes(n % 65536), crc ^ 0xFFFFFFFF) ^ 0xFFFFFFFF, n >> 16, 16
         while n:
+            while len(powers) <= k:
+                powers.append(times(powers[-1], powers[-1]))
             if n & 1:
-                crc = times(power, crc)
-            power, n = times(power, power), n >> 1
+                crc = times(powers[k], crc)
+            n, k = n >> 1, k + 1
         return crc
 
     return shift
@@ -103,7 +110,7 @@ def combine_digests(digests: DataFrame, *, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def copy_by_ranges(pairs: DataFrame, *, keys: Sequence[str] = (), range_bytes: int = RANGE_BYTES, partitions: int | None = None) -> DataFrame:
+def copy_by_ranges(pairs: DataFrame, *, keys: Sequence[str] = (), range_bytes: int = RANGE_BYTES, partitions: int | None = None, threads: int = 8) -> DataFrame:
     """Copy ``src`` to ``dst`` on mounts, the ranges of a file in different tasks: one row per file.
 
     All tasks write into one temporary file, each at its range's offset, and leave an empty mark behind
@@ -111,7 +118,8 @@ def copy_by_ranges(pairs: DataFrame, *, keys: Sequence[str] = (), range_bytes: i
     after a stop, does only the ranges that have no mark. When all of a file's ranges are there, it is
     renamed and the marks go. ``status`` is copied, skipped (there with its size) or failed; ``copied_ranges`` says how
     many ranges this run wrote; ``crc32`` is that of the bytes read, null if ranges were taken over from an earlier run.
-    Writing at an offset needs a mount: object stores take ``files.copy_files``.
+    Writing at an offset needs a mount: object stores take ``files.copy_files``. A task copies ``threads`` ranges at a
+    time, as it waits for the storage.
     """
     block, open_path, shift, keys = COPY_BLOCK, path_opener(is_local(pairs.sparkSession)), crc_shift(), list(keys)
     shared_folder(pairs.sparkSession)
@@ -137,6 +145,7 @@ def copy_by_ranges(pairs: DataFrame, *, keys: Sequence[str] = (), range_bytes: i
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import os
         import zlib
+        from concurrent.futures import ThreadPoolExecutor
 
         def one(src: str, dst: str, size: int, offset: int, length: int) -> tuple[str, int | None, str | None]:
             try:
@@ -169,10 +178,11 @@ def copy_by_ranges(pairs: DataFrame, *, keys: Sequence[str] = (), range_bytes: i
             except Exception as fault:  # reported per file; the other ranges go on
                 return "failed", None, f"{type(fault).__name__}: {fault}"
 
-        for batch in batches:
-            found = [one(*r) for r in zip(batch["src"], batch["dst"], batch["size"], batch["offset"], batch["length"], strict=True)]
-            columns = {c: [f[i] for f in found] for i, c in enumerate(("status", "crc_part", "error"))}
-            yield batch[[*keys, "relpath", "src", "dst", "size"]].assign(**columns).astype({"crc_part": "Int64"})
+        with ThreadPoolExecutor(threads) as pool:
+            for batch in batches:
+                found = list(pool.map(one, batch["src"], batch["dst"], batch["size"], batch["offset"], batch["length"]))
+                columns = {c: [f[i] for f in found] for i, c in enumerate(("status", "crc_part", "error"))}
+                yield batch[[*keys, "relpath", "src", "dst", "size"]].assign(**columns).astype({"crc_part": "Int64"})
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import contextlib

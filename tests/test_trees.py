@@ -1,8 +1,16 @@
 import hashlib
 import os
+import zlib
+from collections import Counter
+from pathlib import Path
+
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from checks import files as checked
+from checks.registry import Inputs
 from estate.operators import files
+from estate.operators.ranges import crc_shift
 from estate.sources import listings
 from estate.sources.listings import path_opener
 
@@ -76,3 +84,40 @@ def test_documents_without_a_source_are_a_tree(spark, tmp_path):
     assert found("tree_hashes") == {("source=x", md5("a"), 1), (None, md5("bb"), 1), (None, md5("c"), 1)}
     assert found("range_digests") == {("source=x", 1, 1, True), (None, 2, 2, True)}
     assert found("copy_by_ranges") == {("source=x", 1, 1, 1, True, True), (None, 2, 2, 2, True, True)}
+
+
+def test_documents_become_the_files_that_sparks_writer_leaves(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(checked, "FILES_PER_TASK", 5, raising=False)
+    odd = ["a b", "x/y:z=1%#\"'*?\\{}[]^", "\x01\t\x7f", "ä", "", None]
+    docs = [(s, l, t) for s in odd for l in ("en", None) for t in ("", "two\nlines", "é" * 700, None)] + [("twice", "en", "same")] * 30
+    spark.createDataFrame(docs, "source string, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    stored = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    rows = stored.select("source", "lang", F.col("text").alias("value"))
+    rows.repartition(8).write.partitionBy("source", "lang").option("maxRecordsPerFile", 1).text(f"{tmp_path}/by-spark")
+
+    def found(base):
+        every = [p for p in Path(base).rglob("*") if p.is_file()]
+        return Counter((str(p.parent.relative_to(base)), "".join(p.suffixes[-2:] if p.name[0] == "." else p.suffixes[-1:]), p.name[0] == ".", p.read_bytes()) for p in every)
+
+    tree = checked._tree(Inputs(spark, str(tmp_path))).removeprefix("file:")
+    assert found(tree) == found(f"{tmp_path}/by-spark")
+    # Tasks grow with the documents; the checksums are those that Spark checks when it reads.
+    assert len({p.name[:10] for p in Path(tree).rglob("part-*.txt")}) > 8
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(tree)
+    assert sorted(bytes(r.content) for r in read.collect()) == sorted((t or "").encode() + b"\n" for _, _, t in docs)
+
+
+def test_range_digests_plan_few_tasks(spark, tmp_path):
+    """Spark's file source plans a task for each four small files."""
+    docs = spark.createDataFrame([(str(i), "en", "x") for i in range(40)], "text string, lang string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries()["range_digests"](spark, str(tmp_path))
+    assert "binaryFile" not in found._jdf.queryExecution().toString()
+    assert [tuple(r) for r in found.collect()] == [("source=x", 40, 40, True)]
+
+
+def test_crc_of_a_text_with_many_bytes_behind():
+    shift = crc_shift()
+    for behind in (0, 1, 65535, 65536, 200_001):
+        rest = bytes(range(256)) * (behind // 256 + 1)
+        assert shift(zlib.crc32(b"begin"), behind) ^ zlib.crc32(rest[:behind]) == zlib.crc32(b"begin" + rest[:behind])

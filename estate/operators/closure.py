@@ -14,9 +14,19 @@ from estate.session import scratch_path
 MERGE_AFTER = 16
 
 
+#: Spark's setting that drops the shuffle files of a statement when it ends.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(rows: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(rows.sparkSession, label)
-    rows.write.parquet(path)
+    """The rows as a table in the shared folder. The shuffle files behind it go at once, not when the driver next collects its garbage."""
+    path, conf = scratch_path(rows.sparkSession, label), rows.sparkSession.conf
+    before = conf.get(DROP_SHUFFLES, None)
+    conf.set(DROP_SHUFFLES, "true")
+    try:
+        rows.write.parquet(path)
+    finally:
+        conf.unset(DROP_SHUFFLES) if before is None else conf.set(DROP_SHUFFLES, before)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

@@ -1,9 +1,13 @@
 """Capture, replay and remediation of governance."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 
 from checks.registry import AS_OF, KEYS, SAME, query, quoted
 from estate.operators import governance, verify
+from estate.operators.closure import stored
 from estate.plans import governance as plans
 from estate.settings import KEY
 
@@ -211,15 +215,18 @@ def _(inputs):
     k = F.col("k")
     number = inputs("objects").select(*KEY, "k")
     numbered = lambda rows: rows.join(number, KEY)
+    # Only these rows depend on the number; for the rest a join says that their key is known, as a capture asks anyway.
+    owner, keyed = F.coalesce(F.col("col_name") == "Owner", F.lit(True)), reduce(and_, [F.col(c).isNotNull() for c in KEY])
+    described = inputs("described")
+    described = described.filter(~owner & keyed).unionByName(described.filter(owner).join(number.filter(k % 6 != 0), KEY, "left_semi"))
     changed = governance.capture_snapshots(
         inputs("objects").filter(F.col("object_type").isin("TABLE", "VOLUME")),
         grants=numbered(_grants(inputs)).filter(k % 5 != 0),
         tags=inputs("tags").filter(F.col("tag_name") != "tag3"),
         filters=inputs("filters").withColumn("using_columns", F.when(F.col("using_columns") != "id", F.col("using_columns"))),
-        masks=numbered(inputs("masks")).withColumn("function_name", F.when(k % 4 == 0, F.lit("other")).otherwise(F.col("function_name"))),
-        describe=numbered(inputs("described"))
-        .filter(~((k % 6 == 0) & (F.col("col_name") == "Owner")))
-        .withColumn("comment", F.when(F.col("pos") != 1, F.col("comment"))),
+        # Stored, so that the shuffle files behind the largest part are gone before the capture's.
+        masks=stored(numbered(inputs("masks")).withColumn("function_name", F.when(k % 4 == 0, F.lit("other")).otherwise(F.col("function_name"))), "masks"),
+        describe=described.withColumn("comment", F.when(F.col("pos") != 1, F.col("comment"))),
         properties=inputs("properties"),
         captured_at=AS_OF,
     )

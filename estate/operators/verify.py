@@ -6,10 +6,12 @@ Flags have three values: true, false, and null for "does not apply".
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from estate.functions.urls import is_on_account, storage_account
+from estate.operators.closure import stored
 from estate.operators.files import hash_verdicts
 from estate.operators.state import current_log
 from estate.session import shared_folder
@@ -243,45 +245,68 @@ def pass_counts_by_catalog(results: DataFrame) -> DataFrame:
     )
 
 
+#: Bits of an item's hash that are added up, twice: the sums of half a million snapshots of an object stay below 64 bits.
+DIGEST_BITS = 44
+
+
+def _part_digests(part: str, s: Column, fields: dict[str, T.DataType]) -> list[Column]:
+    """Two sums over the hashes of a part's items, modulo 2**DIGEST_BITS: equal for equal items, whatever their order."""
+    mask = F.lit((1 << DIGEST_BITS) - 1)
+
+    def one(seed: int, *cells: tuple[Column, T.DataType]) -> Column:
+        return F.xxhash64(F.lit(seed), *[p for c, kind in cells for p in _flagged(c, kind)]).bitwiseAND(mask)
+
+    def single(*cells: tuple[Column, T.DataType]):
+        there = F.coalesce(*[c.cast("string") for c, _ in cells]).isNotNull()
+        return lambda seed: F.when(there, one(seed, *cells)).otherwise(F.lit(0).cast("long"))
+
+    def many(array: Column, kind: T.StructType, *names: str):
+        add = lambda seed: lambda total, e: (total + one(seed, *[(e[n], kind[n].dataType) for n in names])).bitwiseAND(mask)
+        return lambda seed: F.coalesce(F.aggregate(array, F.lit(0).cast("long"), add(seed)), F.lit(0).cast("long"))
+
+    text = T.StringType()
+    if part == "owner":
+        items = [single((s["owner"], text))]
+    elif part == "row_filter":
+        items = [single((s["row_filter_name"], text), (F.array_join(s["row_filter_using_columns"], ","), text))]
+    elif part == "comments":
+        entry = T.StructType([T.StructField("key", text), T.StructField("value", text)])
+        # A table's comment has one cell and a column's two, so they are told apart by their number.
+        items = [single((s["table_comment"], text)), many(F.map_entries(s["column_comments"]), entry, "key", "value")]
+    else:
+        array, names = {
+            "grants": ("grants", ("principal", "privilege", "object_type")),
+            "tags": ("tags", ("name", "value")),
+            "column_mask": ("column_masks", ("column", "mask_function", "using_columns")),
+        }[part]
+        items = [many(s[array], fields[array].elementType, *names)]
+    sums = [[item(seed) for item in items] for seed in (1, 2)]
+    return [reduce(lambda a, b: a + b, x).bitwiseAND(mask) for x in sums]
+
+
 def governance_diff(snapshots: DataFrame, live: DataFrame) -> DataFrame:
     """A flag per part for each object in the snapshots: live governance equals the snapshot.
 
-    Both sides are parsed snapshots (``governance.read_snapshots``). Their parts are exploded to
-    (object, part, item) rows and merged by one aggregation, so large parts are compared row by row.
+    Both sides are parsed snapshots (``governance.read_snapshots``). Each part is compared by 88 bits of digest over its
+    items, so one short row per snapshot is shuffled, whatever the size of its parts. Digests are stored side by
+    side, so that the shuffle files behind one capture are gone before the other one begins.
     """
-    def items(rows: DataFrame, side: str) -> DataFrame:
-        s = F.col("snapshot")
-        text = lambda *cells: F.to_json(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(cells)]), {"ignoreNullFields": "false"})
-        single = lambda part, *cells: F.when(F.coalesce(*[c.cast("string") for c in cells]).isNotNull(), F.array(F.struct(F.lit(part).alias("part"), text(*cells).alias("item"))))
-        many = lambda part, array, *names: F.transform(array, lambda e: F.struct(F.lit(part).alias("part"), text(*[e[n] for n in names]).alias("item")))
-        entries = lambda part, column: F.transform(F.map_entries(column), lambda e: F.struct(F.lit(part).alias("part"), text(e["key"], e["value"]).alias("item")))
-        empty = F.array().cast("array<struct<part:string,item:string>>")
-        all_parts = F.concat(
-            F.array(F.struct(F.lit("object").alias("part"), F.lit(side).alias("item"))),
-            *[
-                F.coalesce(cells, empty)
-                for cells in (
-                    many("grants", s["grants"], "principal", "privilege", "object_type"),
-                    single("owner", s["owner"]),
-                    many("tags", s["tags"], "name", "value"),
-                    single("row_filter", s["row_filter_name"], F.array_join(s["row_filter_using_columns"], ",")),
-                    many("column_mask", s["column_masks"], "column", "mask_function", "using_columns"),
-                    single("comments", s["table_comment"]),
-                    entries("comments", s["column_comments"]),
-                )
-            ],
-        )
-        return rows.select(*KEY, F.inline(all_parts).alias("part", "item")).withColumn("side", F.lit(side))
-
-    both = items(snapshots, "snapshot").unionByName(items(live, "live"))
-    count = lambda side: F.count_if(F.col("side") == side)
-    merged = both.groupBy(*KEY, "part", "item").agg(count("snapshot").alias("a"), count("live").alias("b"))
     parts = [name.removesuffix("_ok") for name in GOVERNANCE_FLAGS]
-    differs = lambda part: F.count_if((F.col("part") == part) & (F.col("a") != F.col("b"))) == 0
-    in_snapshot = F.count_if((F.col("part") == "object") & (F.col("a") > 0))
+
+    def digests(rows: DataFrame, side: str) -> DataFrame:
+        fields = {f.name: f.dataType for f in rows.schema["snapshot"].dataType.fields}
+        found = [d.alias(f"{part}_{i}") for part in parts for i, d in enumerate(_part_digests(part, F.col("snapshot"), fields))]
+        return stored(rows.select(*KEY, *found), f"{side}-digests")
+
+    # The live side counts negatively, so what both have adds up to nothing.
+    names = [f"{part}_{i}" for part in parts for i in range(2)]
+    known = digests(snapshots, "snapshot").select(*KEY, F.lit(True).alias("_known"), *names)
+    both = known.unionByName(digests(live, "live").select(*KEY, F.lit(False).alias("_known"), *[(-F.col(n)).alias(n) for n in names]))
+    size = F.lit(1 << DIGEST_BITS)
+    same = lambda part: reduce(lambda a, b: a & b, [F.pmod(F.sum(f"{part}_{i}"), size) == 0 for i in range(2)])
     return (
-        merged.groupBy(*KEY)
-        .agg(in_snapshot.alias("_known"), *[differs(p).alias(f"{p}_ok") for p in parts])
-        .filter(F.col("_known") > 0)
+        both.groupBy(*KEY)
+        .agg(F.bool_or("_known").alias("_known"), *[same(p).alias(f"{p}_ok") for p in parts])
+        .filter("_known")
         .drop("_known")
     )
